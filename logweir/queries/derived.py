@@ -40,7 +40,9 @@ def access_lines(pages: DataFrame) -> DataFrame:
 def employee_lines(events: DataFrame) -> DataFrame:
     """Every event as an employee line; some types give a bad id, salary or time."""
     kind = F.col("event_type")
-    worker = F.when(kind == "error", F.concat(F.lit("x"), F.col("event_id"))).otherwise(F.col("event_id"))
+    worker = F.when(kind == "error", F.concat(F.lit("x"), F.col("event_id"))).otherwise(
+        F.col("event_id").cast("string")
+    )
     at = F.when(kind == "signup", F.lit("no time")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     pay = F.when(kind == "view", F.lit("n/a")).otherwise(F.col("value").cast("string"))
     return events.select(F.concat_ws("\t", worker, kind, at, pay).alias("value"))

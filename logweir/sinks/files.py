@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, DataFrameWriter, functions as F
+
+_COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
 
 
 def write_text(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists") -> None:
@@ -15,9 +20,26 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     df.write.mode(mode).parquet(path)
 
 
+@contextmanager
+def _foldered(df: DataFrame, by: Sequence[str]) -> Iterator[DataFrameWriter]:
+    """Writer whose tasks each hold whole folders, a folder too large for one task being split.
+
+    Joining small tasks is off during the write: it would save no files, as every folder has its
+    own, and would open them one after the other.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_COALESCE)
+    conf.set(_COALESCE, "false")
+    try:
+        yield df.hint("rebalance", *by).write.partitionBy(*by)
+    finally:
+        conf.set(_COALESCE, before)
+
+
 def write_partitioned(df: DataFrame, path: str, *by: str, mode: str = "errorifexists") -> None:
-    """Parquet in one folder per value of ``by``; a hot value is split over several files."""
-    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
+    """Parquet in one folder per value of ``by``."""
+    with _foldered(df, by) as writer:
+        writer.mode(mode).parquet(path)
 
 
 def write_day_hour(df: DataFrame, path: str) -> None:
@@ -25,11 +47,6 @@ def write_day_hour(df: DataFrame, path: str) -> None:
 
     Replaces the days and hours present in ``df`` and keeps the others, so a batch can be run again.
     """
-    (
-        df.hint("rebalance", "day", "hour")
-        .write.mode("overwrite")
-        .option("compression", "none")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day", "hour")
-        .parquet(path)
-    )
+    with _foldered(df, ["day", "hour"]) as writer:
+        options = {"compression": "none", "partitionOverwriteMode": "dynamic"}
+        writer.mode("overwrite").options(**options).parquet(path)

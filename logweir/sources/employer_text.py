@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import fnmatch
+import io
+import posixpath
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,6 +18,7 @@ from logweir.functions.codes import GENDER_LABELS, UNKNOWN_GENDER, gender_label
 from logweir.functions.text import split_java
 
 SPLIT_BYTES = 64 * 1024 * 1024
+READ_BYTES = 1024 * 1024
 
 
 def employer_schema(last: str = "com") -> StructType:
@@ -115,9 +119,6 @@ class EmployerReader(DataSourceReader):
 
 def matching_files(path: str) -> list[tuple[str, int]]:
     """Files of a path, folder or glob on any file system Arrow knows, with their sizes."""
-    import fnmatch
-    import posixpath
-
     filesystem, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
     prefix = path[: len(path) - len(inner)] if path.endswith(inner) else ""
     pattern = "*"
@@ -134,7 +135,7 @@ def split_lines(split: FileSplit) -> Iterator[str]:
     filesystem, inner = (
         fs.FileSystem.from_uri(split.path) if "://" in split.path else (fs.LocalFileSystem(), split.path)
     )
-    with filesystem.open_input_file(inner) as source:
+    with io.BufferedReader(filesystem.open_input_file(inner), READ_BYTES) as source:
         at = split.start
         if at > 0:
             # Step back one byte: a line that starts right at the split is then not skipped.
