@@ -31,12 +31,11 @@ def json_status(col: Column, field: str = "product_status", default: int = -1) -
     ``default`` for NULL, malformed or non-object text, an absent field and a non-number; an
     explicit JSON null gives 0, and numbers beyond INT stop at its limits.
     """
-    is_object = F.ltrim(col).startswith("{")
-    number = F.from_json(col, f"`{field}` DOUBLE")[field]
-    bounded = F.greatest(F.least(number, F.lit(float(_INT_MAX))), F.lit(float(_INT_MIN)))
     has_null = F.array_contains(F.json_object_keys(col), field) & F.get_json_object(col, f"$['{field}']").isNull()
-    return (
-        F.when(is_object & number.isNotNull(), bounded.cast("int"))
-        .when(is_object & has_null, F.lit(0))
-        .otherwise(F.lit(default))
-    )
+
+    def whole(number: Column) -> Column:
+        beyond = F.when(number > _INT_MAX, F.lit(_INT_MAX)).when(number < _INT_MIN, F.lit(_INT_MIN))
+        return F.coalesce(number.try_cast("int"), beyond, F.when(has_null, F.lit(0)), F.lit(default))
+
+    # The one-element array holds the parsed number, so that the text is parsed once.
+    return F.transform(F.array(F.from_json(col, f"`{field}` DOUBLE")[field]), whole)[0]

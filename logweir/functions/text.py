@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -16,11 +17,17 @@ def split_java(col: Column, sep: str) -> Column:
     The empty string gives one empty field; a string of separators only gives none.
     """
     if sep == WHITESPACE:
-        core = F.rtrim(col, F.lit(" \t\n\x0b\f\r"))
+        ends = " \t\n\x0b\f\r"
     elif _LITERAL.fullmatch(sep):
-        core = F.rtrim(col, F.lit(sep))
+        ends = sep
     else:
-        core = F.regexp_replace(col, f"(?:{sep})++$", "")
+        return _trimmed_split(col, F.regexp_replace(col, f"(?:{sep})++$", ""), sep)
+    # Trimming reads the whole text, so only the few texts that end in a separator get it.
+    ended = reduce(Column.__or__, (F.endswith(col, F.lit(char)) for char in ends))
+    return F.when(~ended, F.split(col, sep)).otherwise(_trimmed_split(col, F.rtrim(col, F.lit(ends)), sep))
+
+
+def _trimmed_split(col: Column, core: Column, sep: str) -> Column:
     return (
         F.when(col == "", F.array(F.lit("")))
         .when(core == "", F.array().cast("array<string>"))

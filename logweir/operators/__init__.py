@@ -26,6 +26,7 @@ from logweir.operators.joins import (
     blocklist,
     broadcast_if_small,
     flag_join,
+    is_small,
     join_on,
     lookup_join,
 )
@@ -61,6 +62,7 @@ __all__ = [
     "format_row",
     "global_sql",
     "hits_and_sum",
+    "is_small",
     "join_on",
     "last_value",
     "list_catalog",

@@ -12,14 +12,19 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 _STRATEGIES = {"merge", "shuffle_hash"}
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` marked for broadcast when a count shows it is within both bounds, else unchanged.
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is within both bounds, found by one aggregation over it.
 
-    Runs one aggregation over ``df``.
+    Spark's own estimate of a joined or filtered table can be far off, this is exact.
     """
     width = F.octet_length(F.to_json(F.struct("*")))
     rows, size = df.select(width.alias("width")).agg(F.count("*"), F.coalesce(F.sum("width"), F.lit(0))).first()
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+    return rows <= max_rows and size <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast when it is small, else unchanged."""
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def join_on(

@@ -5,16 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from logweir.functions import json_status
-from logweir.operators import join_on, top_n
+from logweir.operators import is_small, join_on, top_n
 
 COLUMNS = ["product_id", "product_name", "product_status", "area", "click_count", "day", "rank"]
 
 
 def area_clicks(clicks: DataFrame, cities: DataFrame) -> DataFrame:
-    """Clicks of each product in each area, from clicks (``c_city_id``, ``c_product_id``)."""
-    # Counted per city before the join: a city with very many clicks joins as one row per product.
+    """Clicks of each product in each area, from clicks (``c_city_id``, ``c_product_id``).
+
+    The size of ``cities`` is checked. Few enough to broadcast, they are joined to the clicks where
+    these lie and only counts are shuffled. Otherwise clicks are first counted per city and
+    product, so that a hot city joins as one row per product.
+    """
+    cities = cities.select("city_id", "area")
+    if is_small(cities):
+        placed = join_on(clicks, F.broadcast(cities), [("c_city_id", "city_id")])
+        return placed.groupBy("area", "c_product_id").agg(F.count("*").alias("click_count"))
     per_city = clicks.groupBy("c_city_id", "c_product_id").agg(F.count("*").alias("clicks"))
-    placed = join_on(per_city, cities.select("city_id", "area"), [("c_city_id", "city_id")])
+    placed = join_on(per_city, cities, [("c_city_id", "city_id")])
     return placed.groupBy("area", "c_product_id").agg(F.sum("clicks").alias("click_count"))
 
 
