@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType, VariantType
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -17,11 +19,22 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
 
     Spark's own estimate of a joined or filtered table can be far off, this is exact.
     """
-    width = F.octet_length(F.to_json(F.struct("*")))
-    rows, size = df.select(width.alias("width")).agg(F.count("*"), F.coalesce(F.sum("width"), F.lit(0))).first()
+    widths = [_width(field) for field in df.schema]
+    row_width = reduce(Column.__add__, widths, F.lit(0).cast("bigint"))
+    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(row_width), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 
+def _width(field: StructField) -> Column:
+    """Bytes of a column in one row."""
+    name = f"`{field.name}`"
+    if isinstance(field.dataType, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(name), F.lit(0)) + 8
+    if isinstance(field.dataType, (ArrayType, MapType, StructType, VariantType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0))
+    return F.lit(8)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` marked for broadcast when it is small, else unchanged."""
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df

@@ -13,12 +13,26 @@ def ranked(df: DataFrame, order: Sequence[Column | str], limit: int | None = Non
     return out if limit is None else out.limit(limit)
 
 
-def top_n(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, rank_col: str = "rank") -> DataFrame:
+def top_n(
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, rank_col: str = "rank", splits: int | None = None
+) -> DataFrame:
     """First ``n`` rows of each group with their position.
 
-    Spark keeps ``n`` rows per group in every task before the shuffle. Add a tie-break to
-    ``order`` for repeatable results.
+    Spark keeps ``n`` rows per group in every task before the shuffle, for ``n`` within its
+    ``spark.sql.optimizer.windowGroupLimitThreshold``. Beyond that each group is first cut to
+    ``n`` rows in each of ``splits`` parts, so that no task sorts a whole hot group. Add a
+    tie-break to ``order`` for repeatable results.
     """
+    if splits is None:
+        threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+        splits = 1 if n <= threshold else 64
+    if splits > 1:
+        parted = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(splits)))
+        df = _ranked_within(parted, [*by, "_part"], order, n, "_cut").drop("_part", "_cut")
+    return _ranked_within(df, by, order, n, rank_col)
+
+
+def _ranked_within(df, by, order, n, rank_col) -> DataFrame:
     position = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     return df.withColumn(rank_col, position).filter(F.col(rank_col) <= n)
 

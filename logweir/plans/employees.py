@@ -39,9 +39,12 @@ def read_employees(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def run(spark: SparkSession, source: str, out: str, size_mb: int = 128) -> dict[str, int]:
-    """Load a batch of text files and write it; returns the ``total`` and ``errors`` counts."""
+def run(spark: SparkSession, source: str, out: str, size_mb: int = 128, gather: bool = True) -> dict[str, int]:
+    """Load a batch of text files and write it; returns the ``total`` and ``errors`` counts.
+
+    For ``gather`` see ``write_day_hour``.
+    """
     lines = sized(read_lines(spark, source), source, size_mb)
     rows, metrics = parse_employees(lines)
-    write_day_hour(rows, out)
+    write_day_hour(rows, out, gather)
     return metrics.get

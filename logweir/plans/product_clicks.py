@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logweir.functions import json_status
 from logweir.operators import is_small, join_on, top_n
+from logweir.sinks import write_jdbc
+from logweir.sources import read_jdbc_query
 
 COLUMNS = ["product_id", "product_name", "product_status", "area", "click_count", "day", "rank"]
 
@@ -39,3 +43,14 @@ def top_products(
     counted = join_on(area_clicks(clicks, cities), named, [("c_product_id", "product_id")])
     described = counted.drop("c_product_id").withColumn("day", F.lit(day))
     return top_n(described, ["area"], [F.desc("click_count"), F.asc("product_id")], n).select(*COLUMNS)
+
+
+def run(spark: SparkSession, url: str, props: Mapping[str, str], clicks: str, target: str, day: str) -> None:
+    """Add the ranking of ``day`` to a database table.
+
+    Cities and products come from the database at ``url``, clicks from a catalog table.
+    """
+    cities = read_jdbc_query(spark, url, "select city_id, city_name, area from city_info", props)
+    products = read_jdbc_query(spark, url, "select product_id, product_name, extend_info from product_info", props)
+    rows = spark.table(clicks).selectExpr("city_id AS c_city_id", "product_id AS c_product_id")
+    write_jdbc(top_products(rows, cities, products, day), url, target, "append", props=props, connections=1)

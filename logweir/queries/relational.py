@@ -110,9 +110,9 @@ def conform_schema(t: Tables) -> DataFrame:
     return conform(t.supplier, wanted)
 
 
-@query("SELECT n_name FROM nation WHERE n_regionkey BETWEEN 1 AND 3")
+@query("SELECT c_name FROM customer WHERE c_acctbal BETWEEN 13 AND 1900")
 def temp_view_sql(t: Tables) -> DataFrame:
-    return sql_over(t.nation, "nation_view", "SELECT n_name FROM nation_view WHERE n_regionkey BETWEEN 1 AND 3")
+    return sql_over(t.customer, "customer_view", "SELECT c_name FROM customer_view WHERE c_acctbal BETWEEN 13 AND 1900")
 
 
 @query("SELECT * FROM region")

@@ -43,10 +43,10 @@ def scan_parquet(t: Tables) -> DataFrame:
     return t.spark.read.load(t.path("nation"))
 
 
-@query("SELECT r_regionkey, r_name FROM region WHERE r_regionkey < 3")
+@query("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0")
 def sql_on_file(t: Tables) -> DataFrame:
-    sql = "SELECT r_regionkey, r_name FROM {source} WHERE r_regionkey < 3"
-    return sql_on_path(t.spark, "parquet", t.path("region"), sql)
+    sql = "SELECT c_custkey, c_acctbal FROM {source} WHERE c_acctbal > 0"
+    return sql_on_path(t.spark, "parquet", t.path("customer"), sql)
 
 
 @query(
@@ -83,12 +83,14 @@ def json_lines_scan(t: Tables) -> DataFrame:
 
 @query(
     """
-    SELECT c_custkey AS key, 'val_' || c_custkey AS value, c_name FROM customer WHERE c_custkey > 0
+    SELECT c_custkey + 1 AS key, 'val_' || (c_custkey + 1) AS value, c_name FROM customer
     """
 )
 def range_records(t: Tables) -> DataFrame:
+    # Customer keys count from 0, the records from 1.
     made = records(t.spark, t.customer.count())
-    return join_on(made, t.customer, [("key", "c_custkey")]).select("key", "value", "c_name")
+    numbered = t.customer.select((F.col("c_custkey") + 1).alias("number"), "c_name")
+    return join_on(made, numbered, [("key", "number")]).select("key", "value", "c_name")
 
 
 @query(
@@ -190,11 +192,11 @@ def parquet_roundtrip(t: Tables) -> DataFrame:
     return t.spark.read.parquet(out)
 
 
-@query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
 def partitioned_roundtrip(t: Tables) -> DataFrame:
     out = t.scratch("partitioned")
     write_partitioned(t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), out, "o_orderstatus")
-    return t.spark.read.parquet(out).filter("o_orderstatus = 'F'")
+    return t.spark.read.parquet(out)
 
 
 @query("SELECT c_custkey, c_name, o_orderkey FROM customer JOIN orders ON c_custkey = o_custkey")
@@ -215,11 +217,11 @@ def part_bucket_roundtrip(t: Tables) -> DataFrame:
     return t.spark.table(table)
 
 
-@query("SELECT n_name, n_regionkey FROM nation WHERE n_regionkey < 3")
+@query("SELECT c_custkey AS id, c_name FROM customer")
 def catalog_table_scan(t: Tables) -> DataFrame:
-    table = _name("nation_table")
-    t.nation.write.option("path", t.scratch("table")).saveAsTable(table)
-    return t.spark.sql(f"SELECT n_name, n_regionkey FROM {table} WHERE n_regionkey < 3")
+    table = _name("customer_table")
+    t.customer.write.option("path", t.scratch("table")).saveAsTable(table)
+    return t.spark.sql(f"SELECT c_custkey AS id, c_name FROM {table}")
 
 
 @query("SELECT r_regionkey, r_name FROM region")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from logweir.operators import blocklist
+from logweir.operators import blocklist, explode_tokens
 from logweir.queries.registry import Tables, query
 from logweir.queries.relational import _BUSY_USERS, _busy_users
 from logweir.sources import stream_files
@@ -46,6 +46,19 @@ def stream_batch_count(t: Tables) -> DataFrame:
     return batch_results(t.spark, out, _COUNT_SCHEMA)
 
 
+@query(
+    """
+    SELECT word, count(*) AS count, 0::BIGINT AS batch_id FROM (
+      SELECT event_type AS word FROM events UNION ALL SELECT 'user' || user_id FROM events) GROUP BY word
+    """
+)
+def stream_log_words(t: Tables) -> DataFrame:
+    log = _events(t).select(F.concat_ws(",", "event_type", F.concat(F.lit("user"), "user_id")).alias("value"))
+    out = t.scratch("stream")
+    batch_counts(explode_tokens(log, "value", ","), "word", out, t.scratch("stream-state")).awaitTermination()
+    return batch_results(t.spark, out, "word string, count long")
+
+
 @query("SELECT user_id, count(*) AS count FROM events GROUP BY user_id")
 def stream_running_count(t: Tables) -> DataFrame:
     return last_batch(_results(t, running_counts(_events(t), "user_id"), "complete"))

@@ -42,11 +42,16 @@ def write_partitioned(df: DataFrame, path: str, *by: str, mode: str = "errorifex
         writer.mode(mode).parquet(path)
 
 
-def write_day_hour(df: DataFrame, path: str) -> None:
+def write_day_hour(df: DataFrame, path: str, gather: bool = True) -> None:
     """Uncompressed Parquet by ``day`` and ``hour``.
 
     Replaces the days and hours present in ``df`` and keeps the others, so a batch can be run again.
+    ``gather=False`` saves the shuffle where the input files hold few hours each.
     """
-    with _foldered(df, ["day", "hour"]) as writer:
-        options = {"compression": "none", "partitionOverwriteMode": "dynamic"}
+    by = ["day", "hour"]
+    options = {"compression": "none", "partitionOverwriteMode": "dynamic"}
+    if not gather:
+        df.write.mode("overwrite").partitionBy(*by).options(**options).parquet(path)
+        return
+    with _foldered(df, by) as writer:
         writer.mode("overwrite").options(**options).parquet(path)

@@ -17,7 +17,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from logweir.functions.codes import GENDER_LABELS, UNKNOWN_GENDER, gender_label
 from logweir.functions.text import split_java
 
-SPLIT_BYTES = 64 * 1024 * 1024
+SPLIT_BYTES = 128 * 1024 * 1024
 READ_BYTES = 1024 * 1024
 
 
@@ -117,9 +117,16 @@ class EmployerReader(DataSourceReader):
         return pa.RecordBatch.from_arrays(columns, schema=arrow_schema)
 
 
+def _locate(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and inner path; a path without a scheme is a local or mounted one."""
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path.removeprefix("file:")
+
+
 def matching_files(path: str) -> list[tuple[str, int]]:
     """Files of a path, folder or glob on any file system Arrow knows, with their sizes."""
-    filesystem, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    filesystem, inner = _locate(path)
     prefix = path[: len(path) - len(inner)] if path.endswith(inner) else ""
     pattern = "*"
     if any(c in inner for c in "*?["):
@@ -132,9 +139,7 @@ def matching_files(path: str) -> list[tuple[str, int]]:
 
 def split_lines(split: FileSplit) -> Iterator[str]:
     """Lines that start inside a split, blank ones left out."""
-    filesystem, inner = (
-        fs.FileSystem.from_uri(split.path) if "://" in split.path else (fs.LocalFileSystem(), split.path)
-    )
+    filesystem, inner = _locate(split.path)
     with io.BufferedReader(filesystem.open_input_file(inner), READ_BYTES) as source:
         at = split.start
         if at > 0:

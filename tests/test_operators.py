@@ -254,6 +254,18 @@ def test_top_n_matches_brute_force(spark, data, n):
     assert rows(op.top_n(df, ["k"], [F.desc("v"), F.asc("id")], n)) == sorted(wanted, key=repr)
 
 
+@pytest.mark.parametrize("splits", [None, 1, 5])
+def test_top_n_of_a_hot_group(spark, skewed, splits):
+    data, df = skewed
+    groups = defaultdict(list)
+    for k, v, i in data:
+        groups[k].append((-v, i))
+    wanted = [(k, -v, i, r) for k, g in groups.items() for r, (v, i) in enumerate(sorted(g)[:20], 1)]
+    top = op.top_n(df, ["k"], [F.desc("v"), F.asc("id")], 20, splits=splits)
+    assert rows(top) == sorted(wanted, key=repr)
+    assert op.top_n(df, ["k"], [F.desc("v"), F.asc("id")], 2000).count() == len(data)
+
+
 def test_ranked(spark):
     df = spark.createDataFrame([("x", 1), ("y", 3), ("z", 3)], "k string, n int")
     assert [r.k for r in op.ranked(df, [F.desc("n"), "k"]).collect()] == ["y", "z", "x"]
@@ -303,10 +315,10 @@ def test_map_batches_sets_up_once_per_partition(spark):
 
 
 def test_upsert(spark):
-    base = spark.createDataFrame([(f"pk-{i}", 1000 + i) for i in range(1, 11)], "word string, cnt int")
-    changes = spark.createDataFrame([("pk-10", 8888), ("pk-11", 1)], "word string, cnt int")
+    base = spark.createDataFrame([(f"key-{i}", 1000 + i) for i in range(1, 11)], "word string, cnt int")
+    changes = spark.createDataFrame([("key-10", 8888), ("key-11", 1)], "word string, cnt int")
     once = op.upsert(base, changes, ["word"])
-    wanted = {**{f"pk-{i}": 1000 + i for i in range(1, 10)}, "pk-10": 8888, "pk-11": 1}
+    wanted = {**{f"key-{i}": 1000 + i for i in range(1, 10)}, "key-10": 8888, "key-11": 1}
     assert dict(rows(once)) == wanted and once.count() == 11
     assert rows(op.upsert(once, changes, ["word"])) == rows(once)
 
