@@ -49,12 +49,15 @@ def resource_path(url: Column, domain: Column, mode: str = "spec") -> Column:
     """File part of ``url`` after ``//domain/``; NULL when the URL is on another domain.
 
     ``spec`` gives ``/a/b.html`` without query and fragment; ``code`` gives the bare remainder,
-    query included. The domain is matched literally.
+    query included, up to the next ``//domain/``. The domain is matched literally.
     """
+    if mode not in ("spec", "code"):
+        raise ValueError(f"unknown mode {mode!r}")
     marker = F.concat(F.lit("//"), domain, F.lit("/"))
-    rest = F.split_part(url, marker, F.lit(2))
+    at = F.call_function("instr", url, marker)
+    rest = F.call_function("substring", url, at + F.length(marker))
     if mode == "code":
-        return F.when(F.contains(url, marker), F.nullif(rest, F.lit("")))
-    if mode != "spec":
-        raise ValueError(f"unknown mode {mode!r}")
-    return F.when(F.contains(url, marker), F.concat(F.lit("/"), F.regexp_extract(rest, "^[^?#]*", 0)))
+        cut = F.nullif(F.call_function("substring_index", rest, marker, F.lit(1)), F.lit(""))
+    else:
+        cut = F.concat(F.lit("/"), F.substring_index(F.substring_index(rest, "?", 1), "#", 1))
+    return F.when(F.contains(url, marker), cut)
