@@ -30,18 +30,18 @@ HEADLINE = [
     "job_emp_etl",
     "page_view_rank",
     "sorted_word_count",
-    "word_count_docs",
+    "word_count",
     "group_count_sum",
     "topn_per_group",
     "topn_by_traffic",
-    "first_value_order",
+    "first_value",
     "collect_by_key",
     "join_inner",
     "join_shuffled",
     "join_broadcast",
     "upsert_orders",
-    "json_status_events",
-    "epoch_millis_orders",
+    "json_status",
+    "epoch_millis",
     "udf_df",
     "stream_running_count",
     "stream_sliding_count",

@@ -23,3 +23,7 @@ def page_view_rank(lines: DataFrame, position: int = 1, col: str = "value") -> D
 
 def run(spark: SparkSession, source: str, out: str) -> None:
     write_text(sorted_word_count(read_lines(spark, source)), out, sep="\t")
+
+
+def run_page_views(spark: SparkSession, source: str, out: str) -> None:
+    write_text(page_view_rank(read_lines(spark, source)), out, sep="\t")

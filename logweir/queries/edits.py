@@ -42,7 +42,8 @@ def upsert_columns(t: Tables) -> DataFrame:
     """
     SELECT c_custkey, CASE WHEN c_mktsegment = 'MACHINERY' THEN 1000.0 ELSE c_acctbal END::DOUBLE AS c_acctbal
     FROM customer
-    """
+    """,
+    name="update_where",
 )
 def update_where_segment(t: Tables) -> DataFrame:
     raised = {"c_acctbal": F.lit(1000.0)}
@@ -53,7 +54,8 @@ def update_where_segment(t: Tables) -> DataFrame:
     """
     SELECT c_custkey FROM customer
     WHERE c_mktsegment = 'BUILDING' OR c_mktsegment <> 'MACHINERY'
-    """
+    """,
+    name="delete_where",
 )
 def delete_where_segment(t: Tables) -> DataFrame:
     # The condition is NULL for one segment, whose rows must stay.
@@ -61,7 +63,7 @@ def delete_where_segment(t: Tables) -> DataFrame:
     return delete_where(t.customer, segment == "MACHINERY").select("c_custkey")
 
 
-@query("SELECT r_name AS name FROM region UNION ALL SELECT n_name FROM nation")
+@query("SELECT r_name AS name FROM region UNION ALL SELECT n_name FROM nation", name="append_rows")
 def append_rows_names(t: Tables) -> DataFrame:
     return append_rows(t.region.select(F.col("r_name").alias("name")), t.nation.select(F.col("n_name").alias("name")))
 

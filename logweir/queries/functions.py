@@ -66,14 +66,15 @@ def url_resource(t: Tables) -> DataFrame:
     """
     SELECT event_id, CASE WHEN event_type = 'error' THEN '1901010101' ELSE strftime(ts, '%Y%m%d%H') END AS hour
     FROM events
-    """
+    """,
+    name="hour_bucket",
 )
 def hour_bucket_events(t: Tables) -> DataFrame:
     stamp = F.when(F.col("event_type") == "error", F.lit("short")).otherwise(F.date_format("ts", "yyyyMMddHHmmss"))
     return t.events.select("event_id", hour_bucket(stamp).alias("hour"))
 
 
-@query("SELECT event_id, strftime(ts, '%Y%m%d%H%M%S') AS time FROM events")
+@query("SELECT event_id, strftime(ts, '%Y%m%d%H%M%S') AS time FROM events", name="bracket_time")
 def bracket_time_events(t: Tables) -> DataFrame:
     raw = F.concat(F.lit("["), F.date_format("ts", "yyyyMMddHHmmss"), F.lit(" +0800]"))
     return t.events.select("event_id", bracket_time(raw).alias("time"))
@@ -89,7 +90,7 @@ def _mixed_number(lang: Column) -> Column:
     )
 
 
-@query("SELECT doc_id, CASE WHEN lang IN ('en', 'de') THEN n_chars ELSE 0 END AS number FROM documents")
+@query("SELECT doc_id, CASE WHEN lang IN ('en', 'de') THEN n_chars ELSE 0 END AS number FROM documents", name="safe_long")
 def safe_long_docs(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", safe_long(_mixed_number(F.col("lang"))).alias("number"))
 
@@ -98,7 +99,8 @@ def safe_long_docs(t: Tables) -> DataFrame:
     """
     SELECT event_id, CASE event_type WHEN 'view' THEN 0.0 WHEN 'error' THEN 0.0 ELSE value END::DOUBLE AS number
     FROM events
-    """
+    """,
+    name="safe_double",
 )
 def safe_double_events(t: Tables) -> DataFrame:
     raw = F.when(F.col("event_type") == "view", F.lit("n/a")).when(
@@ -116,7 +118,8 @@ def strict_cast(t: Tables) -> DataFrame:
 @query(
     """
     SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE epoch_ms(o_orderdate) END AS millis FROM orders
-    """
+    """,
+    name="epoch_millis",
 )
 def epoch_millis_orders(t: Tables) -> DataFrame:
     text = F.when(F.col("o_orderstatus") == "P", F.lit("pending")).otherwise(
@@ -146,7 +149,8 @@ def day_hour(t: Tables) -> DataFrame:
       WHEN 'purchase' THEN 0
       ELSE -1 END AS INTEGER) AS status
     FROM events
-    """
+    """,
+    name="json_status",
 )
 def json_status_events(t: Tables) -> DataFrame:
     number = F.get_json_object("props", "$.k")
@@ -177,7 +181,7 @@ _ITEMS = """
     """
 
 
-@query(_ITEMS.format(key="conv_id, turn", table="conversations"))
+@query(_ITEMS.format(key="conv_id, turn", table="conversations"), name="like_count")
 def like_count_native(t: Tables) -> DataFrame:
     return t.conversations.select("conv_id", "turn", item_count(F.col("text")).alias("num"))
 

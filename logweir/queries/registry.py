@@ -28,13 +28,16 @@ class Tables:
         return scratch_path(self.spark, label)
 
 
-def query(sql: str | None = None) -> Callable:
-    """Register a function of ``Tables`` under its own name."""
+def query(sql: str | None = None, name: str | None = None) -> Callable:
+    """Register a function of ``Tables``, under its own name unless another is given."""
 
     def register(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        QUERIES[fn.__name__] = lambda spark, folder: fn(Tables(spark, folder))
+        key = name or fn.__name__
+        if key in QUERIES:
+            raise ValueError(f"two queries named {key}")
+        QUERIES[key] = lambda spark, folder: fn(Tables(spark, folder))
         if sql is not None:
-            ORACLES[fn.__name__] = sql
+            ORACLES[key] = sql
         return fn
 
     return register

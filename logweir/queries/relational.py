@@ -64,7 +64,7 @@ def project_literal(t: Tables) -> DataFrame:
     return with_expr(with_expr(named, "ages", F.lit(1)), "day", F.lit("2019-05-21"))
 
 
-@query("SELECT 'Key: ' || n_nationkey || ', Value: ' || n_name AS value FROM nation")
+@query("SELECT 'Key: ' || n_nationkey || ', Value: ' || n_name AS value FROM nation", name="format_row")
 def format_row_text(t: Tables) -> DataFrame:
     return t.nation.select(format_row("Key: {}, Value: {}", "n_nationkey", "n_name").alias("value"))
 
@@ -251,7 +251,7 @@ def join_self(t: Tables) -> DataFrame:
 _WORDS = r"unnest(string_split_regex(rtrim(text, E' \t\n\r\f\x0B'), '\s+'))"
 
 
-@query(f"SELECT word, count(*) AS count FROM (SELECT {_WORDS} AS word FROM documents) GROUP BY word")
+@query(f"SELECT word, count(*) AS count FROM (SELECT {_WORDS} AS word FROM documents) GROUP BY word", name="word_count")
 def word_count_docs(t: Tables) -> DataFrame:
     return word_count(t.documents, "text", WHITESPACE)
 
@@ -300,7 +300,7 @@ def global_sum_len(t: Tables) -> DataFrame:
     return totals(t.part, name_chars=F.sum(F.length("p_name")), sizes=F.sum("p_size"))
 
 
-@query("SELECT CAST(sum(p_size) // count(*) AS BIGINT) AS mean_size FROM part")
+@query("SELECT CAST(sum(p_size) // count(*) AS BIGINT) AS mean_size FROM part", name="int_mean")
 def int_mean_size(t: Tables) -> DataFrame:
     return totals(t.part, mean_size=int_mean("p_size"))
 
@@ -365,7 +365,8 @@ def etl_metrics(t: Tables) -> DataFrame:
     SELECT CASE WHEN starts_with(url, 'http://') THEN '-'
                 ELSE regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) END AS domain, count(*) AS pv
     FROM pages GROUP BY 1
-    """
+    """,
+    name="pv_by_domain",
 )
 def pv_by_domain_pages(t: Tables) -> DataFrame:
     return pv_by_domain(access_lines(t.pages).select(split_java(F.col("value"), "\t").alias("fields")))
@@ -442,7 +443,8 @@ def topn_by_traffic(t: Tables) -> DataFrame:
     """
     SELECT o_custkey, o_orderkey, first_value(o_orderstatus) OVER (
       PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS first_value FROM orders
-    """
+    """,
+    name="first_value",
 )
 def first_value_order(t: Tables) -> DataFrame:
     orders = first_value(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderstatus")
@@ -454,7 +456,8 @@ def first_value_order(t: Tables) -> DataFrame:
     SELECT o_custkey, o_orderkey, last_value(o_orderstatus) OVER (
       PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
       ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_value FROM orders
-    """
+    """,
+    name="last_value",
 )
 def last_value_order(t: Tables) -> DataFrame:
     orders = last_value(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderstatus")

@@ -105,7 +105,7 @@ def word_stream(t: Tables) -> DataFrame:
     return words_for(t.events, "event_id")
 
 
-@query()
+@query(name="list_files")
 def file_listing(t: Tables) -> DataFrame:
     return list_files(t.spark, f"{t.folder}/*.parquet")
 

@@ -65,7 +65,9 @@ def parse_access_log(lines: DataFrame, arity: int | None = ACCESS_LOG_ARITY, col
 
 def json_schema(df: DataFrame, col: str) -> str:
     """Struct DDL that fits the JSON objects of a column, from one aggregation over it."""
-    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(col))).first()[0]
+    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(col))).first()[0] or ""
+    if not found.startswith("OBJECT<"):
+        raise ValueError(f"column {col} holds no JSON objects or a mix of kinds")
     ddl = re.sub(r"\bOBJECT<", "STRUCT<", found)
     ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
     return re.sub(r"\bVOID\b", "STRING", ddl)

@@ -96,23 +96,22 @@ def append_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parq
 
 
 def once_per_batch(fn: Callable[[DataFrame, int], None], ledger: str) -> Callable[[DataFrame, int], None]:
-    """A batch function that skips batches already listed in the ``ledger`` folder.
+    """A batch function that skips batches with an entry in the ``ledger`` folder.
 
-    The batch is listed after ``fn`` returns. A crash between the two runs it again, so ``fn``
-    should still replace rather than add.
+    The entry is made after ``fn`` returns. A crash between the two runs the batch again, so
+    ``fn`` should still replace rather than add.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, entry = batch.sparkSession, f"{ledger}/batch_id={batch_id}"
         try:
-            done = spark.read.schema("id bigint").parquet(ledger).filter(F.col("id") == batch_id)
-            if done.limit(1).count():
+            if not spark.read.schema("id bigint").parquet(entry).isEmpty():
                 return
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
         fn(batch, batch_id)
-        spark.range(batch_id, batch_id + 1, 1, 1).write.mode("append").parquet(ledger)
+        spark.range(batch_id, batch_id + 1, 1, 1).write.mode("overwrite").parquet(entry)
 
     return run
 

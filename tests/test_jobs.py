@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from logweir.__main__ import main
 from logweir.plans import access_log, cdn, employees, product_clicks, words
 from logweir.sources.files import ACCESS_LOG_FIELDS
 
@@ -167,3 +168,15 @@ def test_words(spark, tmp_path):
     source.write_text("a b\na\n")
     words.run(spark, str(source), str(tmp_path / "out"))
     assert rows(spark.read.text(str(tmp_path / "out"))) == [("a\t2",), ("b\t1",)]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    source = tmp_path / "in.txt"
+    source.write_text("u1,p1\nu2,p2\nu3,p2\n")
+    main(["page-views", str(source), str(tmp_path / "views")])
+    assert rows(spark.read.text(str(tmp_path / "views"))) == [("p1\t1",), ("p2\t2",)]
+    source.write_text("10\tn\t2019-06-08 10:40:39\t1\n")
+    main(["employees", str(source), str(tmp_path / "col")])
+    assert "'total': 1" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["other", "a", "b"])

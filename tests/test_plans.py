@@ -29,8 +29,8 @@ def plan_of(spark):
         "job_area_product_top3",
         "job_access_log_paid",
         "sorted_word_count",
-        "json_status_events",
-        "epoch_millis_orders",
+        "json_status",
+        "epoch_millis",
         "udaf_average",
         "word_stream",
     ],
@@ -74,7 +74,7 @@ def test_filters_reach_the_scan(plan_of, name, pushed):
         ("project_cols", "struct<c_name:string,c_mktsegment:string>"),
         ("group_count", "struct<event_type:string>"),
         ("hourly_sum", "struct<ts:timestamp_ntz,user_id:bigint,value:double>"),
-        ("word_count_docs", "struct<text:string>"),
+        ("word_count", "struct<text:string>"),
     ],
 )
 def test_scans_read_only_used_columns(plan_of, name, columns):
@@ -104,7 +104,7 @@ def test_join_strategy(spark, strategy, node):
 
 
 def test_edge_values_need_no_window(plan_of):
-    for name in ("first_value_order", "last_value_order"):
+    for name in ("first_value", "last_value"):
         assert "Window" not in plan_of(name)
 
 
@@ -119,4 +119,4 @@ def test_small_changes_do_not_shuffle_the_base(spark):
 
 
 def test_file_listing_reads_no_content(plan_of):
-    assert "ReadSchema: struct<path:string,length:bigint>" in plan_of("file_listing")
+    assert "ReadSchema: struct<path:string,length:bigint>" in plan_of("list_files")
