@@ -54,9 +54,11 @@ def collect_by(df: DataFrame, key: str, value: str, max_values: int = 100_000) -
     values fills several rows, told apart by ``chunk``, so no task holds an unbounded group.
     """
     distinct = df.groupBy(key, value).agg(F.count("*").alias("copies"))
+    # Counting by ``copies`` keeps this branch equal to the other one, so they share one shuffle.
+    entries = F.count_if(F.col("copies") > 0)
     chunks = (
         distinct.groupBy(F.col(key).alias("_key"))
-        .agg(F.ceil(F.count("*") / max_values).cast("int").alias("_chunks"))
+        .agg(F.ceil(entries / max_values).cast("int").alias("_chunks"))
         .filter("_chunks > 1")
     )
     chunk = F.pmod(F.xxhash64(value), F.coalesce("_chunks", F.lit(1))).cast("int")

@@ -413,6 +413,20 @@ def topn_per_group(t: Tables) -> DataFrame:
     return top_n(lines, ["l_returnflag"], order, 3).drop("l_partkey", "l_suppkey")
 
 
+@query(
+    """
+    SELECT * FROM (
+      SELECT o_orderstatus, o_orderkey, CAST(row_number() OVER (
+        PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rank
+      FROM orders) WHERE rank <= 2000
+    """
+)
+def topn_beyond_limit(t: Tables) -> DataFrame:
+    orders = t.orders.select("o_orderstatus", "o_orderkey", "o_totalprice")
+    order = [F.desc("o_totalprice"), F.asc("o_orderkey")]
+    return top_n(orders, ["o_orderstatus"], order, 2000).drop("o_totalprice")
+
+
 _PRIORITY_CUSTOMERS = """
     SELECT * FROM (
       SELECT *, CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY {measure} DESC, o_custkey)

@@ -82,6 +82,19 @@ def stream_custom_state(t: Tables) -> DataFrame:
     return states.groupBy("user_id").agg(F.max_by("total", "batch_id").alias("total"))
 
 
+@query("SELECT user_id, count(*) AS count FROM events GROUP BY user_id")
+def stream_restart(t: Tables) -> DataFrame:
+    """Two runs from one checkpoint, the second after new files have come."""
+    source, out, state = t.scratch("arriving"), t.scratch("stream"), t.scratch("stream-state")
+    early = F.col("event_type").isin("view", "click")
+    for part in (early, ~early):
+        t.events.filter(part).select("user_id").write.mode("append").parquet(source)
+        changed = changed_counts(stream_files(t.spark, source, t.events.select("user_id").schema), "user_id")
+        run_available(changed, out, state, "update")
+    results = batch_results(t.spark, out, "user_id long, count long")
+    return results.groupBy("user_id").agg(F.max_by("count", "batch_id").alias("count"))
+
+
 _HOURS = "strftime({}, '%Y-%m-%d %H:%M')"
 _SLIDES = "SELECT unnest([0, 1]) AS s"
 

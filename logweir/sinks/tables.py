@@ -20,7 +20,8 @@ def save_bucketed(
 ) -> None:
     """Parquet table in ``n`` hash buckets, sorted within each, optionally partitioned too.
 
-    ``gather`` shuffles the rows by bucket first, for one file per bucket instead of one per task.
+    ``gather`` shuffles the rows by bucket first, for one file per bucket instead of one per task;
+    leave it off where a bucket is too large for one task.
     """
     if gather:
         df = df.repartition(n, *cols)
