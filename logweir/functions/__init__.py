@@ -3,6 +3,7 @@ from logweir.functions.numbers import average, int_mean, safe_double, safe_int,
 from logweir.functions.text import item_count, resource_path, split_java, url_host
 from logweir.functions.times import (
     bracket_time,
+    compact_millis,
     compact_time,
     day_of,
     epoch_millis,
@@ -16,6 +17,7 @@ __all__ = [
     "MeanAggregator",
     "average",
     "bracket_time",
+    "compact_millis",
     "compact_time",
     "day_of",
     "decode",

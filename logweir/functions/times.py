@@ -38,9 +38,14 @@ def epoch_millis(col: Column) -> Column:
     return F.coalesce(exact, _lenient_millis(col), F.lit(0).cast("bigint"))
 
 
+def compact_millis(millis: Column) -> Column:
+    """``yyyyMMddHHmmss`` form of milliseconds since 1970."""
+    return F.date_format(F.timestamp_millis(millis), COMPACT_FORMAT)
+
+
 def compact_time(col: Column) -> Column:
     """``yyyyMMddHHmmss`` form of a time string; unreadable text gives the epoch."""
-    return F.date_format(F.timestamp_millis(epoch_millis(col)), COMPACT_FORMAT)
+    return compact_millis(epoch_millis(col))
 
 
 def day_of(compact: Column) -> Column:

@@ -46,11 +46,16 @@ def run_available(stream: DataFrame, out: str, checkpoint: str, mode: str = "app
 
 
 def batch_results(spark: SparkSession, out: str, schema: StructType | str) -> DataFrame:
-    """All batches written to ``out``, with their ``batch_id``."""
+    """All batches written to ``out``, with their ``batch_id``; no rows when there was no batch yet."""
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     with_id = StructType([*schema.fields]).add("batch_id", "long")
-    return spark.read.schema(with_id).parquet(out)
+    try:
+        return spark.read.schema(with_id).parquet(out)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], with_id)
 
 
 def last_batch(results: DataFrame) -> DataFrame:

@@ -91,6 +91,12 @@ def test_state_survives_restart(feed):
     assert dict(rows(st.last_batch(results))) == {"a": 2, "b": 2, "c": 1}
 
 
+def test_no_input_gives_no_rows(feed):
+    results = feed.run(st.running_counts(feed.words(), "word"), "complete")
+    assert results.count() == 0 and st.last_batch(results).count() == 0
+    assert results.columns == ["word", "count", "batch_id"]
+
+
 def test_custom_state(feed):
     feed.put("a b a a")
     feed.put("b c")
