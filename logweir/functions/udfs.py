@@ -27,10 +27,10 @@ def register_udfs(spark: SparkSession) -> None:
 
 
 def register_average(spark: SparkSession, name: str = "my_average") -> None:
-    """Make a mean usable in SQL text under ``name``.
+    """Make a mean usable in SQL text, as ``name(x)`` and as ``name_of(sum(x), count(x))``.
 
-    Spark hands such a function each group whole, so it suits small groups; ``average`` and
-    ``custom_aggregate`` merge partial results and have no such bound.
+    Spark hands the first each group whole, so it suits small groups. The second only finishes
+    built-in aggregates, which merge in each task first, and has no such bound.
     """
 
     @F.pandas_udf("double")
@@ -39,6 +39,10 @@ def register_average(spark: SparkSession, name: str = "my_average") -> None:
         return float(kept.sum()) / len(kept) if len(kept) else float("nan")
 
     spark.udf.register(name, mean)
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}_of(total DOUBLE, n BIGINT) RETURNS DOUBLE "
+        "RETURN IF(n = 0, double('NaN'), total / n)"
+    )
 
 
 class Aggregator:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from logweir.functions import MeanAggregator, average, int_mean, split_java
+from logweir.functions import MeanAggregator, average, int_mean, register_average, split_java
 from logweir.functions.text import WHITESPACE
 from logweir.operators import (
     allowlist,
@@ -327,6 +327,17 @@ def udaf_average(t: Tables) -> DataFrame:
     return customers.groupBy("c_nationkey").agg(average("cents").alias("mean_cents"))
 
 
+@query(_MEAN_CENTS)
+def udaf_sql(t: Tables) -> DataFrame:
+    register_average(t.spark, "mean")
+    customers = t.customer.select("c_nationkey", cents("c_acctbal").alias("cents"))
+    sql = """
+        SELECT c_nationkey, mean_of(sum(cents), count(cents)) AS mean_cents
+        FROM customer_cents GROUP BY c_nationkey
+        """
+    return sql_over(customers, "customer_cents", sql)
+
+
 @query(_MEAN_CENTS)
 def udaf_custom(t: Tables) -> DataFrame:
     customers = t.customer.select("c_nationkey", cents("c_acctbal").alias("cents"))

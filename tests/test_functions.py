@@ -141,3 +141,6 @@ def test_registered_average(spark):
     fn.register_average(spark, "my_average")
     assert spark.sql("SELECT my_average(salary) AS a FROM pay").first().a == 3750.0
     assert pay.agg(fn.average("salary").alias("a")).first().a == 3750.0
+    merged = "SELECT my_average_of(sum(salary), count(salary)) AS a FROM pay"
+    assert spark.sql(merged).first().a == 3750.0
+    assert math.isnan(spark.sql(merged + " WHERE salary < 0").first().a)
