@@ -31,17 +31,23 @@ def parse_employees(lines: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def read_employees(spark: SparkSession, path: str) -> DataFrame:
-    """Rows written by ``run``; ``day`` and ``hour`` stay text."""
-    schema = "id int, name string, time bigint, salary double, day string, hour string"
+    """Rows of all batches written by ``run``; ``day`` and ``hour`` stay text."""
+    schema = "id int, name string, time bigint, salary double, batch string, day string, hour string"
     return spark.read.schema(schema).parquet(path)
 
 
-def run(spark: SparkSession, source: str, out: str, size_mb: int = 128, gather: bool = True) -> dict[str, int]:
+def run(
+    spark: SparkSession, source: str, out: str, batch: str | None = None, size_mb: int = 128, gather: bool = True
+) -> dict[str, int]:
     """Load a batch of text files and write it; returns the ``total`` and ``errors`` counts.
 
-    For ``gather`` see ``write_day_hour``.
+    The batch is named after the source unless a name is given. Running it again replaces its rows
+    only. For ``gather`` see ``write_day_hour``.
     """
+    batch = batch or source.rstrip("/").rsplit("/", 1)[-1]
+    if set(batch) & set("*?[]{}/="):
+        raise ValueError(f"name the batch, {batch!r} cannot be a folder name")
     lines = sized(read_lines(spark, source), source, size_mb)
     rows, metrics = parse_employees(lines)
-    write_day_hour(rows, out, gather)
+    write_day_hour(rows, out, batch, gather)
     return metrics.get

@@ -125,7 +125,7 @@ def job_emp_etl(t: Tables) -> DataFrame:
     raw, out = t.scratch("employee-lines"), t.scratch("employees")
     employee_lines(t.events).write.text(raw)
     employees.run(t.spark, raw, out)
-    return employees.read_employees(t.spark, out)
+    return employees.read_employees(t.spark, out).drop("batch")
 
 
 @query(

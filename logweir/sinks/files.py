@@ -42,16 +42,19 @@ def write_partitioned(df: DataFrame, path: str, *by: str, mode: str = "errorifex
         writer.mode(mode).parquet(path)
 
 
-def write_day_hour(df: DataFrame, path: str, gather: bool = True) -> None:
-    """Uncompressed Parquet by ``day`` and ``hour``.
+def write_day_hour(df: DataFrame, path: str, batch: str | None = None, gather: bool = True) -> None:
+    """Uncompressed Parquet by ``day`` and ``hour``; a batch can be written again.
 
-    Replaces the days and hours present in ``df`` and keeps the others, so a batch can be run again.
+    With a ``batch`` name its rows go to ``batch=<name>`` under ``path`` and replace what an earlier
+    run of the same batch left, rows of other batches for the same hour staying. Without one the
+    days and hours present in ``df`` are replaced and the others kept.
     ``gather=False`` saves the shuffle where the input files hold few hours each.
     """
     by = ["day", "hour"]
-    options = {"compression": "none", "partitionOverwriteMode": "dynamic"}
+    target = path if batch is None else f"{path}/batch={batch}"
+    options = {"compression": "none", "partitionOverwriteMode": "dynamic" if batch is None else "static"}
     if not gather:
-        df.write.mode("overwrite").partitionBy(*by).options(**options).parquet(path)
+        df.write.mode("overwrite").partitionBy(*by).options(**options).parquet(target)
         return
     with _foldered(df, by) as writer:
-        writer.mode("overwrite").options(**options).parquet(path)
+        writer.mode("overwrite").options(**options).parquet(target)

@@ -142,7 +142,7 @@ def test_product_clicks(shop, monkeypatch, small):
 
 
 def test_employees(spark, tmp_path):
-    source, out = tmp_path / "raw", str(tmp_path / "col")
+    source, out = tmp_path / "2019060810", str(tmp_path / "col")
     source.mkdir()
     lines = ["10\tname10\t2019-06-08 10:40:39\t8332", "x\tbad id\t2019-06-08 10:40:39\t1", "11\ttwo fields",
              "12\tbad pay\t2019-06-08 09:00:00\tlots", "13\tno pay\t2019-06-08 09:00:00", "14\tbad time\tsoon\t5", ""]
@@ -154,9 +154,20 @@ def test_employees(spark, tmp_path):
         (13, "no pay", 1559984400000, 0.0, "20190608", "09"),
         (14, "bad time", 0, 5.0, "19700101", "00"),
     ]
-    assert rows(employees.read_employees(spark, out)) == wanted
-    employees.run(spark, str(source), out)
-    assert rows(employees.read_employees(spark, out)) == wanted
+    columns = ["id", "name", "time", "salary", "day", "hour"]
+    assert rows(employees.read_employees(spark, out), *columns) == wanted
+    employees.run(spark, str(source), out, gather=False)
+    assert rows(employees.read_employees(spark, out), *columns) == wanted
+    late = tmp_path / "2019060811"
+    late.mkdir()
+    (late / "part-0").write_text("15\tlate\t2019-06-08 10:59:59\t7\n")
+    assert employees.run(spark, str(late), out) == {"total": 1, "errors": 0}
+    both = employees.read_employees(spark, out)
+    assert rows(both.filter("day = '20190608' AND hour = '10'"), "id", "batch") == [
+        (10, "2019060810"), (15, "2019060811")]
+    assert both.count() == 5
+    with pytest.raises(ValueError, match="name the batch"):
+        employees.run(spark, f"{tmp_path}/2019*", out)
 
 
 def test_words(spark, tmp_path):
