@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logweir.llm.near_dedup import near_duplicates
 from logweir.llm.repeats import remove_repeats
 from logweir.llm.tables import table
+from logweir.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +25,11 @@ def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op8_string_kernel(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents"))
