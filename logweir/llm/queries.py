@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logweir.llm.mixing import mix
 from logweir.llm.near_dedup import near_duplicates
 from logweir.llm.repeats import remove_repeats
 from logweir.llm.tables import table
@@ -20,6 +21,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents")).taken()
+
+
 @query
 def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
