@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logweir.llm.line_dedup import dedup_lines
 from logweir.llm.mixing import mix
 from logweir.llm.near_dedup import near_duplicates
 from logweir.llm.repeats import remove_repeats
@@ -26,6 +27,11 @@ def op1_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).taken()
 
 
+@query
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query
 def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))

@@ -96,7 +96,7 @@ class Words:
 
     def __init__(self, texts: pa.Array, fold: bool = True):
         raw, at = flat(texts, " ")
-        self.bytes = lower(raw) if fold else raw
+        self.bytes, self.at = lower(raw) if fold else raw, at
         inside = ~_SPACE[raw]
         edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
         self.start = np.flatnonzero(edge == 1)
