@@ -5,7 +5,9 @@ value. Empty bins copy a filled bin, chosen by a fixed random order of the bins
 is the optimal densification: every filled bin is equally likely and two sets choose alike. Rows of bins form bands.
 Equal sets collapse to one representative first. In each band bucket every representative is joined to the smallest
 only (a star); stars are confirmed on full sets and tied to components. Buckets that still hold several components
-then get the pairs between them that can still link, so that a star whose centre is alike to nobody loses no link.
+are tried again with another centre, the member with most shingles that other components have too, and in the end get
+the pairs between components that an exact bound on the intersection doesn't rule out. So a star whose centre is alike
+to nobody loses no link, and a passage that thousands share doesn't give thousands squared pairs.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from logweir.llm.scan import U, Words, mix, shingles, slices
 from logweir.llm.tables import cut
 
 BANDS, ROWS = 32, 4
+CLASSES = 64
 _BINS = BANDS * ROWS
 _EMPTY = U(0xFFFFFFFFFFFFFFFF)
 # For each bin, the order in which it looks for a filled one.
@@ -83,6 +86,52 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     )
 
 
+def _spread(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            sets = list(shingles(Words(batch.column("text")), size))
+            ids = np.repeat(batch.column("doc_id").to_numpy(), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets).view(np.int64))], ["doc_id", "shingle"])
+
+
+def _bounds(unsure: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """``(doc_id, slack, shared)`` of open documents: what bounds the intersection of two of different components.
+
+    Only shingles that another component has too can be in both sets. ``shared`` counts these in ``CLASSES`` classes
+    by hash: the intersection is at most the sum of the lesser counts, and a link needs
+    (100 + percent) * intersection >= percent * (n + m). ``slack`` is what is left of that for one document alone.
+    """
+    docs = unsure.select("doc_id", "n", "c").distinct()
+    told = texts.join(docs, "doc_id", "left_semi").mapInArrow(lambda batches: _spread(batches, size), "doc_id long, shingle long")
+    own = told.join(docs, "doc_id").select("shingle", "doc_id", "c")
+    common = own.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    shared = own.join(common.select("shingle"), "shingle", "left_semi")
+    counts = [F.sum(F.when(F.col("shingle").bitwiseAND(CLASSES - 1) == k, 1).otherwise(0)) for k in range(CLASSES)]
+    counts = shared.groupBy("doc_id").agg(F.array(*counts).alias("shared"), F.count("*").alias("total"))
+    return docs.join(counts, "doc_id").select("doc_id", (F.col("total") * (100 + percent) - F.col("n") * percent).alias("slack"), "shared")
+
+
+def _linkable(unsure: DataFrame, percent: int) -> DataFrame:
+    """Rows that may link to some other component of their bucket, with the member of one with most slack."""
+    entry = F.struct("slack", "c", "doc_id", "n")
+    best = unsure.groupBy("key").agg(F.max(entry).alias("best"))
+    ranked = unsure.join(best, "key")
+    second = ranked.where("c <> best.c").groupBy("key").agg(F.max(entry).alias("second"))
+    other = F.when(F.col("c") != F.col("best.c"), F.col("best")).otherwise(F.col("second"))
+    possible = f"slack * 100 >= n * {percent * percent} AND other.slack >= n * {percent}"
+    return ranked.join(second, "key").withColumn("other", other).where(possible).drop("best", "second")
+
+
+def _pairs(alive: DataFrame, percent: int) -> DataFrame:
+    """The pairs of a bucket's components that the bounds don't rule out."""
+    left = alive.select("key", F.col("doc_id").alias("a"), "n", "c", "slack", "shared")
+    right = alive.select("key", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"), F.col("slack").alias("room"), F.col("shared").alias("others"))
+    most = "aggregate(zip_with(shared, others, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)"
+    return left.join(right, "key").where(
+        f"a < b AND c <> d AND slack >= m * {percent} AND room >= n * {percent} AND {most} * {100 + percent} >= (n + m) * {percent}"
+    )
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """Per document ``doc_id, n_shingles, component_id, kept``.
 
@@ -110,18 +159,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     tried = cut(stars.select("a", F.col("doc_id").alias("b")).distinct(), "stars")
     links = cut(confirmed(tried, texts, size, percent), "links")
     tied = cut(components(links), "tied")
-    placed = crowded.join(tied, F.col("doc_id") == F.col("node"), "left").select(
+    # What the stars left open: buckets with several components.
+    placed = crowded.drop("a").join(tied, F.col("doc_id") == F.col("node"), "left").select(
         "key", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")
     )
     mixed = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    open_ = cut(placed.join(mixed.select("key"), "key", "left_semi"), "open")
-    other = open_.select("key", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"))
-    rest = open_.withColumnRenamed("doc_id", "a").join(other, "key").where((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & sizes)
-    rest = cut(rest.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        more = cut(confirmed(rest, texts, size, percent), "links")
-        if not more.isEmpty():
-            tied = cut(components(links.union(more)), "tied")
+    unsure = cut(placed.join(mixed.select("key"), "key", "left_semi"), "open")
+    if not unsure.isEmpty():
+        unsure = cut(unsure.join(_bounds(unsure, texts, size, percent), "doc_id"), "open")
+        for every in (False, True):
+            alive = _linkable(unsure, percent)
+            pairs = _pairs(alive, percent) if every else alive.select("key", F.col("doc_id").alias("a"), F.col("other.doc_id").alias("b"), "n", F.col("other.n").alias("m")).where(sizes)
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            fresh = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+            more = cut(confirmed(fresh, texts, size, percent), "links")
+            if not more.isEmpty():
+                links, tried = links.union(more), tried.union(fresh)
+                tied = cut(components(links), "tied")
+                unsure = unsure.join(tied, F.col("doc_id") == F.col("node"), "left").withColumn("c", F.coalesce("component", "doc_id")).drop("node", "component")
     return (
         member.join(tied, F.col("rep") == F.col("node"), "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
