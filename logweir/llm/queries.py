@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logweir.llm.decontaminate import leaks
 from logweir.llm.line_dedup import dedup_lines
 from logweir.llm.mixing import mix
 from logweir.llm.near_dedup import near_duplicates
 from logweir.llm.repeats import remove_repeats
 from logweir.llm.tables import table
 from logweir.llm.toxicity import toxicity
+from logweir.llm.urls import RULES, url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +39,16 @@ def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_verdicts(table(spark, folder, "pages"), RULES)
+
+
 @query
 def op8_string_kernel(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
