@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from logweir.llm.decontaminate import leaks
+from logweir.llm.html_text import page_texts
 from logweir.llm.line_dedup import dedup_lines
 from logweir.llm.mixing import mix
 from logweir.llm.near_dedup import near_duplicates
@@ -34,6 +35,11 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query
+def op3_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return page_texts(table(spark, folder, "pages"))
+
+
 @query
 def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
