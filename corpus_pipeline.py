@@ -2,19 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from logweir.llm.decontaminate import leaks
+from logweir.llm.line_dedup import dedup_lines
+from logweir.llm.mixing import WORD, mix
 from logweir.llm.near_dedup import near_duplicates
 from logweir.llm.tables import cut, table
+from logweir.llm.toxicity import without_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the string-kernel model doesn't call toxic."""
+    return without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that repeat an earlier one; a document that loses its last word goes."""
+    left = dedup_lines(docs)
+    left = left.where((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
+    n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", n_chars.cast("long")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    kept = near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    kept = near_duplicates(docs.select("doc_id", "text")).where("kept").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row for each slot with its block of words and the documents they come from."""
+    return mix(docs, with_text=True).texts()
 
 
-STAGES = [("near_dedup", near_dedup)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+]
 
 # The stages hash words and train a model, which SQL can't express; tests compare them with brute force.
 ORACLE_SQL = None
@@ -22,6 +56,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -21,7 +21,8 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from logweir.llm.scan import Rolling, Words, slices
 from logweir.llm.tables import cut
@@ -84,10 +85,6 @@ class Model:
             score[near] = np.maximum(floor, np.where(norm > 0, total[near] / np.where(norm > 0, norm, 1), 0) + self.bias)
         return score
 
-    def probability(self, largest: np.ndarray, above: np.ndarray) -> np.ndarray:
-        x = self.doc[0] + self.doc[1] * largest + self.doc[2] * np.log1p(above)
-        return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
 
 def _letters(words: Words, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, start and end of the words without leading and trailing signs."""
@@ -269,15 +266,33 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 2000, vocabulary:
     return model
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model, keep: list[str]) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], model: Model, keep: list[str], names: tuple[str, str] = ("largest", "above")) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text", 3_000_000):
             largest, above = doc_features(batch.column("text"), model)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(largest), pa.array(above)], [*keep, "largest", "above"]
+                [*(batch.column(c) for c in keep), pa.array(largest), pa.array(above)], [*keep, *names]
             )
 
 
+def _probability(model: Model, largest: str, above: str) -> Column:
+    a, b, c = (F.lit(float(x)) for x in model.doc)
+    return 1 / (1 + F.exp(-(a + b * F.col(largest) + c * F.log1p(above))))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, folds: int = 5, max_rows: int = 2000) -> DataFrame:
+    """The documents with all their columns, without those that ``toxicity`` predicts toxic. Row order is kept."""
+    docs = docs.drop("largest_", "above_").withColumn("text", F.col("text").cast("string"))
+    out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False))
+    model = train(docs.select("doc_id", "text").where(~out), labels.select("doc_id", "toxic").where(~out), max_rows)
+    if not isinstance(model, Model):
+        return docs if model < 0.5 else docs.limit(0)
+    schema = StructType([*docs.schema.fields, StructField("largest_", DoubleType()), StructField("above_", DoubleType())])
+    columns = docs.columns
+    scored = docs.mapInArrow(lambda batches: _score(batches, model, columns, ("largest_", "above_")), schema)
+    return scored.where(_probability(model, "largest_", "above_") < 0.5).select(*columns)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, max_rows: int = 2000) -> DataFrame:
     """Per document ``doc_id, held_out, score, predicted``, and ``largest``, ``above`` of its words.
 
@@ -294,8 +309,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, max_rows: int =
         scored = texts.select("doc_id", F.lit(-1.0).alias("largest"), F.lit(0.0).alias("above"), F.lit(float(model)).alias("score"))
     else:
         scored = texts.mapInArrow(lambda batches: _score(batches, model, ["doc_id"]), "doc_id long, largest double, above double")
-        z = F.lit(float(model.doc[0])) + F.lit(float(model.doc[1])) * F.col("largest") + F.lit(float(model.doc[2])) * F.log1p("above")
-        scored = scored.withColumn("score", 1 / (1 + F.exp(-z)))
+        scored = scored.withColumn("score", _probability(model, "largest", "above"))
     return scored.select(
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "largest", F.col("above").cast("long").alias("above")
     )
