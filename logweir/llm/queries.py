@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logweir.llm.decontaminate import leaks
 from logweir.llm.html_text import page_texts
+from logweir.llm.licenses import licences
 from logweir.llm.line_dedup import dedup_lines
 from logweir.llm.mixing import mix
 from logweir.llm.near_dedup import near_duplicates
@@ -63,3 +64,10 @@ def op8_string_kernel(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents"))
+
+
+@query
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents have no paths; their source, language and id stand for one."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), F.col("doc_id").cast("string"))
+    return licences(table(spark, folder, "documents").select("doc_id", path.alias("path"), "text"))
