@@ -13,6 +13,7 @@ from logweir.llm.line_dedup import dedup_lines
 from logweir.llm.mixing import mix
 from logweir.llm.near_dedup import near_duplicates
 from logweir.llm.repeats import remove_repeats
+from logweir.llm.search import top_k
 from logweir.llm.tables import table
 from logweir.llm.toxicity import toxicity
 from logweir.llm.urls import RULES, url_verdicts
@@ -46,6 +47,12 @@ def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return top_k(docs, docs.where("doc_id % 50 = 0"))
+
+
 @query
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
