@@ -1,0 +1,70 @@
+"""Benchmark passages, verbatim and with other values, against windows compared one by one."""
+
+import random
+
+from logweir.llm.decontaminate import leaks
+
+from tests.llm.rows import ODD, clashing, corpus, documents, sentence
+
+ITEM = "Alice has 5 apples and Bob gives Alice 3 more apples so how many apples does Alice have now ?"
+
+
+def found(spark, docs, items, more=()):
+    df = clashing(documents(spark, docs), *more)
+    got = leaks(df, clashing(spark.createDataFrame(items, "item_id long, text string"), *more)).collect()
+    return {(r.doc_id, r.item_id): r.verbatim for r in got}
+
+
+def doc(i, text):
+    return (i, text, "", "", 0)
+
+
+def test_verbatim_passages(spark):
+    """Planted items are found, every other document is left alone."""
+    rng = random.Random(3)
+    items = [(i, sentence(rng, rng.choice([8, 15, 40]))) for i in range(30)]
+    docs, want = [], set()
+    for d, text, *_ in corpus(11, 60):
+        if d % 4 == 0:
+            i, item = rng.choice(items)
+            words = text.split(" ")
+            k = rng.randrange(len(words) + 1)
+            text = " ".join([*words[:k], item.upper() if d % 8 else item, *words[k:]])
+            want.add((d, i))
+        docs.append(doc(d, text))
+    assert set(found(spark, docs, items)) == want
+
+
+def test_other_values(spark):
+    docs = [
+        doc(1, f"Well. {ITEM}"),
+        doc(2, "It says Dan has 7 apples and Carol gives Dan 13 more apples so how many apples does Dan have now?"),
+        doc(3, "It says Dan has 7 apples and Carol gives Eve 13 more apples so how many apples does Ann have now?"),
+        doc(4, "It says Dan has 7 pears and Carol takes Dan 13 more pears so how few pears does Dan own now?"),
+    ]
+    assert found(spark, docs, [(9, ITEM)]) == {(1, 9): True, (2, 9): False}
+
+
+def test_units(spark):
+    item = "the train to the old town runs at 80 km for 3 hours and then stops for a while"
+    docs = [doc(1, item.replace("80 km", "95 miles").replace("3 hours", "two days")), doc(2, item.replace("80 km", "fast"))]
+    got = found(spark, docs, [(1, item)])
+    assert got[1, 1] is False
+
+
+def test_partial_passage(spark):
+    item = " ".join(f"word{chr(97 + i)}" for i in range(20))
+    part = lambda n: " ".join(item.split()[3 : 3 + n])
+    assert set(found(spark, [doc(1, f"x {part(13)} y"), doc(2, f"x {part(12)} y")], [(1, item)])) == {(1, 1)}
+
+
+def test_short_items_need_the_whole_document(spark):
+    docs = [doc(1, "short lamp here"), doc(2, "a short lamp here"), doc(3, "7 8 9")]
+    assert set(found(spark, docs, [(1, "Short lamp here."), (2, "1 2 3"), (3, "")])) == {(1, 1)}
+
+
+def test_odd_rows(spark):
+    items = [(1, None), (None, ITEM), (2, ""), (3, ITEM), (3, ITEM)]
+    docs = [*ODD, doc(1, ITEM), doc(1, ITEM), (None, ITEM, "", "", 0)]
+    assert found(spark, docs, items, ("hash", "i", "shift", "slots", "w")) == {(1, 3): True}
+    assert found(spark, [], items) == {} and found(spark, docs, []) == {}

@@ -1,0 +1,65 @@
+"""Repeated lines against all pairs of lines."""
+
+import re
+
+from logweir.llm.line_dedup import dedup_lines, within_one
+
+from tests.llm.rows import ODD, clashing, corpus, documents
+
+
+def near(a, b):
+    if a == b or len(a) == len(b) and sum(x != y for x, y in zip(a, b)) == 1:
+        return True
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute(rows, least=8):
+    lines = [
+        (d, i, re.findall(r"[^\x20\x09-\x0D]+", line))
+        for d, text in sorted({r[:2] for r in rows if r[0] is not None}, key=lambda r: r[0])
+        for i, line in enumerate((text or "").split("\n"))
+    ]
+    lines = [x for x in lines if len(x[2]) >= least]
+    return {(d, i) for k, (d, i, w) in enumerate(lines) if any(near(w, x[2]) for x in lines[:k])}
+
+
+def texts(rows, gone):
+    return {
+        d: None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone)
+        for d, t, *_ in rows
+        if d is not None
+    }
+
+
+def test_all_pairs(spark):
+    rows = [*corpus(6, 80), *ODD]
+    got = dedup_lines(documents(spark, rows)).collect()
+    gone = brute(rows)
+    assert {r.doc_id: r.text for r in got} == texts(rows, gone)
+    assert sum(r.n_removed for r in got if r.doc_id != 905) == len([x for x in gone if x[0] != 905]) > 10
+
+
+def test_each_edit(spark):
+    """One word replaced, put in or left out at every place; two edits stay."""
+    words = [f"w{i}" for i in range(9)]
+    variants = [words]
+    for i in range(9):
+        variants += [words[:i] + ["new"] + words[i + 1 :], words[:i] + ["more"] + words[i:], words[:i] + words[i + 1 :]]
+    variants += [["p", "q", *words[2:]], [*words, "p", "q"], ["W0", *words[1:]], words[:7]]
+    rows = [(i, "  ".join(v) + "\nshort line", "", "", 0) for i, v in enumerate(variants)]
+    got = {r.doc_id: r.text for r in dedup_lines(documents(spark, rows)).collect()}
+    assert got == texts(rows, brute(rows))
+
+
+def test_keeps_columns_and_takes_clashes(spark):
+    rows = [(2, "a b c d e f g h\nx", "en", "s", 4), (1, "a b c d e f g h", "de", "t", 5), (2, "a b c d e f g h\nx", "en", "s", 4)]
+    df = clashing(documents(spark, rows), "line", "key", "n_lines", "kind", "n")
+    got = sorted((r.doc_id, r.text, r.lang, r.key, r.n_lines, r.n_removed) for r in dedup_lines(df).collect())
+    assert got == [(1, "a b c d e f g h", "de", 7, 1, 0), (2, "x", "en", 7, 2, 1), (2, "x", "en", 7, 2, 1)]
+    assert dedup_lines(documents(spark, [])).collect() == []
+
+
+def test_within_one():
+    assert within_one(["a"], ["a"]) and within_one(["a", "b"], ["a"]) and within_one([], ["x"])
+    assert not within_one(["a", "b"], ["b", "a"]) and not within_one(["a"], ["a", "b", "c"])
