@@ -90,8 +90,9 @@ def _spread(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
     for whole in batches:
         for batch in slices(whole, "text"):
             sets = list(shingles(Words(batch.column("text")), size))
-            ids = np.repeat(batch.column("doc_id").to_numpy(), [len(s) for s in sets])
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets).view(np.int64))], ["doc_id", "shingle"])
+            n = [len(s) for s in sets]
+            ids, c = (pa.array(np.repeat(batch.column(x).to_numpy(), n)) for x in ("doc_id", "c"))
+            yield pa.RecordBatch.from_arrays([ids, c, pa.array(np.concatenate(sets).view(np.int64))], ["doc_id", "c", "shingle"])
 
 
 def _bounds(unsure: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -102,12 +103,13 @@ def _bounds(unsure: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     (100 + percent) * intersection >= percent * (n + m). ``slack`` is what is left of that for one document alone.
     """
     docs = unsure.select("doc_id", "n", "c").distinct()
-    told = texts.join(docs, "doc_id", "left_semi").mapInArrow(lambda batches: _spread(batches, size), "doc_id long, shingle long")
-    own = told.join(docs, "doc_id").select("shingle", "doc_id", "c")
+    own = texts.join(docs.select("doc_id", "c"), "doc_id").mapInArrow(
+        lambda batches: _spread(batches, size), "doc_id long, c long, shingle long"
+    )
     common = own.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
     shared = own.join(common.select("shingle"), "shingle", "left_semi")
     counts = [F.sum(F.when(F.col("shingle").bitwiseAND(CLASSES - 1) == k, 1).otherwise(0)) for k in range(CLASSES)]
-    counts = shared.groupBy("doc_id").agg(F.array(*counts).alias("shared"), F.count("*").alias("total"))
+    counts = shared.groupBy("doc_id").agg(F.array(*counts).cast("array<int>").alias("shared"), F.count("*").alias("total"))
     return docs.join(counts, "doc_id").select("doc_id", (F.col("total") * (100 + percent) - F.col("n") * percent).alias("slack"), "shared")
 
 
@@ -166,10 +168,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     mixed = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
     unsure = cut(placed.join(mixed.select("key"), "key", "left_semi"), "open")
     if not unsure.isEmpty():
-        unsure = cut(unsure.join(_bounds(unsure, texts, size, percent), "doc_id"), "open")
+        bounds = cut(_bounds(unsure, texts, size, percent), "bounds")
+        unsure = cut(unsure.join(bounds.select("doc_id", "slack"), "doc_id"), "open")
         for every in (False, True):
             alive = _linkable(unsure, percent)
-            pairs = _pairs(alive, percent) if every else alive.select("key", F.col("doc_id").alias("a"), F.col("other.doc_id").alias("b"), "n", F.col("other.n").alias("m")).where(sizes)
+            pairs = _pairs(alive.drop("other").join(bounds.select("doc_id", "shared"), "doc_id"), percent) if every else alive.select("key", F.col("doc_id").alias("a"), F.col("other.doc_id").alias("b"), "n", F.col("other.n").alias("m")).where(sizes)
             pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             fresh = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
             more = cut(confirmed(fresh, texts, size, percent), "links")
