@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_WHOLE_NUMBER = "^[+-]?[0-9]+$"
+_WHOLE_NUMBER = r"\A[+-]?[0-9]+\z"
 
 
 def _whole(col: Column, type_: str) -> Column:
@@ -39,7 +39,10 @@ def int_mean(col: Column | str) -> Column:
 
 
 def average(col: Column | str) -> Column:
-    """Mean that skips NULL and gives NaN for no values; merges partial sums before the shuffle."""
+    """Mean that skips NULL and gives NaN for no values; merges partial sums before the shuffle.
+
+    Values are summed as DOUBLE, so large whole numbers don't overflow.
+    """
     col = F.col(col) if isinstance(col, str) else col
-    total, rows = F.sum(col).cast("double"), F.count(col)
+    total, rows = F.sum(col.cast("double")), F.count(col)
     return F.when(rows == 0, F.lit(float("nan"))).otherwise(total / F.nullif(rows, F.lit(0)))

@@ -9,8 +9,10 @@ DEFAULT_HOUR = "1901010101"
 SOURCE_FORMAT = "yyyy-MM-dd HH:mm:ss"
 COMPACT_FORMAT = "yyyyMMddHHmmss"
 
-# Unpadded fields, blanks before a field and trailing text are accepted, and fields may overflow.
-_LENIENT = r"^\s*(\d{1,4})-\s*(\d{1,4})-\s*(\d{1,4}) \s*(\d{1,4}):\s*(\d{1,4}):\s*(\d{1,4})"
+# Unpadded fields of any length, blanks before a field and trailing text are accepted, and fields may overflow.
+_LENIENT = r"^\s*(\d+)-\s*(\d+)-\s*(\d+) \s*(\d+):\s*(\d+):\s*(\d+)"
+# Largest year, month and other field with which the time still fits; a larger one can't be read.
+_LARGEST = (200_000, 600_000, 1_000_000_000)
 
 
 def hour_bucket(ts: Column, default: str = DEFAULT_HOUR) -> Column:
@@ -25,9 +27,11 @@ def bracket_time(col: Column) -> Column:
 
 def _lenient_millis(col: Column) -> Column:
     def field(i: int) -> Column:
-        return F.regexp_extract(col, _LENIENT, i).cast("bigint")
+        value = F.regexp_extract(col, _LENIENT, i).try_cast("bigint")
+        return F.when(value <= _LARGEST[min(i, 3) - 1], value)
 
-    month = F.add_months(F.make_date(field(1).cast("int"), F.lit(1), F.lit(1)), (field(2) - 1).cast("int"))
+    first = F.make_date(field(1).cast("int"), F.lit(1), F.lit(1))
+    month = F.add_months(first, (field(2) - 1).cast("int"))
     seconds = (((field(3) - 1) * 24 + field(4)) * 60 + field(5)) * 60 + field(6)
     return F.when(col.rlike(_LENIENT), F.unix_millis(month.cast("timestamp")) + seconds * 1000)
 

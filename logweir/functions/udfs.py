@@ -30,8 +30,11 @@ def register_average(spark: SparkSession, name: str = "my_average") -> None:
     """Make a mean usable in SQL text, as ``name(x)`` and as ``name_of(sum(x), count(x))``.
 
     Spark hands the first each group whole, so it suits small groups. The second only finishes
-    built-in aggregates, which merge in each task first, and has no such bound.
+    built-in aggregates, which merge in each task first, and has no such bound. A name that Spark's own functions
+    have is refused.
     """
+    if spark.sql("SHOW SYSTEM FUNCTIONS").where(F.col("function") == name.lower()).count():
+        raise ValueError(f"{name} is a built-in function")
 
     @F.pandas_udf("double")
     def mean(values: pd.Series) -> float:
@@ -75,7 +78,7 @@ class MeanAggregator(Aggregator):
     result = T.DoubleType()
 
     def reduce(self, values):
-        kept = values.dropna()
+        kept = values.dropna().astype("float64")
         return float(kept.sum()), len(kept)
 
     def merge(self, buffers):

@@ -1,14 +1,17 @@
-"""Aggregations. All but ``collect_by`` shuffle only partial results."""
+"""Aggregations. All shuffle only partial results; ``collect_by`` each distinct value."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from logweir.functions.text import split_java
 from logweir.functions.udfs import Aggregator
+from logweir.session import materialise
 
 
 def explode_tokens(df: DataFrame, col: str, sep: str, drop_empty: bool = False, out: str = "word") -> DataFrame:
@@ -48,24 +51,23 @@ def min_max_by(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def collect_by(df: DataFrame, key: str, value: str, max_values: int = 100_000) -> DataFrame:
-    """Values of each key as sorted arrays of ``(value, copies)``.
+    """Values of each key as sorted arrays of ``(value, copies)``, in rows ``(key, chunk, values)``.
 
-    Equal values are merged before the shuffle. A key with more than ``max_values`` distinct
-    values fills several rows, told apart by ``chunk``, so no task holds an unbounded group.
+    Chunk k of a key holds its distinct values number k * ``max_values`` and on, in ascending order, so the first
+    values are in chunk 0 and no chunk is larger than ``max_values``. Equal values are merged before the shuffle; a
+    value's number comes from range partitions and the sizes of those before, so no task holds a hot key whole.
     """
     distinct = df.groupBy(key, value).agg(F.count("*").alias("copies"))
-    # Counting by ``copies`` keeps this branch equal to the other one, so they share one shuffle.
-    entries = F.count_if(F.col("copies") > 0)
-    chunks = (
-        distinct.groupBy(F.col(key).alias("_key"))
-        .agg(F.ceil(entries / max_values).cast("int").alias("_chunks"))
-        .filter("_chunks > 1")
-    )
-    chunk = F.pmod(F.xxhash64(value), F.coalesce("_chunks", F.lit(1))).cast("int")
-    return (
-        distinct.join(chunks, F.col(key).eqNullSafe(F.col("_key")), "left")
-        .groupBy(key, chunk.alias("chunk"))
-        .agg(F.array_sort(F.collect_list(F.struct(value, "copies"))).alias("values"))
+    ranged = materialise(distinct.repartitionByRange(key, value).withColumn("_part", F.spark_partition_id()), "collect")
+    inside = Window.partitionBy(key, "_part").orderBy(value)
+    earlier = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy(F.col(key).alias("_key"), F.col("_part").alias("_at")).agg(F.count("*").alias("_n"))
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_at"))
+    numbered = ranged.withColumn("_row", F.row_number().over(inside)).join(starts, same)
+    chunk = F.floor((F.col("_start") + F.col("_row") - 1) / max_values).cast("bigint")
+    return numbered.groupBy(key, chunk.alias("chunk")).agg(
+        F.array_sort(F.collect_list(F.struct(value, "copies"))).alias("values")
     )
 
 
@@ -82,16 +84,22 @@ def custom_aggregate(
     key_fields = [df.schema[k] for k in keys]
     partial_schema = T.StructType([*key_fields, *agg.buffer.fields])
     result_schema = T.StructType([*key_fields, T.StructField(out, agg.result)])
+    partial_arrow, result_arrow = to_arrow_schema(partial_schema), to_arrow_schema(result_schema)
 
-    def reduce_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def frame(buffers: dict) -> pd.DataFrame:
-            return pd.DataFrame([(*k, *b) for k, b in buffers.items()], columns=[*keys, *fields])
+    # Keys stay Arrow values: in pandas a NULL would turn whole numbers into floats.
+    def reduce_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def frame(buffers: dict) -> pa.RecordBatch:
+            columns = zip(*((*k, *b) for k, b in buffers.items()))
+            arrays = [pa.array(list(c), field.type) for c, field in zip(columns, partial_arrow)]
+            return pa.RecordBatch.from_arrays(arrays, schema=partial_arrow)
 
         held: dict = {}
         for batch in batches:
-            for k, values in batch.groupby(keys, dropna=False)[value]:
-                k = tuple(None if pd.isna(part) else part for part in k)
-                part = agg.reduce(values)
+            table = pa.Table.from_batches([batch]).append_column("_row", pa.array(range(len(batch)), pa.int64()))
+            groups = table.group_by(keys).aggregate([("_row", "list")])
+            names = [groups.column(k).to_pylist() for k in keys]
+            for k, rows in zip(zip(*names), groups.column("_row_list").combine_chunks()):
+                part = agg.reduce(pd.Series(pd.arrays.ArrowExtensionArray(batch.column(value).take(rows.values))))
                 if k in held:
                     part = agg.merge(pd.DataFrame([held[k], part], columns=fields))
                 held[k] = part
@@ -101,12 +109,13 @@ def custom_aggregate(
         if held:
             yield frame(held)
 
-    def merge_group(group: pd.DataFrame) -> pd.DataFrame:
-        row = [*group[keys].iloc[0], agg.finish(agg.merge(group[fields]))]
-        return pd.DataFrame([row], columns=[*keys, out])
+    def merge_group(group: pa.Table) -> pa.Table:
+        result = agg.finish(agg.merge(group.select(fields).to_pandas()))
+        columns = [group.column(k).slice(0, 1) for k in keys]
+        return pa.Table.from_arrays([*columns, pa.array([result], result_arrow.field(out).type)], schema=result_arrow)
 
-    partial = df.select(*keys, value).mapInPandas(reduce_part, partial_schema)
-    return partial.groupBy(*keys).applyInPandas(merge_group, result_schema)
+    partial = df.select(*keys, value).mapInArrow(reduce_part, partial_schema)
+    return partial.groupBy(*keys).applyInArrow(merge_group, result_schema)
 
 
 def observed(df: DataFrame, name: str = "metrics", **counts: Column) -> tuple[DataFrame, Observation]:

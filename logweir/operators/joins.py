@@ -52,7 +52,8 @@ def join_on(
 
     ``strategy`` asks for a shuffled join (``merge`` or ``shuffle_hash``). ``salt`` spreads each
     key of ``left`` over that many partitions and repeats ``right`` as often, for a known hot key
-    on the left of an inner or left join; AQE splits skewed partitions without it.
+    on the left of an inner or left join; salts go by position, so equal rows are spread too. AQE
+    splits skewed partitions without it.
     """
     if strategy is not None:
         if strategy not in _STRATEGIES:
@@ -62,7 +63,7 @@ def join_on(
     if salt:
         if how not in ("inner", "left"):
             raise ValueError("salt needs an inner or left join")
-        left = left.withColumn("_salt_l", F.pmod(F.xxhash64(*left.columns), F.lit(salt)))
+        left = left.withColumn("_salt_l", (F.monotonically_increasing_id() % salt).cast("int"))
         right = right.withColumn("_salt_r", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         cond = [left[a] == right[b] for a, b in keys] + [left["_salt_l"] == right["_salt_r"]]
     joined = left.join(right, cond, how)

@@ -20,14 +20,15 @@ def top_n(
 
     Spark keeps ``n`` rows per group in every task before the shuffle, for ``n`` within its
     ``spark.sql.optimizer.windowGroupLimitThreshold``. Beyond that each group is first cut to
-    ``n`` rows in each of ``splits`` parts, so that no task sorts a whole hot group. Add a
-    tie-break to ``order`` for repeatable results.
+    ``n`` rows in each of ``splits`` parts, eight for each core unless given, so that no task sorts a
+    whole hot group. Parts are dealt by position, which also splits equal rows. Add a tie-break to
+    ``order`` for repeatable results.
     """
     if splits is None:
         threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-        splits = 1 if n <= threshold else 64
+        splits = 1 if n <= threshold else 8 * df.sparkSession.sparkContext.defaultParallelism
     if splits > 1:
-        parted = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(splits)))
+        parted = df.withColumn("_part", F.monotonically_increasing_id() % splits)
         df = _ranked_within(parted, [*by, "_part"], order, n, "_cut").drop("_part", "_cut")
     return _ranked_within(df, by, order, n, rank_col)
 

@@ -24,26 +24,26 @@ def delete_where(df: DataFrame, cond: Column | None = None) -> DataFrame:
     return df.filter(~F.coalesce(cond, F.lit(False)))
 
 
-def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """Rows of ``changes`` in place of the rows of ``base`` with the same keys, others added.
 
-    ``changes`` has at most one row per key. Columns it lacks keep their old value, or are NULL on
-    added rows. When ``changes`` is small Spark broadcasts it and ``base`` is not shuffled.
+    Of several changes for a key the one with the largest ``order`` counts; without that column two changes for a key
+    fail the job. Columns that ``changes`` lacks keep their old value, or are NULL on added rows; those that ``base``
+    lacks are left out. One full outer join, so ``base`` is read once. A NULL key equals no other.
     """
     keys = list(keys)
-    if set(changes.columns) == set(base.columns):
-        kept = base.join(changes.select(*keys), keys, "left_anti")
-        return kept.unionByName(changes)
-    changed = [c for c in changes.columns if c not in keys]
-    marked = changes.select(*keys, F.struct(*changed).alias("_new"))
-    edited = base.join(marked, keys, "left").select(
-        *(
-            F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(base[c]).alias(c) if c in changed else c
-            for c in base.columns
-        )
+    changed = [c for c in base.columns if c in changes.columns and c not in keys]
+    new = F.struct(F.lit(True).alias("_is"), *changed)
+    if order is not None:
+        latest = F.max_by(new, order)
+    else:
+        once = F.assert_true(F.count("*") == 1, "several changes for one key")
+        latest = F.when(once.isNull(), F.first(new))
+    edits = changes.groupBy(*keys).agg(latest.alias("_new"))
+    whole = base.join(edits, keys, "full_outer")
+    return whole.select(
+        *(F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(base[c]).alias(c) if c in changed else F.col(c) for c in base.columns)
     )
-    added = changes.join(base.select(*keys), keys, "left_anti")
-    return edited.unionByName(added, allowMissingColumns=True)
 
 
 def swap_snapshot(df: DataFrame, table: str, path: str) -> None:

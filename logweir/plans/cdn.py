@@ -39,19 +39,10 @@ def hourly_traffic(clicks: DataFrame) -> DataFrame:
 
 
 def top_urls(clicks: DataFrame, day: str, n: int = 10) -> DataFrame:
-    """The ``n`` most frequent URLs of each domain, with the day, in SQL."""
-    counts = count_by(clicks, "domain", "url", out="num")
-    counts.createOrReplaceTempView("domain_url_count")
-    return clicks.sparkSession.sql(
-        """
-        SELECT t.*, :day AS day FROM (
-          SELECT domain, url, num,
-                 row_number() OVER (PARTITION BY domain ORDER BY num DESC, url) AS rank
-          FROM domain_url_count) t
-        WHERE t.rank <= :n
-        """,
-        args={"day": day, "n": n},
-    )
+    """The ``n`` most frequent URLs of each domain, by URL among equals, marked with the day."""
+    visits = count_by(clicks, "domain", "url", out="num")
+    best = top_n(visits, ["domain"], [F.desc("num"), F.asc("url")], n)
+    return best.withColumn("day", F.lit(day))
 
 
 def run(spark: SparkSession, source: str, out: str, n: int = 10) -> None:

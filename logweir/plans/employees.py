@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from logweir.functions import compact_millis, day_of, epoch_millis, hour_of, safe_double, safe_int, split_java
-from logweir.operators import observed, sized
+from logweir.operators import observed
 from logweir.sinks import write_day_hour
 from logweir.sources import read_lines
 
@@ -37,7 +37,7 @@ def read_employees(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run(
-    spark: SparkSession, source: str, out: str, batch: str | None = None, size_mb: int = 128, gather: bool = True
+    spark: SparkSession, source: str, out: str, batch: str | None = None, gather: bool = True
 ) -> dict[str, int]:
     """Load a batch of text files and write it; returns the ``total`` and ``errors`` counts.
 
@@ -47,7 +47,6 @@ def run(
     batch = batch or source.rstrip("/").rsplit("/", 1)[-1]
     if set(batch) & set("*?[]{}/="):
         raise ValueError(f"name the batch, {batch!r} cannot be a folder name")
-    lines = sized(read_lines(spark, source), source, size_mb)
-    rows, metrics = parse_employees(lines)
+    rows, metrics = parse_employees(read_lines(spark, source))
     write_day_hour(rows, out, batch, gather)
     return metrics.get

@@ -38,19 +38,37 @@ def top_products(
     ``products`` has ``product_id``, ``product_name`` and either JSON text in ``extend_info`` or a
     ready ``product_status`` column, named by ``status``.
     """
+    # Only products of the best n of an area can be in its ranking, so names and JSON are looked up for these alone.
+    # The product rows of an area are at most as many as its products, unless a product has several rows: rank again.
+    known = products.select(F.col("product_id").alias("c_product_id"))
+    counted = area_clicks(clicks, cities).join(known, "c_product_id", "left_semi")
+    best = top_n(counted, ["area"], [F.desc("click_count"), F.asc("c_product_id")], n).drop("rank")
+    found = join_on(best, products.select("product_id", "product_name", status), [("c_product_id", "product_id")])
     state = json_status(F.col(status)) if status == "extend_info" else F.col(status)
-    named = products.select("product_id", "product_name", state.alias("product_status"))
-    counted = join_on(area_clicks(clicks, cities), named, [("c_product_id", "product_id")])
-    described = counted.drop("c_product_id").withColumn("day", F.lit(day))
+    described = found.withColumn("product_status", state).withColumn("day", F.lit(day))
+    described = described.select(*COLUMNS[:-1])
     return top_n(described, ["area"], [F.desc("click_count"), F.asc("product_id")], n).select(*COLUMNS)
 
 
-def run(spark: SparkSession, url: str, props: Mapping[str, str], clicks: str, target: str, day: str) -> None:
+# The outside tables of the job.
+CITY_TABLE, PRODUCT_TABLE = "city_info", "product_info"
+
+
+def run(
+    spark: SparkSession,
+    url: str,
+    props: Mapping[str, str],
+    clicks: str,
+    target: str,
+    day: str,
+    city_table: str = CITY_TABLE,
+    product_table: str = PRODUCT_TABLE,
+) -> None:
     """Add the ranking of ``day`` to a database table.
 
     Cities and products come from the database at ``url``, clicks from a catalog table.
     """
-    cities = read_jdbc_query(spark, url, "select city_id, city_name, area from city_info", props)
-    products = read_jdbc_query(spark, url, "select product_id, product_name, extend_info from product_info", props)
+    cities = read_jdbc_query(spark, url, f"SELECT city_id, area FROM {city_table}", props)
+    products = read_jdbc_query(spark, url, f"SELECT product_id, product_name, extend_info FROM {product_table}", props)
     rows = spark.table(clicks).selectExpr("city_id AS c_city_id", "product_id AS c_product_id")
     write_jdbc(top_products(rows, cities, products, day), url, target, "append", props=props, connections=1)

@@ -20,6 +20,17 @@ def page_clicks(pages: DataFrame) -> DataFrame:
     )
 
 
+def click_lines(lineitem: DataFrame) -> DataFrame:
+    """Every line item as a raw click line of few URLs; some have a field too few, some a traffic that is no number."""
+    domain = F.concat(F.lower("l_returnflag"), F.lower("l_linestatus"), F.lit(".example"))
+    url = F.concat(F.lit("http://"), domain, F.lit("/p"), F.col("l_partkey") % 50)
+    number = F.col("l_linenumber")
+    traffic = F.when(number == 7, "n/a").otherwise(F.col("l_quantity").cast("bigint").cast("string"))
+    time = F.date_format("l_shipdate", "yyyyMMddHHmmss")
+    head = F.when(number == 6, "edge,CN").otherwise("edge,CN,3")
+    return lineitem.select(F.concat_ws(",", head, time, F.lit("10.0.0.1"), domain, url, traffic).alias("value"))
+
+
 def access_lines(pages: DataFrame) -> DataFrame:
     """Every page as a raw access-log line; ``http`` pages give a line cut after 21 fields."""
     known = {

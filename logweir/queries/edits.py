@@ -38,6 +38,21 @@ def upsert_columns(t: Tables) -> DataFrame:
     return upsert(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus"), changes, ["o_orderkey"])
 
 
+@query(
+    """
+    SELECT COALESCE(c_custkey, o_custkey) AS key, COALESCE(last, c_acctbal) AS amount
+    FROM customer FULL JOIN (
+      SELECT o_custkey, arg_max(o_totalprice, o_orderkey) AS last FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1
+    ) ON c_custkey = o_custkey
+    """
+)
+def upsert_latest(t: Tables) -> DataFrame:
+    """Every order sets its customer's amount; the latest one counts."""
+    changes = t.orders.filter("o_orderstatus <> 'P'").select(F.col("o_custkey").alias("key"), F.col("o_totalprice").alias("amount"), "o_orderkey")
+    base = t.customer.select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("amount"))
+    return upsert(base, changes, ["key"], order="o_orderkey")
+
+
 @query(
     """
     SELECT c_custkey, CASE WHEN c_mktsegment = 'MACHINERY' THEN 1000.0 ELSE c_acctbal END::DOUBLE AS c_acctbal

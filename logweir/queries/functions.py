@@ -81,11 +81,12 @@ def bracket_time_events(t: Tables) -> DataFrame:
 
 
 def _mixed_number(lang: Column) -> Column:
-    """Digits for English and German, digits with a blank for French, the text itself otherwise."""
+    """Digits for English and German, digits with a blank or a line end for French and Spanish, else the text."""
     digits = F.col("n_chars").cast("string")
     return (
         F.when(lang.isin("en", "de"), digits)
         .when(lang == "fr", F.concat(F.lit(" "), digits))
+        .when(lang == "es", F.concat(digits, F.lit("\n")))
         .otherwise(F.col("text"))
     )
 

@@ -5,58 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from logweir.plans import access_log, cdn, employees, product_clicks, words
-from logweir.queries.derived import access_lines, cents, employee_lines, page_clicks
+from logweir.queries.derived import access_lines, click_lines, employee_lines, page_clicks
 from logweir.queries.registry import Tables, query
 from logweir.sinks import write_text
 
-_RESOURCES = r"""
-    SELECT domain, '/' || regexp_extract(split_part(url, '//' || domain || '/', 2), '^[^?#]*') AS resource,
-           count(*) AS hits, CAST(sum(length(html)) AS BIGINT) AS traffic
-    FROM (SELECT *, regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1) AS domain FROM pages) GROUP BY ALL
+_CLICKS = """
+    (SELECT lower(l_returnflag || l_linestatus) || '.example' AS domain, '/p' || (l_partkey % 50) AS resource,
+            'http://' || lower(l_returnflag || l_linestatus) || '.example/p' || (l_partkey % 50) AS url,
+            strftime(l_shipdate, '%Y%m%d%H') AS hour,
+            CASE WHEN l_linenumber = 7 THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS traffic
+     FROM lineitem WHERE l_linenumber <> 6)
     """
 _TOP_RESOURCES = """
     SELECT * FROM (
       SELECT *, CAST(row_number() OVER (PARTITION BY domain ORDER BY {measure} DESC, resource) AS INTEGER) AS rank
-      FROM (""" + _RESOURCES.replace("{", "{{").replace("}", "}}") + """)) WHERE rank <= 10
+      FROM (SELECT domain, resource, count(*) AS hits, CAST(sum(traffic) AS BIGINT) AS traffic
+            FROM """ + _CLICKS + """ GROUP BY ALL)) WHERE rank <= 10
     """
 
 
+def _clicks(t: Tables) -> DataFrame:
+    """Clicks read from text lines, bad ones among them."""
+    out = t.scratch("click-lines")
+    click_lines(t.lineitem).write.text(out)
+    return cdn.read_clicks(t.spark, out)
+
+
 @query(_TOP_RESOURCES.format(measure="hits"))
 def job_domain_top_hits(t: Tables) -> DataFrame:
-    return cdn.top_resources(cdn.resource_totals(page_clicks(t.pages)), "hits")
+    return cdn.top_resources(cdn.resource_totals(_clicks(t)), "hits")
 
 
 @query(_TOP_RESOURCES.format(measure="traffic"))
 def job_domain_top_traffic(t: Tables) -> DataFrame:
-    return cdn.top_resources(cdn.resource_totals(page_clicks(t.pages)), "traffic")
+    return cdn.top_resources(cdn.resource_totals(_clicks(t)), "traffic")
 
 
-@query(
-    """
-    SELECT event_type AS domain, strftime(ts, '%Y%m%d%H') AS hour,
-           CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS traffic
-    FROM events GROUP BY ALL
-    """
-)
+@query(f"SELECT domain, hour, CAST(sum(traffic) AS BIGINT) AS traffic FROM {_CLICKS} GROUP BY ALL")
 def job_domain_hourly(t: Tables) -> DataFrame:
-    clicks = t.events.select(
-        F.col("event_type").alias("domain"),
-        F.date_format("ts", "yyyyMMddHHmmss").alias("time"),
-        cents("value").alias("traffic"),
-    )
-    return cdn.hourly_traffic(clicks)
+    return cdn.hourly_traffic(_clicks(t))
 
 
 @query(
-    """
+    f"""
     SELECT domain, url, num, CAST(rk AS INTEGER) AS rank, '2019-05-21' AS day FROM (
-      SELECT *, row_number() OVER (PARTITION BY domain ORDER BY num DESC, url) AS rk FROM (
-        SELECT regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1) AS domain, url, count(*) AS num
-        FROM pages GROUP BY ALL)) WHERE rk <= 10
+      SELECT *, row_number() OVER (PARTITION BY domain ORDER BY num DESC, url) AS rk
+      FROM (SELECT domain, url, count(*) AS num FROM {_CLICKS} GROUP BY ALL)) WHERE rk <= 10
     """
 )
 def job_domain_top_sql(t: Tables) -> DataFrame:
-    return cdn.top_urls(page_clicks(t.pages), "2019-05-21")
+    return cdn.top_urls(_clicks(t), "2019-05-21")
 
 
 @query(

@@ -329,15 +329,40 @@ def udaf_average(t: Tables) -> DataFrame:
 
 @query(_MEAN_CENTS)
 def udaf_sql(t: Tables) -> DataFrame:
-    register_average(t.spark, "mean")
+    register_average(t.spark)
     customers = t.customer.select("c_nationkey", cents("c_acctbal").alias("cents"))
     sql = """
-        SELECT c_nationkey, mean_of(sum(cents), count(cents)) AS mean_cents
+        SELECT c_nationkey, my_average_of(sum(cents), count(cents)) AS mean_cents
         FROM customer_cents GROUP BY c_nationkey
         """
     return sql_over(customers, "customer_cents", sql)
 
 
+@query(_MEAN_CENTS)
+def udaf_registered(t: Tables) -> DataFrame:
+    """The registered aggregate itself, which Spark hands each group whole."""
+    register_average(t.spark)
+    customers = t.customer.select("c_nationkey", cents("c_acctbal").alias("cents"))
+    return sql_over(customers, "customer_cents", "SELECT c_nationkey, my_average(cents) AS mean_cents FROM customer_cents GROUP BY c_nationkey")
+
+
+_LARGE = 2**53
+
+
+@query(
+    f"""
+    SELECT CASE WHEN o_orderstatus <> 'P' THEN {_LARGE} + o_custkey END AS k,
+           CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / count(*) AS mean_cents
+    FROM orders GROUP BY 1
+    """
+)
+def udaf_large_keys(t: Tables) -> DataFrame:
+    """Keys beyond the whole numbers a DOUBLE holds, with NULL among them."""
+    key = F.when(F.col("o_orderstatus") != "P", F.lit(_LARGE) + F.col("o_custkey")).alias("k")
+    orders = t.orders.select(key, cents("o_totalprice").alias("cents"))
+    return custom_aggregate(orders, ["k"], "cents", MeanAggregator(), "mean_cents")
+
+
 @query(_MEAN_CENTS)
 def udaf_custom(t: Tables) -> DataFrame:
     customers = t.customer.select("c_nationkey", cents("c_acctbal").alias("cents"))
@@ -346,15 +371,16 @@ def udaf_custom(t: Tables) -> DataFrame:
 
 @query(
     """
-    SELECT o_custkey, string_agg(o_orderstatus || ':' || copies, ',' ORDER BY o_orderstatus) AS statuses FROM (
-      SELECT o_custkey, o_orderstatus, count(*) AS copies FROM orders GROUP BY ALL
-    ) GROUP BY o_custkey
+    SELECT o_orderpriority, chunk, string_agg(o_custkey || ':' || copies, ',' ORDER BY o_custkey) AS customers
+    FROM (SELECT *, (row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_custkey) - 1) // 100 AS chunk
+          FROM (SELECT o_orderpriority, o_custkey, count(*) AS copies FROM orders GROUP BY ALL))
+    GROUP BY ALL
     """
 )
 def collect_by_key(t: Tables) -> DataFrame:
-    collected = collect_by(t.orders, "o_custkey", "o_orderstatus")
-    entries = F.transform("values", lambda v: F.concat(v["o_orderstatus"], F.lit(":"), v["copies"]))
-    return collected.select("o_custkey", F.array_join(entries, ",").alias("statuses"))
+    collected = collect_by(t.orders, "o_orderpriority", "o_custkey", max_values=100)
+    entries = F.transform("values", lambda v: F.concat(v["o_custkey"], F.lit(":"), v["copies"]))
+    return collected.select("o_orderpriority", "chunk", F.array_join(entries, ",").alias("customers"))
 
 
 @query(

@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
-
-from logweir.operators import create_table, drop_table, join_on, rename_table, sized
+from pyspark.sql.types import StructType
+
+from logweir.operators import (
+    assert_schema,
+    create_table,
+    drop_table,
+    join_on,
+    list_catalog,
+    rename_table,
+    sized,
+)
 from logweir.queries.derived import page_clicks
 from logweir.queries.registry import Tables, query
 from logweir.sinks import (
@@ -105,9 +115,27 @@ def word_stream(t: Tables) -> DataFrame:
     return words_for(t.events, "event_id")
 
 
-@query(name="list_files")
+@query("SELECT DISTINCT c_mktsegment AS segment, true AS filled FROM customer", name="list_files")
 def file_listing(t: Tables) -> DataFrame:
-    return list_files(t.spark, f"{t.folder}/*.parquet")
+    out = t.scratch("listed")
+    write_partitioned(t.customer.select("c_custkey", "c_mktsegment"), out, "c_mktsegment")
+    segment = F.regexp_extract("path", "/c_mktsegment=([^/]*)/", 1).alias("segment")
+    return list_files(t.spark, f"{out}/*/*.parquet").groupBy(segment).agg((F.sum("length") > 0).alias("filled"))
+
+
+@query("SELECT 'nations_here' AS name, count(*) AS rows FROM nation UNION ALL SELECT 'regions_here', count(*) FROM region")
+def catalog_listing(t: Tables) -> DataFrame:
+    """The views that the catalog lists, of those made here, each with its rows."""
+    t.nation.createOrReplaceTempView("nations_here")
+    t.region.createOrReplaceTempView("regions_here")
+    listed = [r.name for r in list_catalog(t.spark).where("kind = 'table' AND name LIKE '%s_here'").collect()]
+    counts = [t.spark.table(name).select(F.lit(name).alias("name")).groupBy("name").agg(F.count("*").alias("rows")) for name in listed]
+    return reduce(DataFrame.union, counts)
+
+
+@query("SELECT r_regionkey, r_name FROM region")
+def schema_checked_scan(t: Tables) -> DataFrame:
+    return assert_schema(t.region.select("r_regionkey", "r_name"), StructType.fromDDL("r_regionkey int, r_name string"))
 
 
 @query("SELECT event_id, event_type FROM events")
@@ -121,11 +149,18 @@ def sort_desc(t: Tables) -> DataFrame:
     return store.select("c_custkey", "c_name", "c_acctbal").orderBy(F.desc("c_acctbal"))
 
 
-@query("SELECT n_nationkey, n_name FROM nation")
+@query(
+    """
+    SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN '"' || n_name WHEN 1 THEN '' WHEN 2 THEN n_name || ' "x"' ELSE n_name END
+             AS n_name, n_regionkey FROM nation
+    """
+)
 def ctrl_a_load(t: Tables) -> DataFrame:
-    out = t.scratch("ctrl-a")
-    write_text(t.nation.select("n_nationkey", "n_name"), out, sep="\u0001")
-    return load_ctrl_a(t.spark, out, "n_nationkey int, n_name string")
+    """Names with quotes in them and empty ones: the format has no quoting."""
+    out, kind = t.scratch("ctrl-a"), F.col("n_nationkey") % 4
+    name = F.when(kind == 0, F.concat(F.lit('"'), "n_name")).when(kind == 1, "").when(kind == 2, F.concat("n_name", F.lit(' "x"'))).otherwise(F.col("n_name"))
+    write_text(t.nation.select("n_nationkey", name.alias("n_name"), "n_regionkey"), out, sep="\u0001")
+    return load_ctrl_a(t.spark, out, "n_nationkey int, n_name string, n_regionkey int")
 
 
 @query(
@@ -148,7 +183,7 @@ def cdn_parse(t: Tables) -> DataFrame:
 def text_roundtrip(t: Tables) -> DataFrame:
     out = t.scratch("text")
     write_text(t.supplier.select("s_suppkey", "s_name", "s_nationkey"), out)
-    return read_lines(t.spark, out, min_partitions=2)
+    return read_lines(t.spark, out)
 
 
 _EMPLOYERS = """

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from logweir.operators import blocklist, explode_tokens
 from logweir.queries.registry import Tables, query
 from logweir.queries.relational import _BUSY_USERS, _busy_users
+from logweir.session import materialise
 from logweir.sources import stream_files
 from logweir.streaming import (
     append_files,
@@ -26,60 +29,88 @@ from logweir.streaming import (
 _COUNT_SCHEMA = "event_type string, count long"
 
 
-def _events(t: Tables) -> DataFrame:
-    """The events table as a stream; the glob lets one file or a folder of files be the source."""
-    return stream_files(t.spark, f"{t.folder}/events.parque[t]", t.events.schema)
+PARTS = 3
 
 
-def _results(t: Tables, stream: DataFrame, mode: str, fn=None) -> DataFrame:
-    out = run_available(stream, t.scratch("stream"), t.scratch("stream-state"), mode, fn)
-    return batch_results(t.spark, out, stream.schema)
+def _arriving(t: Tables, start: Callable[[DataFrame], object]) -> None:
+    """The events come in ``PARTS`` parts by id; ``start`` runs the stream on what is new, a batch for each part."""
+    source = t.scratch("arriving")
+    for part in range(PARTS):
+        t.events.where(F.col("event_id") % PARTS == part).write.mode("append").parquet(source)
+        start(stream_files(t.spark, source, t.events.schema))
 
 
-_TYPE_COUNTS = "SELECT event_type, count(*) AS count FROM events GROUP BY event_type"
+def _results(t: Tables, build: Callable[[DataFrame], DataFrame], mode: str, schema: str, fn=None) -> DataFrame:
+    """Every batch of a stream built from the arriving events, with its number."""
+    out, state = t.scratch("stream"), t.scratch("stream-state")
+    _arriving(t, lambda events: run_available(build(events), out, state, mode, fn))
+    return batch_results(t.spark, out, schema)
 
 
-@query("SELECT event_type, count(*) AS count, 0::BIGINT AS batch_id FROM events GROUP BY event_type")
+@query("SELECT event_type, count(*) AS count, event_id % 3 AS batch_id FROM events GROUP BY ALL")
 def stream_batch_count(t: Tables) -> DataFrame:
-    out = t.scratch("stream")
-    batch_counts(_events(t), "event_type", out, t.scratch("stream-state")).awaitTermination()
+    out, state = t.scratch("stream"), t.scratch("stream-state")
+    _arriving(t, lambda events: batch_counts(events, "event_type", out, state).awaitTermination())
     return batch_results(t.spark, out, _COUNT_SCHEMA)
 
 
+@query("SELECT 4::BIGINT AS batches, max(n) AS events_of_largest FROM (SELECT event_id % 4, count(*) AS n FROM events GROUP BY 1)")
+def stream_rate_cap(t: Tables) -> DataFrame:
+    """One file of four in each batch, however many wait."""
+    source, out = t.scratch("waiting"), t.scratch("stream")
+    t.events.select("event_id", (F.col("event_id") % 4).alias("part")).repartition("part").write.partitionBy("part").parquet(source)
+    waiting = stream_files(t.spark, f"{source}/*", t.events.select("event_id").schema, files_per_batch=1)
+    run_available(waiting, out, t.scratch("stream-state"), fn=lambda batch, _: batch.agg(F.count("*").alias("n")))
+    sizes = batch_results(t.spark, out, "n long")
+    return sizes.agg(F.countDistinct("batch_id").alias("batches"), F.max("n").alias("events_of_largest"))
+
+
 @query(
     """
-    SELECT word, count(*) AS count, 0::BIGINT AS batch_id FROM (
-      SELECT event_type AS word FROM events UNION ALL SELECT 'user' || user_id FROM events) GROUP BY word
+    SELECT word, count(*) AS count, batch_id FROM (
+      SELECT event_type AS word, event_id % 3 AS batch_id FROM events
+      UNION ALL SELECT 'user' || user_id, event_id % 3 FROM events) GROUP BY ALL
     """
 )
 def stream_log_words(t: Tables) -> DataFrame:
-    log = _events(t).select(F.concat_ws(",", "event_type", F.concat(F.lit("user"), "user_id")).alias("value"))
-    out = t.scratch("stream")
-    batch_counts(explode_tokens(log, "value", ","), "word", out, t.scratch("stream-state")).awaitTermination()
+    out, state = t.scratch("stream"), t.scratch("stream-state")
+
+    def count(events: DataFrame) -> None:
+        log = events.select(F.concat_ws(",", "event_type", F.concat(F.lit("user"), "user_id")).alias("value"))
+        batch_counts(explode_tokens(log, "value", ","), "word", out, state).awaitTermination()
+
+    _arriving(t, count)
     return batch_results(t.spark, out, "word string, count long")
 
 
 @query("SELECT user_id, count(*) AS count FROM events GROUP BY user_id")
 def stream_running_count(t: Tables) -> DataFrame:
-    return last_batch(_results(t, running_counts(_events(t), "user_id"), "complete"))
+    counts = _results(t, lambda events: running_counts(events, "user_id"), "complete", "user_id long, count long")
+    return last_batch(counts)
 
 
 @query("SELECT user_id, count(*) AS count FROM events GROUP BY user_id")
 def stream_state_update(t: Tables) -> DataFrame:
-    changed = _results(t, changed_counts(_events(t), "user_id"), "update")
+    changed = _results(t, lambda events: changed_counts(events, "user_id"), "update", "user_id long, count long")
     return changed.groupBy("user_id").agg(F.max_by("count", "batch_id").alias("count"))
 
 
 @query(
     """
-    SELECT user_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY user_id
+    SELECT CASE WHEN user_id % 7 <> 0 THEN 9007199254740992 + user_id END AS k,
+           CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY 1
     """
 )
 def stream_custom_state(t: Tables) -> DataFrame:
-    amounts = _events(t).select("user_id", F.round(F.col("value") * 100).cast("bigint").alias("cents"))
-    totals = stateful(amounts, "user_id", "cents", lambda key, new, old: (old or 0) + new, "total")
-    states = _results(t, totals, "update")
-    return states.groupBy("user_id").agg(F.max_by("total", "batch_id").alias("total"))
+    """State by keys beyond the whole numbers a DOUBLE holds, with NULL among them."""
+
+    def totals(events: DataFrame) -> DataFrame:
+        key = F.when(F.col("user_id") % 7 != 0, F.lit(2**53) + F.col("user_id")).alias("k")
+        amounts = events.select(key, F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+        return stateful(amounts, "k", "cents", lambda key, new, old: (old or 0) + new, "total")
+
+    states = _results(t, totals, "update", "k long, total long")
+    return states.groupBy("k").agg(F.max_by("total", "batch_id").alias("total"))
 
 
 @query("SELECT user_id, count(*) AS count FROM events GROUP BY user_id")
@@ -113,8 +144,10 @@ def _as_text(df: DataFrame, *names: str) -> DataFrame:
     """
 )
 def stream_sliding_count(t: Tables) -> DataFrame:
-    windows = sliding_counts(_events(t), "ts", "event_type", "4 hours", "2 hours")
-    return _as_text(last_batch(_results(t, windows, "complete")), "start", "end")
+    build = lambda events: sliding_counts(events, "ts", "event_type", "4 hours", "2 hours")
+    schema = "start timestamp, end timestamp, event_type string, count long"
+    windows = _results(t, build, "update", schema).groupBy("start", "end", "event_type")
+    return _as_text(windows.agg(F.max_by("count", "batch_id").alias("count")), "start", "end")
 
 
 @query(
@@ -127,8 +160,10 @@ def stream_sliding_count(t: Tables) -> DataFrame:
     """
 )
 def stream_window_concat(t: Tables) -> DataFrame:
-    windows = sliding_counts(_events(t), "ts", "event_type", "4 hours", "2 hours", mode="concat", batch="1 hour")
-    return _as_text(last_batch(_results(t, windows, "complete")), "start", "end", "batch_start")
+    build = lambda events: sliding_counts(events, "ts", "event_type", "4 hours", "2 hours", mode="concat", batch="1 hour")
+    schema = "start timestamp, end timestamp, batch_start timestamp, event_type string, count long"
+    windows = _results(t, build, "update", schema).groupBy("start", "end", "batch_start", "event_type")
+    return _as_text(windows.agg(F.max_by("count", "batch_id").alias("count")), "start", "end", "batch_start")
 
 
 @query(
@@ -140,22 +175,25 @@ def stream_window_concat(t: Tables) -> DataFrame:
 )
 def stream_seeded_count(t: Tables) -> DataFrame:
     seed = t.orders.groupBy(F.col("o_orderstatus").alias("event_type")).count()
-    out = seeded_counts(_events(t), seed, "event_type", t.scratch("stream"), t.scratch("stream-state"))
+    out, state = t.scratch("stream"), t.scratch("stream-state")
+    _arriving(t, lambda events: seeded_counts(events, seed, "event_type", out, state))
     return last_batch(batch_results(t.spark, out, _COUNT_SCHEMA))
 
 
-@query("SELECT event_type, count(*) AS total, 0::BIGINT AS batch_id FROM events GROUP BY event_type")
+@query("SELECT event_type, count(*) AS total, event_id % 3 AS batch_id FROM events GROUP BY ALL")
 def stream_batch_sql(t: Tables) -> DataFrame:
-    out = t.scratch("stream")
+    out, state = t.scratch("stream"), t.scratch("stream-state")
     sql = "SELECT event_type, count(*) AS total FROM event_words GROUP BY event_type"
-    per_batch_sql(_events(t), "event_words", sql, out, t.scratch("stream-state")).awaitTermination()
+    _arriving(t, lambda events: per_batch_sql(events, "event_words", sql, out, state).awaitTermination())
     return batch_results(t.spark, out, "event_type string, total long")
 
 
 @query(f"SELECT event_id, user_id FROM events WHERE user_id NOT IN ({_BUSY_USERS})")
 def stream_blocklist(t: Tables) -> DataFrame:
-    kept = blocklist(_events(t).select("event_id", "user_id"), _busy_users(t), "user_id")
-    return _results(t, kept.select("event_id", "user_id"), "append").drop("batch_id")
+    # Worked out once, not again in every batch.
+    busy = materialise(_busy_users(t), "busy")
+    kept = lambda events: blocklist(events.select("event_id", "user_id"), busy, "user_id").select("event_id", "user_id")
+    return _results(t, kept, "append", "event_id long, user_id long").drop("batch_id")
 
 
 @query(
@@ -166,12 +204,12 @@ def stream_blocklist(t: Tables) -> DataFrame:
     """
 )
 def stream_offset_ranges(t: Tables) -> DataFrame:
-    log = _events(t).select(
+    log = lambda events: events.select(
         F.lit("events").alias("topic"), (F.col("event_id") % 3).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
     )
-    out = run_available(log, t.scratch("stream"), t.scratch("stream-state"), fn=lambda b, _: offset_ranges(b))
-    ranges = batch_results(t.spark, out, "topic string, partition int, from_offset long, until_offset long")
+    schema = "topic string, partition int, from_offset long, until_offset long"
+    ranges = _results(t, log, "append", schema, lambda b, _: offset_ranges(b))
     return ranges.groupBy("topic", "partition").agg(
         F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset")
     )
@@ -179,7 +217,6 @@ def stream_offset_ranges(t: Tables) -> DataFrame:
 
 @query("SELECT event_id, event_type, value FROM events")
 def stream_file_sink(t: Tables) -> DataFrame:
-    out = t.scratch("stream")
-    kept = _events(t).select("event_id", "event_type", "value")
-    append_files(kept, out, t.scratch("stream-state")).awaitTermination()
-    return t.spark.read.schema(kept.schema).parquet(out)
+    out, state, columns = t.scratch("stream"), t.scratch("stream-state"), ["event_id", "event_type", "value"]
+    _arriving(t, lambda events: append_files(events.select(*columns), out, state).awaitTermination())
+    return t.spark.read.schema(t.events.select(*columns).schema).parquet(out)

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, functions as F
 
-_COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
-
 
 def write_text(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists") -> None:
     """Rows as lines of text; NULL shows as ``null``."""
@@ -20,26 +17,14 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     df.write.mode(mode).parquet(path)
 
 
-@contextmanager
-def _foldered(df: DataFrame, by: Sequence[str]) -> Iterator[DataFrameWriter]:
-    """Writer whose tasks each hold whole folders, a folder too large for one task being split.
-
-    Joining small tasks is off during the write: it would save no files, as every folder has its
-    own, and would open them one after the other.
-    """
-    conf = df.sparkSession.conf
-    before = conf.get(_COALESCE)
-    conf.set(_COALESCE, "false")
-    try:
-        yield df.hint("rebalance", *by).write.partitionBy(*by)
-    finally:
-        conf.set(_COALESCE, before)
+def _foldered(df: DataFrame, by: Sequence[str]) -> DataFrameWriter:
+    """Writer whose tasks each hold whole folders, a folder too large for one task being split."""
+    return df.hint("rebalance", *by).write.partitionBy(*by)
 
 
 def write_partitioned(df: DataFrame, path: str, *by: str, mode: str = "errorifexists") -> None:
     """Parquet in one folder per value of ``by``."""
-    with _foldered(df, by) as writer:
-        writer.mode(mode).parquet(path)
+    _foldered(df, by).mode(mode).parquet(path)
 
 
 def write_day_hour(df: DataFrame, path: str, batch: str | None = None, gather: bool = True) -> None:
@@ -56,5 +41,4 @@ def write_day_hour(df: DataFrame, path: str, batch: str | None = None, gather: b
     if not gather:
         df.write.mode("overwrite").partitionBy(*by).options(**options).parquet(target)
         return
-    with _foldered(df, by) as writer:
-        writer.mode("overwrite").options(**options).parquet(target)
+    _foldered(df, by).mode("overwrite").options(**options).parquet(target)

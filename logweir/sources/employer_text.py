@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import fnmatch
 import io
-import posixpath
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -94,17 +93,12 @@ class EmployerReader(DataSourceReader):
         arrow_schema = pa.schema(
             [(f.name, pa.int64() if isinstance(f.dataType, LongType) else pa.string()) for f in self.schema]
         )
-        lines: list[str] = []
-        for line in split_lines(partition):
-            lines.append(line)
-            if len(lines) == 10_000:
+        for lines in line_blocks(partition):
+            if len(lines):
                 yield self._batch(lines, arrow_schema)
-                lines = []
-        if lines:
-            yield self._batch(lines, arrow_schema)
 
-    def _batch(self, lines: list[str], arrow_schema: pa.Schema) -> pa.RecordBatch:
-        fields = pc.split_pattern(pa.array(lines, pa.string()), ",")
+    def _batch(self, lines: pa.Array, arrow_schema: pa.Schema) -> pa.RecordBatch:
+        fields = pc.split_pattern(pc.utf8_rtrim(lines, ","), ",")  # trailing empty fields don't count
         columns = []
         for i, field in enumerate(arrow_schema):
             col = pc.utf8_trim(pc.list_element(fields, i), " \t\r")
@@ -125,20 +119,30 @@ def _locate(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def matching_files(path: str) -> list[tuple[str, int]]:
-    """Files of a path, folder or glob on any file system Arrow knows, with their sizes."""
+    """Files of a path, folder or glob on any file system Arrow knows, with their sizes; each part may be a glob."""
     filesystem, inner = _locate(path)
     prefix = path[: len(path) - len(inner)] if path.endswith(inner) else ""
-    pattern = "*"
-    if any(c in inner for c in "*?["):
-        inner, pattern = posixpath.split(inner)
-    info = filesystem.get_file_info(inner)
-    found = [info] if info.is_file else filesystem.get_file_info(fs.FileSelector(inner))
+    parts = inner.split("/")
+    fixed = next((i for i, part in enumerate(parts) if set(part) & set("*?[")), len(parts))
+    top, pattern = "/".join(parts[:fixed]) or "/", parts[fixed:]
+    info = filesystem.get_file_info(top)
+    if info.is_file:
+        found = [] if pattern else [info]
+    else:
+        found = filesystem.get_file_info(fs.FileSelector(top, recursive=len(pattern) > 1))
+        depth = len([p for p in parts[:fixed] if p])
+        names = lambda f: [p for p in f.path.split("/") if p][depth:]
+        pattern = pattern or ["*"]
+        found = [f for f in found if len(names(f)) == len(pattern) and all(map(fnmatch.fnmatch, names(f), pattern))]
+        folders = [f for f in found if not f.is_file] if parts[fixed:] else []
+        for folder in folders:
+            found += filesystem.get_file_info(fs.FileSelector(folder.path))
     keep = [f for f in found if f.is_file and not f.base_name.startswith(("_", "."))]
-    return sorted((prefix + f.path, f.size) for f in keep if info.is_file or fnmatch.fnmatch(f.base_name, pattern))
+    return sorted((prefix + f.path, f.size) for f in keep)
 
 
-def split_lines(split: FileSplit) -> Iterator[str]:
-    """Lines that start inside a split, blank ones left out."""
+def line_blocks(split: FileSplit) -> Iterator[pa.Array]:
+    """Blocks of the lines that start inside a split, blank ones left out."""
     filesystem, inner = _locate(split.path)
     with io.BufferedReader(filesystem.open_input_file(inner), READ_BYTES) as source:
         at = split.start
@@ -147,13 +151,14 @@ def split_lines(split: FileSplit) -> Iterator[str]:
             source.seek(at - 1)
             at += len(source.readline()) - 1
         while at < split.end:
-            line = source.readline()
-            if not line:
+            block = source.read(min(READ_BYTES, split.end - at))
+            if not block:
                 return
-            at += len(line)
-            text = line.decode("utf-8").rstrip("\n")
-            if text.strip():
-                yield text
+            if not block.endswith(b"\n"):
+                block += source.readline()
+            at += len(block)
+            lines = pa.array(block.split(b"\n"), pa.binary()).cast(pa.string())
+            yield lines.filter(pc.not_equal(pc.utf8_trim_whitespace(lines), ""))
 
 
 def employer_source(spark: SparkSession) -> None:

@@ -6,7 +6,17 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from logweir.functions.text import split_java
 from logweir.functions.times import bracket_time
@@ -28,14 +38,8 @@ ACCESS_LOG_FIELDS = {
 CLICK_FIELDS = ["cdn", "region", "level", "time", "ip", "domain", "url", "traffic"]
 
 
-def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """Text lines in column ``value``.
-
-    ``min_partitions`` raises the session's ``spark.sql.files.minPartitionNum``, which asks for
-    smaller file splits and needs no shuffle.
-    """
-    if min_partitions:
-        spark.conf.set("spark.sql.files.minPartitionNum", min_partitions)
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text lines in column ``value``; ``spark.sql.files.maxPartitionBytes`` sets the size of its tasks."""
     return spark.read.text(path)
 
 
@@ -63,14 +67,43 @@ def parse_access_log(lines: DataFrame, arity: int | None = ACCESS_LOG_ARITY, col
     return parsed.withColumn("time", bracket_time(F.col("time")))
 
 
-def json_schema(df: DataFrame, col: str) -> str:
-    """Struct DDL that fits the JSON objects of a column, from one aggregation over it."""
+_TYPE_TOKEN = re.compile(r"`(?:[^`]|``)*`|[^\W\d]\w*|\d+|[<>():,]")
+
+
+def _parse_type(tokens: list[str]) -> DataType:
+    """Type of the front tokens, which are taken off; the kinds are those of variant schemas."""
+    kind = tokens.pop(0).upper()
+    if kind == "OBJECT":
+        fields, more = [], tokens.pop(0) == "<" and tokens[0] != ">"
+        while more:
+            name = tokens.pop(0)
+            name = name[1:-1].replace("``", "`") if name.startswith("`") else name
+            tokens.pop(0)
+            fields.append(StructField(name, _parse_type(tokens)))
+            more = tokens[0] == "," and tokens.pop(0) == ","
+        tokens.pop(0)
+        return StructType(fields)
+    if kind == "ARRAY":
+        tokens.pop(0)
+        inner = _parse_type(tokens)
+        tokens.pop(0)
+        return ArrayType(inner)
+    if kind == "DECIMAL":
+        _, precision, _, scale, _ = (tokens.pop(0) for _ in range(5))
+        return DecimalType(int(precision), 0) if scale == "0" else DoubleType()
+    return {"BIGINT": LongType(), "DOUBLE": DoubleType(), "BOOLEAN": BooleanType()}.get(kind, StringType())
+
+
+def json_schema(df: DataFrame, col: str) -> StructType:
+    """Schema that fits the JSON objects of a column, from one aggregation over it.
+
+    As Spark's JSON reader has it: whole numbers beyond BIGINT are DECIMAL, fractions DOUBLE, and a key that is only
+    null or of several kinds is STRING.
+    """
     found = df.agg(F.schema_of_variant_agg(F.try_parse_json(col))).first()[0] or ""
     if not found.startswith("OBJECT<"):
         raise ValueError(f"column {col} holds no JSON objects or a mix of kinds")
-    ddl = re.sub(r"\bOBJECT<", "STRUCT<", found)
-    ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
-    return re.sub(r"\bVOID\b", "STRING", ddl)
+    return _parse_type(_TYPE_TOKEN.findall(found))
 
 
 def read_json_strings(df: DataFrame, col: str, schema: StructType | str | None = None) -> DataFrame:
@@ -93,8 +126,14 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_ctrl_a(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Text with ``\\x01`` between the fields."""
-    return spark.read.csv(path, sep="\u0001", schema=schema)
+    """Text lines with ``\\x01`` between the fields and no quoting, as typed columns.
+
+    ``\\N``, a missing field and a value its type can't hold are NULL; fields beyond the schema are ignored.
+    """
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    fields = spark.read.text(path, lineSep="\n").select(F.split("value", "\u0001", -1).alias("f"))
+    values = ((F.get("f", F.lit(i)), field) for i, field in enumerate(schema))
+    return fields.select(*(F.when(v != "\\N", v).try_cast(field.dataType).alias(field.name) for v, field in values))
 
 
 def list_files(spark: SparkSession, glob: str) -> DataFrame:

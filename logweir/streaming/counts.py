@@ -6,9 +6,10 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType
 
 from logweir.streaming.batches import run_available
 
@@ -29,27 +30,31 @@ def stateful(
     """Custom state per key: ``fn(key, batch_total, old_state)`` gives the new state. Update mode.
 
     ``old_state`` is None for a new key. Amounts are summed in each task before the shuffle, so a
-    hot key reaches its state as a few rows per task.
+    hot key reaches its state as a few rows per task. ``fn`` gets whole-number keys as int, others as text.
     """
-    schema = StructType([stream.schema[key]]).add(out, "long")
-    partial = StructType([stream.schema[key]]).add(amount, "long")
+    kind = stream.schema[key].dataType
+    whole = isinstance(kind, IntegralType)
 
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Keys travel as text: as pandas numbers a NULL among them would turn them into floats.
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.groupby(key, as_index=False, dropna=False)[amount].sum()
+            sums = pa.Table.from_batches([batch]).group_by("_key").aggregate([("_amount", "sum")])
+            yield from sums.rename_columns(["_key", "_amount"]).combine_chunks().to_batches()
 
     def advance(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        total = sum(int(part[amount].sum()) for part in parts)
-        new = fn(group[0], total, state.get[0] if state.exists else None)
+        total = sum(int(part["_amount"].sum()) for part in parts)
+        name = int(group[0]) if whole and group[0] is not None else group[0]
+        new = fn(name, total, state.get[0] if state.exists else None)
         state.update((new,))
-        yield pd.DataFrame({key: [group[0]], out: [new]})
+        yield pd.DataFrame({"_key": [group[0]], out: [new]})
 
-    return (
-        stream.select(key, F.col(amount).cast("bigint").alias(amount))
-        .mapInPandas(combine, partial)
-        .groupBy(key)
-        .applyInPandasWithState(advance, schema, "state bigint", "update", GroupStateTimeout.NoTimeout)
+    amounts = stream.select(F.col(key).cast("string").alias("_key"), F.coalesce(F.col(amount).cast("bigint"), F.lit(0)).alias("_amount"))
+    states = (
+        amounts.mapInArrow(combine, "_key string, _amount long")
+        .groupBy("_key")
+        .applyInPandasWithState(advance, f"_key string, {out} long", "state bigint", "update", GroupStateTimeout.NoTimeout)
     )
+    return states.select(F.col("_key").cast(kind).alias(key), out)
 
 
 def seeded_counts(stream: DataFrame, seed: DataFrame, key: str, out: str, checkpoint: str, count: str = "count") -> str:

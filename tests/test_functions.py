@@ -87,6 +87,27 @@ def test_epoch_millis(column):
     assert column(fn.epoch_millis, texts) == [1559990439000, 0, 0, 0]
 
 
+def test_epoch_millis_of_long_fields(column):
+    texts = ["2019-6-8 1:4:1234", "2019-6-8 1:4:12345", "02019-06-08 01:04:00", "2019-06-0008 01:04:00", "9" * 30 + "-1-1 1:1:1", "2019-999999999-1 1:1:1"]
+    base = 1559955840000
+    assert column(fn.epoch_millis, texts) == [base + 1234_000, base + 12345_000, base, base, 0, 0]
+
+
+def test_whole_numbers_end_with_the_text(column):
+    assert column(fn.safe_long, ["12\n", "\n12", "12"]) == [0, 0, 12]
+    assert column(fn.safe_int, ["12\n", "12"]) == [None, 12]
+
+
+def test_average_of_large_numbers(spark):
+    df = spark.createDataFrame([(2**62,)] * 3, "x long")
+    assert df.agg(fn.average("x").alias("a")).first().a == float(2**62)
+
+
+def test_built_in_names_are_refused(spark):
+    with pytest.raises(ValueError):
+        fn.register_average(spark, "Mean")
+
+
 def test_epoch_millis_lenient(column):
     exact, rolled = 1559955843000, 1577836800000
     texts = ["2019-6-8 1:4:3", "2019-06-08 01:04:03.5", "  2019-06-08  01:04:03", "2019-13-01 00:00:00", "2019-12-31 24:00:00"]

@@ -151,15 +151,24 @@ def test_hits_and_sum(skewed):
 @pytest.mark.parametrize("limit", [100_000, 7])
 def test_collect_by_is_whole(skewed, limit):
     data, df = skewed
-    got, chunks = Counter(), Counter()
+    got, held = Counter(), defaultdict(dict)
     for row in op.collect_by(df, "k", "v", max_values=limit).collect():
-        values = [entry["v"] for entry in row["values"]]
-        assert values == sorted(values)
-        chunks[row.k] += 1
+        assert row.chunk not in held[row.k]
+        held[row.k][row.chunk] = [entry["v"] for entry in row["values"]]
         for entry in row["values"]:
             got[(row.k, entry["v"])] += entry["copies"]
     assert got == Counter((k, v) for k, v, _ in data)
-    assert (max(chunks.values()) > 1) == (limit == 7)
+    for k, chunks in held.items():
+        values = [v for chunk in sorted(chunks) for v in chunks[chunk]]
+        assert values == sorted(values) and sorted(chunks) == list(range(len(chunks)))
+        assert all(len(chunks[c]) == limit for c in sorted(chunks)[:-1])
+    assert (max(map(len, held.values())) > 1) == (limit == 7)
+
+
+def test_collect_by_null_and_repeats(spark):
+    df = spark.createDataFrame([(None, 3), (None, 3), (None, None), (1, 2), (1, 1), (1, 4)], "k int, v int")
+    got = {(r.k, r.chunk): [tuple(e) for e in r["values"]] for r in op.collect_by(df, "k", "v", max_values=2).collect()}
+    assert got == {(None, 0): [(None, 1), (3, 2)], (1, 0): [(1, 1), (2, 1)], (1, 1): [(4, 1)]}
 
 
 class Widest(Aggregator):
@@ -193,7 +202,16 @@ def test_custom_aggregate(skewed, pending):
 def test_mean_aggregator_skips_null(spark):
     df = spark.createDataFrame([("a", None), ("a", 4.0), ("b", None)], "k string, v double")
     got = {r.k: r.m for r in op.custom_aggregate(df, ["k"], "v", MeanAggregator(), "m").collect()}
-    assert got["a"] == 4.0 and (got["b"] is None or math.isnan(got["b"]))
+    assert got["a"] == 4.0 and math.isnan(got["b"])
+
+
+def test_custom_aggregate_keeps_keys_exact(spark):
+    big = 2**53
+    df = spark.createDataFrame([(big + 1, "x", 1), (None, "x", 2), (big + 2, None, 3), (big + 1, "x", 5)], "k long, s string, v long")
+    got = {(r.k, r.s): r.m for r in op.custom_aggregate(df, ["k", "s"], "v", MeanAggregator(), "m").collect()}
+    assert got == {(big + 1, "x"): 3.0, (None, "x"): 2.0, (big + 2, None): 3.0}
+    odd = spark.createDataFrame([(float("nan"), 1.0), (None, 3.0), (float("nan"), 5.0)], "k double, v double")
+    assert sorted((r.k is None, r.m) for r in op.custom_aggregate(odd, ["k"], "v", MeanAggregator(), "m").collect()) == [(False, 3.0), (True, 3.0)]
 
 
 def test_totals_and_min_max(spark):
@@ -327,6 +345,23 @@ def test_upsert_of_some_columns(spark):
     assert rows(op.upsert(base, changes, ["id"])) == [(1, "a", 1.0), (2, "b", None), (3, None, 9.0)]
 
 
+def test_upsert_takes_the_latest(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "id int, name string")
+    changes = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (3, "c", 1), (None, "m", 1)], "id int, name string, at int")
+    assert rows(op.upsert(base, changes, ["id"], order="at")) == [(1, "new"), (2, "b"), (3, "c"), (None, "m"), (None, "n")]
+    with pytest.raises(Exception, match="several changes"):
+        op.upsert(base, changes, ["id"]).collect()
+
+
+def test_parts_and_salts_split_equal_rows(spark):
+    same = spark.range(0, 1000, 1, 2).select(F.lit(7).alias("k"), F.create_map(F.lit("a"), F.lit(1)).alias("m"))
+    assert op.top_n(same, ["k"], [F.asc("k")], 900, splits=8).count() == 900
+    right = spark.createDataFrame([(7, "x")], "rk int, label string")
+    assert op.join_on(same, right, [("k", "rk")], salt=4).count() == 1000
+    salts = same.withColumn("s", F.monotonically_increasing_id() % 4).groupBy("s").count().collect()
+    assert {r["count"] for r in salts} == {250}
+
+
 def test_row_edits(spark):
     staff = spark.createDataFrame([("z1", 20, 18000), ("z2", 50, 300000), ("l1", 22, None)], "name string, age int, pay int")
     more = op.append_rows(staff, spark.createDataFrame([(1, "n", 2)], "pay int, name string, age int"))

@@ -108,14 +108,18 @@ def test_edge_values_need_no_window(plan_of):
         assert "Window" not in plan_of(name)
 
 
-def test_small_changes_do_not_shuffle_the_base(spark):
-    base = spark.range(100_000).select(F.col("id").alias("k"), F.lit(0).alias("v"))
+def test_upsert_reads_the_base_once(spark):
+    base = spark.range(100_000).select(F.col("id").alias("k"), F.lit(0).alias("v"), F.lit(1).alias("w"))
     changes = spark.createDataFrame([(1, 9)], "k long, v int")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        assert "Exchange hashpartitioning" not in plan(op.upsert(base, changes.hint("broadcast"), ["k"]))
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    text = plan(op.upsert(base, changes, ["k"]))
+    assert text.count("Range (") == 1 and "FullOuter" in text
+
+
+def test_statuses_are_parsed_for_ranked_products_only(plan_of):
+    """The JSON is read above the first cut of each area, not below it."""
+    text = plan_of("job_area_product_top3")
+    parse = max(text.rfind("get_json_object"), text.rfind("variant"), text.rfind("parse_json"))
+    assert -1 < parse < text.rfind("WindowGroupLimit")
 
 
 def test_file_listing_reads_no_content(plan_of):

@@ -46,10 +46,10 @@ class Feed:
         st.run_available(stream, self.out, self.state, mode, fn)
         return st.batch_results(self.spark, self.out, stream.schema)
 
-    def by_batch(self, results, value="count"):
+    def by_batch(self, results, value="count", key="word"):
         got = {}
         for r in results.collect():
-            got.setdefault(r.batch_id, {})[r.word] = r[value]
+            got.setdefault(r.batch_id, {})[r[key]] = r[value]
         return got
 
 
@@ -105,6 +105,15 @@ def test_custom_state(feed):
     assert feed.by_batch(feed.run(largest, "update"), "largest") == {0: {"a": 3, "b": 1}, 1: {"b": 1, "c": 1}}
 
 
+def test_custom_state_keeps_keys_exact(feed):
+    big = 2**53
+    feed.put(f"{big + 1} x {big + 2}")
+    feed.put(f"{big + 2} x")
+    keys = feed.words().select(F.col("word").try_cast("bigint").alias("k"), F.lit(1).alias("n"))
+    results = feed.run(st.stateful(keys, "k", "n", lambda key, new, old: new + (old or 0) + (key is None), "s"), "update")
+    assert feed.by_batch(results, "s", "k") == {0: {big + 1: 1, big + 2: 1, None: 2}, 1: {big + 2: 2, None: 4}}
+
+
 def test_custom_state_of_a_hot_key(feed):
     words = ["hot" if i % 3 == 0 else f"w{i % 50}" for i in range(3000)]
     feed.put(*words[:1500])
