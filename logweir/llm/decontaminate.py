@@ -39,8 +39,12 @@ one two three four five six seven eight nine ten eleven twelve thirteen fourteen
 twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million
 """.split()
 
+Tokens = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
 _NUMBER, _NAME, _UNIT = (int(x) for x in mix(np.arange(1, 4, dtype=U)))
 _TOKEN = np.zeros(256, bool)
+_STOP = np.zeros(256, bool)
+_STOP[[10, 13, 33, 46, 58, 63]] = True
 _TOKEN[48:58] = _TOKEN[65:91] = _TOKEN[97:123] = _TOKEN[128:] = True
 
 
@@ -51,7 +55,11 @@ def _hashes(words: list[str]) -> np.ndarray:
 _UNIT_HASHES, _NUMBER_HASHES = _hashes(UNITS), _hashes(NUMBERS)
 
 
-def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def template(texts: pa.Array) -> Tokens:
     """(row, template hash, value hash, whether a placeholder) of each token of the texts."""
     words = Words(texts)
     raw, _ = flat(texts, " ")
@@ -62,18 +70,23 @@ def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     a, b = np.searchsorted(inner, words.start), np.searchsorted(inner, words.end) - 1
     some = b >= a
     start, end, row = inner[a[some]], inner[b[some]] + 1, words.row[some]
-    digits = np.append(0, np.cumsum((raw >= 48) & (raw <= 57)))
-    letters = np.append(0, np.cumsum(_TOKEN[raw] & ~((raw >= 48) & (raw <= 57))))
+    digit = (raw >= 48) & (raw <= 57)
+    starts_number = digit[start]
+    # Letters matter only in tokens that begin with a digit.
+    letters = np.zeros(len(start), bool)
+    some = np.flatnonzero(starts_number)
+    count = np.append(0, np.cumsum((_TOKEN[raw] & ~digit).astype(np.int32)))
+    letters[some] = count[end[some]] > count[start[some]]
     # Lower case also for the Latin letters of two bytes, so that shouted texts match.
     capital = np.append(False, (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97))
     value = Rolling(words.bytes + np.where(capital, 32, 0).astype(np.uint8)).hash(start, end)
-    number = (digits[start + 1] - digits[start] == 1) & (letters[end] == letters[start]) | np.isin(value, _NUMBER_HASHES)
+    number = starts_number & ~letters | _among(value, _NUMBER_HASHES)
     after = np.append(False, number[:-1] & (row[1:] == row[:-1]))
-    unit = after & np.isin(value, _UNIT_HASHES)
+    unit = after & _among(value, _UNIT_HASHES)
     # Glued values as 5km are a number and a unit in one token: the number's placeholder stands for both.
-    glued = (digits[start + 1] - digits[start] == 1) & ~number
+    glued = starts_number & ~number
     # A token begins a sentence if a full stop, question or exclamation mark, colon or line break lies before it.
-    stops = np.append(0, np.cumsum(np.isin(raw, [10, 13, 33, 46, 58, 63])))
+    stops = np.append(0, np.cumsum(_STOP[raw].astype(np.int32)))
     first = np.ones(len(start), bool)
     first[1:] = (row[1:] != row[:-1]) | (stops[start[1:]] > stops[end[:-1]])
     upper = (raw >= 65) & (raw <= 90)
@@ -84,10 +97,10 @@ def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return row, hashed, value, number | glued | unit | name
 
 
-def windows(texts: pa.Array, sizes: list[int]) -> Iterator[tuple[np.ndarray, ...]]:
+def windows(tokens: Tokens, n_texts: int, sizes: list[int]) -> Iterator[tuple[np.ndarray, ...]]:
     """For each size: (row, place of the window in its text, hash, index of its first token, tokens of its text)."""
-    row, hashed, _, slot = template(texts)
-    begin = np.searchsorted(row, np.arange(len(texts) + 1))
+    row, hashed, _, slot = tokens
+    begin = np.searchsorted(row, np.arange(n_texts + 1))
     size = np.diff(begin)
     rolling = Rolling(hashed)
     plain = np.append(0, np.cumsum(~slot))
@@ -97,9 +110,9 @@ def windows(texts: pa.Array, sizes: list[int]) -> Iterator[tuple[np.ndarray, ...
         yield row[first], first - begin[row[first]], rolling.hash(first, first + w) ^ U(w), first, size[row[first]]
 
 
-def _slots(texts: pa.Array, first: np.ndarray, w: int) -> pa.Array:
+def _slots(tokens: Tokens, first: np.ndarray, w: int) -> pa.Array:
     """Values behind the placeholders of windows, in order."""
-    _, _, value, slot = template(texts)
+    _, _, value, slot = tokens
     index = first[:, None] + np.arange(w)
     is_slot = slot[index]
     offsets = np.append(0, np.cumsum(is_slot.sum(axis=1))).astype(np.int32)
@@ -109,12 +122,12 @@ def _slots(texts: pa.Array, first: np.ndarray, w: int) -> pa.Array:
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
-            texts = batch.column("text")
-            for w, (row, at, hashed, first, size) in zip(range(1, WINDOW + 1), windows(texts, list(range(1, WINDOW + 1)))):
+            tokens = template(batch.column("text"))
+            for w, (row, at, hashed, first, size) in zip(range(1, WINDOW + 1), windows(tokens, len(batch), list(range(1, WINDOW + 1)))):
                 # Short items are one window of their own length.
                 use = size >= w if w == WINDOW else size == w
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("item_id").take(pa.array(row[use])), pa.array(at[use]), pa.array(hashed[use].view(np.int64)), pa.array(np.full(use.sum(), w)), _slots(texts, first[use], w)],
+                    [batch.column("item_id").take(pa.array(row[use])), pa.array(at[use]), pa.array(hashed[use].view(np.int64)), pa.array(np.full(use.sum(), w)), _slots(tokens, first[use], w)],
                     ["item_id", "i", "hash", "w", "item_slots"],
                 )
 
@@ -122,12 +135,12 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _doc_windows(batches: Iterator[pa.RecordBatch], sizes: list[int], bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
-            texts = batch.column("text")
-            for w, (row, at, hashed, first, size) in zip(sizes, windows(texts, sizes)):
+            tokens = template(batch.column("text"))
+            for w, (row, at, hashed, first, size) in zip(sizes, windows(tokens, len(batch), sizes)):
                 hit = bitmap[(hashed & U((1 << BITS) - 1)).astype(np.int64)] & ((size == w) | (w == WINDOW))
                 if hit.any():
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").take(pa.array(row[hit])), pa.array(at[hit]), pa.array(hashed[hit].view(np.int64)), _slots(texts, first[hit], w)],
+                        [batch.column("doc_id").take(pa.array(row[hit])), pa.array(at[hit]), pa.array(hashed[hit].view(np.int64)), _slots(tokens, first[hit], w)],
                         ["doc_id", "at", "hash", "doc_slots"],
                     )
 
@@ -156,6 +169,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     met = found.join(wanted, "hash").select(
         "doc_id", "item_id", "i", (F.col("at") - F.col("i")).alias("shift"), F.arrays_zip("item_slots", "doc_slots").alias("slots")
     )
+    met = cut(met, "met")  # read three times below, the texts only once
     occurrence = ["doc_id", "item_id", "shift"]
     counted = met.groupBy(*occurrence).agg(F.countDistinct("i").alias("n_windows"))
     values = met.select(*occurrence, F.explode("slots").alias("s")).select(*occurrence, "s.item_slots", "s.doc_slots").distinct()
