@@ -6,8 +6,9 @@ word. Two lines that share such a key with its place differ by one replaced word
 another's key has one word less. So the members of a bucket are all within the bound of its earliest, or of the one
 whole line, and each is joined to that one only. The edit distance is then verified on the words.
 
-The full neighbourhood has a key for every word of a text. Before it, a line emits one key for each quarter of its
-words left out: lines within the bound agree outside one quarter. Only lines that share such a key with another go on.
+The full neighbourhood has a key for every word of a text. Before it, a line emits one key for each third of its
+words left out: lines within the bound agree outside the third with the edit. Only lines that share such a key with
+another go on, and only the words of that third are left out one by one.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from logweir.llm.scan import U, Rolling, Words, mix, slices
-from logweir.llm.tables import cut
+from logweir.llm.scan import U, Rolling, Words, mix, slices, unpack
+from logweir.llm.tables import cut, packed
 
-BLOCKS = 4
+BLOCKS = 3
+PARTS = 2 * BLOCKS
 SWAP, SHORTER, WHOLE, TEXT = 0, 1, 2, 3
 
 _LINES = "doc_id long, line long, n long, h long, g long, keys array<long>"
@@ -54,7 +56,7 @@ class Lines:
 
 
 def _scan(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    """Every line long enough, with two hashes of the whole and the keys of its quarters left out."""
+    """Every line long enough, with two hashes of the whole and the keys of its thirds."""
     for whole in batches:
         for batch in slices(whole, "text"):
             lines = Lines(batch.column("text"))
@@ -83,29 +85,36 @@ def _scan(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Reco
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The deletion neighbourhood of the chosen lines, and their words."""
+    """The deletion neighbourhood of the chosen lines inside their chosen parts, the whole lines, and their words."""
     for whole in batches:
         for batch in slices(whole, "text", 300_000):
             lines = Lines(batch.column("text"))
-            chosen = [set(x) for x in batch.column("lines").to_pylist()]
-            ok = np.flatnonzero(np.fromiter((k in chosen[r] for r, k in zip(lines.row, lines.number)), bool, len(lines.row)))
-            first, last, n = lines.first[ok], lines.last[ok], lines.n[ok]
-            doc, line = batch.column("doc_id").to_numpy()[lines.row[ok]], lines.number[ok]
-            each = np.repeat(np.arange(len(ok)), n)
-            at = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-            left = lines.skip(first[each], first[each] + at, first[each] + at + 1, last[each])
-            swap = mix(left + (at + 1).astype(U) * U(0xE7037ED1A0B428DB))
-            full = lines.skip(first, last, last, last)
+            lists = batch.column("marks")
+            mark = lists.flatten().to_numpy()
+            row = np.repeat(np.arange(len(batch)), np.diff(lists.offsets.to_numpy()))
+            own = np.searchsorted(lines.row * (1 << 40) + lines.number, row * (1 << 40) + mark // PARTS)
+            shorter, block = mark % PARTS // BLOCKS, mark % BLOCKS
+            c = lines.n[own] - shorter
+            begin, end = c * block // BLOCKS, c * (block + 1) // BLOCKS + shorter
+            each = np.repeat(np.arange(len(own)), end - begin)
+            at = np.arange(len(each)) - np.repeat(np.cumsum(end - begin) - end, end - begin)
+            first, last = lines.first[own[each]], lines.last[own[each]]
+            left = lines.skip(first, first + at, first + at + 1, last)
+            swap = shorter[each] == 0
+            key = np.where(swap, mix(left + (at + 1).astype(U) * U(0xE7037ED1A0B428DB)), left)
+            once = np.unique(own)
+            full = lines.skip(lines.first[once], lines.last[once], lines.last[once], lines.last[once])
             w = lines.words
-            texts = [b" ".join(w.bytes[w.start[k] : w.end[k]].tobytes() for k in range(a, b)).decode("utf-8", "replace") for a, b in zip(first, last)]
-            for kind, key, rows, text in ((SWAP, swap, each, None), (SHORTER, left, each, None), (WHOLE, full, slice(None), None), (TEXT, None, slice(None), texts)):
-                d = doc[rows]
+            texts = [b" ".join(w.bytes[w.start[k] : w.end[k]].tobytes() for k in range(lines.first[i], lines.last[i])).decode("utf-8", "replace") for i in once]
+            ids = batch.column("doc_id").to_numpy()
+            kinds = np.where(swap, SWAP, SHORTER)
+            for kind, key, line, text in ((kinds, key, own[each], None), (np.full(len(once), WHOLE), full, once, None), (np.full(len(once), TEXT), None, once, texts)):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(d), kind, np.int32)),
-                        pa.nulls(len(d), pa.int64()) if key is None else pa.array(key.view(np.int64)),
-                        pa.array(d), pa.array(line[rows]),
-                        pa.nulls(len(d), pa.string()) if text is None else pa.array(text, pa.string()),
+                        pa.array(kind.astype(np.int32)),
+                        pa.nulls(len(line), pa.int64()) if key is None else pa.array(key.view(np.int64)),
+                        pa.array(ids[lines.row[line]]), pa.array(lines.number[line]),
+                        pa.nulls(len(line), pa.string()) if text is None else pa.array(text, pa.string()),
                     ],
                     ["kind", "key", "doc_id", "line", "words"],
                 )
@@ -134,10 +143,12 @@ def removed_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
     copies = rows.join(
         firsts.select("n", "h", "g", F.struct("doc_id", "line").alias("first")), ["n", "h", "g"]
     ).where(place != F.col("first")).select("doc_id", "line")
-    quarters = firsts.select("doc_id", "line", F.explode("keys").alias("key"))
-    shared = quarters.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select("key")
-    chosen = quarters.join(shared, "key", "left_semi").groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
-    near = cut(docs.join(chosen, "doc_id").select("doc_id", "text", "lines").mapInArrow(_neighbours, _KEYS), "neighbours")
+    thirds = firsts.select("doc_id", "line", "h", F.posexplode("keys").alias("part", "key"))
+    shared = thirds.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high").select("key")
+    marks = thirds.select("key", "doc_id", (F.col("line") * PARTS + F.col("part")).alias("mark"))
+    chosen = marks.join(shared, "key", "left_semi").groupBy("doc_id").agg(F.collect_set("mark").alias("marks"))
+    texts = packed(docs).join(chosen, "doc_id").select("doc_id", "body_", "marks")
+    near = cut(texts.mapInArrow(lambda batches: _neighbours(unpack(batches)), _KEYS), "neighbours")
     keyed = near.where(F.col("kind") != TEXT).withColumn("own", place)
     # A key with its place and one without never meet: the former is mixed with the place.
     of = lambda kind: F.min(F.when(F.col("kind") == kind, F.col("own")))
@@ -177,8 +188,9 @@ def dedup_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
     left out. Rows of equal id and text are one document that gives as many rows. All columns are kept; those named
     ``n_lines`` or ``n_removed`` are replaced. An empty table gives no rows.
     """
-    docs = docs.drop("n_lines", "n_removed", "gone_").where("doc_id IS NOT NULL")
+    docs = docs.drop("n_lines", "n_removed", "gone_", "body_").where("doc_id IS NOT NULL")
     docs = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
     gone = removed_lines(docs.select("doc_id", "text"), min_words).groupBy("doc_id").agg(F.collect_list("line").alias("gone_"))
     kept = StructType([*docs.schema.fields, StructField("n_lines", LongType()), StructField("n_removed", LongType())])
-    return docs.join(gone, "doc_id", "left").select(*docs.columns, "gone_").mapInArrow(_rebuild, kept)
+    joined = packed(docs).join(gone, "doc_id", "left").select(*(c if c != "text" else "body_" for c in docs.columns), "gone_")
+    return joined.mapInArrow(lambda batches: _rebuild(unpack(batches)), kept)

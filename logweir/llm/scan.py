@@ -86,6 +86,30 @@ def flat(texts: pa.Array, separator: str = "") -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]] if len(at) else raw[:0], at - at[0] if len(at) else np.zeros(1, np.int64)
 
 
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches with each ``text`` compressed by itself as ``body_``, last, for shuffles of whole texts."""
+    codec = pa.Codec("zstd", compression_level=3)
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            raw = (None if x is None else x.encode() for x in batch.column("text").to_pylist())
+            body = [None if x is None else len(x).to_bytes(8, "little") + codec.compress(x, asbytes=True) for x in raw]
+            rest = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(body, pa.binary())], [*rest, "body_"])
+
+
+def unpack(batches: Iterator[pa.RecordBatch], rows: int = 100) -> Iterator[pa.RecordBatch]:
+    """The batches with ``body_`` as ``text`` again, in its place, a few rows at a time."""
+    codec = pa.Codec("zstd")
+    for whole in batches:
+        for k in range(0, len(whole), rows):
+            batch = whole.slice(k, rows)
+            bodies = batch.column("body_").to_pylist()
+            texts = [None if x is None else codec.decompress(x[8:], int.from_bytes(x[:8], "little"), asbytes=True) for x in bodies]
+            text = pa.array(texts, pa.binary()).cast(pa.string())
+            names = ["text" if c == "body_" else c for c in batch.schema.names]
+            yield pa.RecordBatch.from_arrays([text if c == "text" else batch.column(c) for c in names], names)
+
+
 def lower(raw: np.ndarray) -> np.ndarray:
     """Bytes with A-Z lower-cased."""
     return _LOWER[raw]

@@ -1,9 +1,11 @@
-"""Reading the given tables, cutting lineage, and finding a free column name."""
+"""Reading the given tables, cutting lineage and packing texts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import BinaryType, StructField, StructType
 
+from logweir.llm.scan import pack
 from logweir.session import materialise
 
 
@@ -16,7 +18,7 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return materialise(df, label)
 
 
-def rejoin(docs: DataFrame, id_column: str, found: DataFrame) -> DataFrame:
-    """``docs`` with the columns of ``found`` by id. Columns of ``docs`` that ``found`` also has are replaced."""
-    clash = [c for c in docs.columns if c != id_column and c.lower() in {x.lower() for x in found.columns}]
-    return docs.drop(*clash).join(found, id_column, "left")
+def packed(docs: DataFrame) -> DataFrame:
+    """``docs`` with each text compressed, in the last column ``body_``: shuffles of texts then take less room."""
+    rest = [f for f in docs.schema.fields if f.name != "text"]
+    return docs.mapInArrow(pack, StructType([*rest, StructField("body_", BinaryType())]))

@@ -4,7 +4,8 @@ import __spark_entry__
 import corpus_pipeline
 import pytest
 from logweir.llm.queries import ORACLES, QUERIES
-from logweir.llm.scan import pack, unpack
+from logweir.llm.scan import unpack
+from logweir.llm.tables import packed
 from pyspark.sql import functions as F
 
 from tests.llm.rows import ODD, documents
@@ -70,5 +71,5 @@ def test_query(spark, con, name):
 
 def test_packed_texts_come_back(spark):
     docs = documents(spark, ODD).where("doc_id IS NOT NULL").select("doc_id", "text")
-    back = docs.mapInArrow(pack, "doc_id long, body binary").mapInArrow(unpack, "doc_id long, text string")
-    assert sorted(map(tuple, back.collect())) == sorted((d, t or "") for d, t in docs.collect())
+    back = packed(docs).mapInArrow(unpack, "doc_id long, text string")
+    assert sorted(map(str, back.collect())) == sorted(map(str, docs.collect()))
