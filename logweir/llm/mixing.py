@@ -171,6 +171,9 @@ def draw_slots(sources: DataFrame, block: int, shard: int, limit: int) -> DataFr
     counts = sure.union(drawn.select("rank", "shard", F.lit(1).cast("long").alias("c"))).groupBy("rank", "shard").agg(F.sum("c").alias("c"))
     counts = counts.where("c > 0").withColumn("run", F.expr("shard div 1024"))
     counts = earlier_sum(counts, "rank", "run", ["shard"], "c", "first")
+    # The counts are few but each becomes many slots: spread them by what they become, not by what they are.
+    tasks = int(sources.agg(F.sum("target")).first()[0] or 0) // (block * 50_000) + 1
+    counts = counts.repartition(tasks, "shard")
     in_shard = Window.partitionBy("shard").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("lead", F.coalesce(F.sum("c").over(in_shard), F.lit(0)))
     counts = counts.withColumn("width", F.sum("c").over(Window.partitionBy("shard")))
@@ -201,7 +204,7 @@ def mix(docs: DataFrame, block: int = 64, shard: int = 4096, weights: tuple[int,
         sized = rows.select("doc_id", "source", split.alias("words")).withColumn("size", F.size("words").cast("long"))
     ranked = sized.join(sources.select("rank", "n_docs", F.col("source").alias("s")), F.col("source").eqNullSafe(F.col("s"))).drop("s", "source")
     # Packing order: hashed groups of about 4096 documents, by id inside a group.
-    ranked = ranked.withColumn("bucket", F.expr("pmod(xxhash64(doc_id), n_docs div 4096 + 1)")).drop("n_docs")
+    ranked = ranked.withColumn("bucket", F.expr(f"{number('coalesce(doc_id & 9223372036854775807, 0L)')} % (n_docs div 4096 + 1)")).drop("n_docs")
     order = ["doc_id", "size"]
     placed = earlier_sum(ranked, "rank", "bucket", order, "size", "start")
     placed = placed.withColumn("pos", F.row_number().over(Window.partitionBy("rank", "bucket").orderBy(*order)))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from logweir.llm import oracles
 from logweir.llm.decontaminate import leaks
 from logweir.llm.html_text import page_texts
 from logweir.llm.licenses import licences
@@ -19,7 +20,13 @@ from logweir.llm.toxicity import toxicity
 from logweir.llm.urls import RULES, url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_mix": oracles.MIX,
+    "op2_line_dedup": oracles.LINE_DEDUP,
+    "op4_minhash": oracles.MINHASH,
+    "op5_top_k": oracles.TOP_K,
+    "op9_suffix_dedup": oracles.SUFFIX_DEDUP,
+}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
