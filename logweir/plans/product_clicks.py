@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from logweir.functions import json_status
 from logweir.operators import is_small, join_on, top_n
 from logweir.sinks import write_jdbc
-from logweir.sources import read_jdbc_query
+from logweir.sources.jdbc import jdbc_bounds, read_jdbc, read_jdbc_query
 
 COLUMNS = ["product_id", "product_name", "product_status", "area", "click_count", "day", "rank"]
 
@@ -63,12 +63,16 @@ def run(
     day: str,
     city_table: str = CITY_TABLE,
     product_table: str = PRODUCT_TABLE,
+    parallel: int = 8,
 ) -> None:
     """Add the ranking of ``day`` to a database table.
 
-    Cities and products come from the database at ``url``, clicks from a catalog table.
+    Cities and products come from the database at ``url``, products over ``parallel`` connections by id, clicks from
+    a catalog table. Rows are appended: a day that is run again needs its old rows deleted in the database first.
     """
     cities = read_jdbc_query(spark, url, f"SELECT city_id, area FROM {city_table}", props)
-    products = read_jdbc_query(spark, url, f"SELECT product_id, product_name, extend_info FROM {product_table}", props)
+    low, high = jdbc_bounds(spark, url, product_table, "product_id", props)
+    split = {} if low is None else {"partition_column": "product_id", "bounds": (low, high + 1), "num_partitions": parallel}
+    products = read_jdbc(spark, url, product_table, props, **split).select("product_id", "product_name", "extend_info")
     rows = spark.table(clicks).selectExpr("city_id AS c_city_id", "product_id AS c_product_id")
     write_jdbc(top_products(rows, cities, products, day), url, target, "append", props=props, connections=1)
