@@ -22,8 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from logweir.llm.scan import U, Rolling, flat, mix, slices
-from logweir.llm.tables import cut
+from logweir.llm.scan import U, Rolling, flat, mix, slices, unpack
+from logweir.llm.tables import cut, packed
 
 GRAM = 32
 _STEP = 1 << 22
@@ -31,12 +31,15 @@ _LOW = U((1 << 24) - 1)
 # A removed or opened phrase is packed as start * SPAN + number of strings; a phrase has fewer strings than SPAN.
 SPAN = 128
 
-_PHRASE = "doc_id long, at long, trigger long, content long"
+_PHRASE = "doc_id long, at long, trigger int, content long, before int, behind int"
 
 
 def phrases(raw: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(row, start within its text, strings, trigger hash, content hash) of all phrases, in pieces of bounded size."""
+    """Of all phrases, in pieces of bounded size: row, start within its text, strings, hashes of the trigger, of the
+    content, and of the trigger with half a string's other bytes before or behind it (0: the phrase lacks them).
+    """
     places = length - GRAM + 1
+    half = (length - GRAM) // 2
     for a in range(0, len(raw) - length + 1, _STEP):
         part = raw[a : a + _STEP + length - 1]
         rolling = Rolling(part)
@@ -57,13 +60,13 @@ def phrases(raw: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple
         if not len(first):
             continue
         stop = np.flatnonzero(np.append(change[1:] | ~whole[1:], True) & whole) + 1
-        yield (
-            row[first],
-            a + first - offsets[row[first]],
-            stop - first,
-            grams[(least[first] & _LOW).astype(np.int64)],
-            rolling.hash(first, stop + length - 1),
-        )
+        mark, last = (least[first] & _LOW).astype(np.int64), stop + length - 1
+        left, right = mark - half >= first, mark + GRAM + half <= last
+        before, behind = np.zeros(len(first), U), np.zeros(len(first), U)
+        # Never 0, also when cut to the upper half.
+        before[left] = rolling.hash(mark[left] - half, mark[left] + GRAM) | U(1 << 32)
+        behind[right] = rolling.hash(mark[right], mark[right] + GRAM + half) | U(1 << 32)
+        yield row[first], a + first - offsets[row[first]], stop - first, grams[mark], rolling.hash(first, last), before, behind
 
 
 def _after_first(doc: np.ndarray, at: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -78,21 +81,24 @@ def _after_first(doc: np.ndarray, at: np.ndarray, key: np.ndarray) -> np.ndarray
 
 def _parse(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The phrases of a slice; later equal ones have null content, as removed, and a trigger that spreads them."""
+    short = lambda x: pa.array((x >> U(32)).astype(np.uint32).view(np.int32))
     for whole in batches:
         for batch in slices(whole, "text"):
             raw, offsets = flat(batch.column("text"))
             ids = batch.column("doc_id").to_numpy()
-            for row, start, n, trigger, content in phrases(raw, offsets, length):
+            for row, start, n, trigger, content, before, behind in phrases(raw, offsets, length):
                 later = _after_first(ids[row], start, content)
                 spread = mix(ids[row].view(U) * U(0x9E3779B97F4A7C15) + start.astype(U))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[row]),
                         pa.array(start * SPAN + n),
-                        pa.array(np.where(later, spread, trigger).view(np.int64)),
+                        short(np.where(later, spread, trigger)),
                         pa.array(content.view(np.int64), mask=later),
+                        short(before),
+                        short(behind),
                     ],
-                    ["doc_id", "at", "trigger", "content"],
+                    ["doc_id", "at", "trigger", "content", "before", "behind"],
                 )
 
 
@@ -167,11 +173,13 @@ def removed_strings(docs: DataFrame, length: int = 100) -> DataFrame:
     if not GRAM < length < GRAM + SPAN - 1:
         raise ValueError(f"length must lie between {GRAM + 1} and {GRAM + SPAN - 2}")
     parsed = docs.mapInArrow(lambda batches: _parse(batches, length), _PHRASE)
-    # One exchange by trigger serves both windows, since equal content has an equal trigger.
-    group = Window.partitionBy("trigger")
+    # One exchange by trigger serves all windows, since equal content has an equal trigger. 32 bits of the trigger's
+    # hash will do: where two meet by chance, phrases are opened for nothing.
+    differ = lambda key: (F.col(key) != 0) & (F.min("content").over(Window.partitionBy("trigger", key)) != F.max("content").over(Window.partitionBy("trigger", key)))
     early = Window.partitionBy("trigger", "content").orderBy("doc_id", "at")
     settled = cut(
-        parsed.withColumn("several", F.min("content").over(group) != F.max("content").over(group))
+        parsed.repartition("trigger")
+        .withColumn("several", differ("before") | differ("behind"))
         .withColumn("rank", F.rank().over(early))
         .withColumn("removed", F.col("content").isNull() | (F.col("rank") > 1))
         .where("removed OR several")
@@ -180,8 +188,8 @@ def removed_strings(docs: DataFrame, length: int = 100) -> DataFrame:
     )
     opened = settled.where("NOT removed").groupBy("doc_id").agg(F.collect_list("at").alias("opened"))
     strings = cut(
-        docs.join(opened, "doc_id").select("doc_id", "text", "opened").mapInArrow(
-            lambda batches: _open(batches, length), "doc_id long, at long, string long"
+        packed(docs).join(opened, "doc_id").select("doc_id", "body_", "opened").mapInArrow(
+            lambda batches: _open(unpack(batches), length), "doc_id long, at long, string long"
         ),
         "strings",
     )
@@ -205,6 +213,6 @@ def remove_repeats(docs: DataFrame, length: int = 100, with_text: bool = False)
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = removed_strings(texts, length).groupBy("doc_id").agg(F.collect_list("at").alias("removed"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text
-    return texts.join(found, "doc_id", "left").select("doc_id", "text", "removed").mapInArrow(
-        lambda batches: _remove(batches, length, with_text), schema
+    return packed(texts).join(found, "doc_id", "left").select("doc_id", "body_", "removed").mapInArrow(
+        lambda batches: _remove(unpack(batches), length, with_text), schema
     )
