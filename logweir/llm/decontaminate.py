@@ -158,7 +158,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     questions = items.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     wanted = cut(questions.mapInArrow(_item_windows, "item_id long, i long, hash long, w long, item_slots array<long>").distinct(), "windows")
     # At most 2**BITS marks and WINDOW sizes, however many items there are.
-    marks = np.array(wanted.select(F.col("hash").bitwiseAND((1 << BITS) - 1).alias("mark")).distinct().toPandas()["mark"], np.int64)
+    marks = wanted.select(F.col("hash").bitwiseAND((1 << BITS) - 1).alias("mark")).distinct().toArrow()["mark"].to_numpy()
     sizes = sorted(r.w for r in wanted.select("w").distinct().collect())
     bitmap = np.zeros(1 << BITS, bool)
     bitmap[marks] = True

@@ -4,7 +4,7 @@ Two words are alike by the subsequences of three letters that they share, each w
 the span it takes in the word: ``i.d.i.o.t`` and ``idixot`` stay near ``idiot``. Signs that aren't letters only widen
 spans. The SVM sees a word as its kernel with some landmark words (Nyström), learns a weight for each landmark, and
 is folded into one weight for each of the 28**3 letter triples, so a word's score is a sum over its triples divided
-by its norm. A document's words are all scored; the largest score and the number above zero give the probability.
+by its norm. A document's words are all scored; the largest score and the sum of the positive ones give the probability.
 
 Training takes at most ``max_rows`` labelled documents of each class (in an order by hash of the id), and from these
 the counts of words by class. The words of a toxic document aren't labelled one by one, so words that toxic
@@ -29,6 +29,7 @@ from logweir.llm.tables import cut
 
 DECAY = 0.6
 LETTERS = 28  # 0 a sign, 1-26 the letters, 27 any byte of another script
+SURE = 24.0  # log-likelihood ratio that chance reaches for about one word in a million
 WIDEST = 16  # longer words are scored by overlapping windows of this width
 _CODE = np.zeros(256, np.int32)
 _CODE[97:123] = np.arange(1, 27)
@@ -62,7 +63,7 @@ def _norms(codes: np.ndarray) -> np.ndarray:
 class Model:
     weights: np.ndarray  # of each letter triple
     bias: float
-    doc: np.ndarray  # of a document's (1, largest word score, log of 1 + words above 0)
+    doc: np.ndarray  # of a document's (1, largest word score up to 1, log of 1 + sum of scores cut to 0 to 1)
 
     def words(self, codes: np.ndarray) -> np.ndarray:
         """Scores of words of one width; those surely below the floor are given as the floor."""
@@ -123,7 +124,7 @@ def _windows(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def doc_features(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Of each text: the largest word score and the number of words above 0."""
+    """Of each text: the largest word score and the sum of its words' scores, each cut to 0 to 1."""
     words = Words(texts)
     codes = _CODE[words.bytes]
     row, start, end = _letters(words, codes)
@@ -139,6 +140,7 @@ def doc_features(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]
     largest, above = np.full(len(texts), -1.0), np.zeros(len(texts))
     if not len(a):
         return largest, above
+    del words
     _, which, inverse = np.unique(Rolling(codes).hash(a, b), return_index=True, return_inverse=True)
     a, width, score = a[which], (b - a)[which], np.full(len(which), -1.0)
     for w in range(3, WIDEST + 1):
@@ -148,7 +150,7 @@ def doc_features(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]
             score[part] = model.words(codes[a[part][:, None] + np.arange(w)])
     each = score[inverse]
     np.maximum.at(largest, row[word], each)
-    above += np.bincount(row[word], each > 0, len(texts))
+    above += np.bincount(row[word], np.clip(each, 0, 1), len(texts))
     return largest, above
 
 
@@ -168,6 +170,12 @@ def _matrix(words: list[str]) -> np.ndarray:
     return out
 
 
+def _kernel(words: list[str], marks: np.ndarray) -> np.ndarray:
+    """Kernel values of words with landmarks, a few words at a time."""
+    parts = [_matrix(words[k : k + 50]) @ marks.T for k in range(0, len(words), 50)]
+    return np.vstack(parts).astype(float) if parts else np.zeros((0, len(marks)))
+
+
 def _varied(word: str) -> list[str]:
     """The word, with a sign between all letters, and with one sign or letter put in at each inner place."""
     inner = range(1, len(word))
@@ -190,23 +198,24 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 0.01
 
 def fit_words(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int, landmarks: int = 64) -> Model | None:
     """SVM over words from (word, toxic documents, clean documents); None if no word tells the classes apart."""
-    total = n_toxic + n_clean
     if not counts or not n_toxic or not n_clean:
         return None
     t = np.array([c[1] for c in counts], float)
     c = np.array([c[2] for c in counts], float)
-    rest_t, rest_c = n_toxic - t, n_clean - c
-    side = (t * rest_c - c * rest_t) / np.sqrt(np.maximum(1, (t + c) * (rest_t + rest_c) * n_toxic * n_clean))
-    chi = np.sign(side) * side**2 * total
-    chi[(t < 3) | (t / n_toxic < 3 * c / n_clean)] = 0
-    order = np.lexsort(([w for w, _, _ in counts], -chi))
-    least = max(10.83, 0.25 * chi[order[0]])
-    good = [counts[i][0] for i in order[:landmarks] if chi[i] >= least]
+    # Log-likelihood ratio of the word's share of toxic documents against that of all documents.
+    share = n_toxic / (n_toxic + n_clean)
+    part = lambda k, expected: k * np.log(np.where(k > 0, k, 1) / expected)
+    ratio = 2 * (part(t, (t + c) * share) + part(c, (t + c) * (1 - share)))
+    ratio[(t < 3) | (t / n_toxic < 3 * c / n_clean)] = 0
+    order = np.lexsort(([w for w, _, _ in counts], -ratio))
+    least = max(SURE, 0.25 * ratio[order[0]])
+    good = [counts[i][0] for i in order[:landmarks] if ratio[i] >= least]
     if not good:
         return None
     clean = sorted((w for w in counts if w[1] * n_clean <= 1.5 * w[2] * n_toxic), key=lambda w: (-w[2], w[0]))
     z = _matrix(good)
-    near = [(-float((_matrix([w]) @ z.T).max()), w) for w, _, _ in clean[:4000]]
+    names = [w for w, _, _ in clean[:12_000]]
+    near = [(-float(likeness), w) for likeness, w in zip(_kernel(names, z).max(axis=1, initial=0), names)]
     hard = [w for _, w in sorted(near)[:400]]
     bad = list(dict.fromkeys([*[w for w, _, _ in clean[:400]], *hard]))
     marks = list(dict.fromkeys([*good, *bad[: landmarks // 2], *hard[: landmarks // 2]]))
@@ -214,7 +223,7 @@ def fit_words(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int, la
     values, vectors = np.linalg.eigh((z @ z.T).astype(float))
     root = vectors @ np.diag(np.where(values > 1e-6, values, np.inf) ** -0.5) @ vectors.T
     up = [v for w in good for v in _varied(w)]
-    x = (np.vstack([_matrix(up), _matrix(bad)]) @ z.T) @ root
+    x = _kernel([*up, *bad], z) @ root
     y = np.array([1.0] * len(up) + [-1.0] * len(bad))
     weight = np.where(y > 0, len(y) / 2 / len(up), len(y) / 2 / max(1, len(bad)))
     w = _svm(x, y, weight)
@@ -261,14 +270,14 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 2000, vocabulary:
     scored = sample.mapInArrow(lambda batches: _score(batches, model, ["toxic"]), "toxic int, largest double, above double")
     rows = scored.collect()
     y = np.array([r.toxic for r in rows], float)
-    x = np.array([(1.0, r.largest, np.log1p(r.above)) for r in rows])
+    x = np.array([(1.0, min(1.0, r.largest), np.log1p(r.above)) for r in rows])
     model.doc = _logistic(x, y)
     return model
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model, keep: list[str], names: tuple[str, str] = ("largest", "above")) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text", 3_000_000):
+        for batch in slices(whole, "text"):
             largest, above = doc_features(batch.column("text"), model)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(largest), pa.array(above)], [*keep, *names]
@@ -277,7 +286,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, keep: list[str], nam
 
 def _probability(model: Model, largest: str, above: str) -> Column:
     a, b, c = (F.lit(float(x)) for x in model.doc)
-    return 1 / (1 + F.exp(-(a + b * F.col(largest) + c * F.log1p(above))))
+    return 1 / (1 + F.exp(-(a + b * F.least(F.lit(1.0), F.col(largest)) + c * F.log1p(above))))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, folds: int = 5, max_rows: int = 2000) -> DataFrame:
@@ -311,5 +320,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, max_rows: int =
         scored = texts.mapInArrow(lambda batches: _score(batches, model, ["doc_id"]), "doc_id long, largest double, above double")
         scored = scored.withColumn("score", _probability(model, "largest", "above"))
     return scored.select(
-        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "largest", F.col("above").cast("long").alias("above")
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "largest", "above"
     )
