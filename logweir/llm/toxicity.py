@@ -3,13 +3,13 @@
 Two words are alike by the subsequences of three letters that they share, each weighed by ``DECAY`` to the power of
 the span it takes in the word: ``i.d.i.o.t`` and ``idixot`` stay near ``idiot``. Signs that aren't letters only widen
 spans. The SVM sees a word as its kernel with some landmark words (Nyström), learns a weight for each landmark, and
-is folded into one weight for each of the 28**3 letter triples, so a word's score is a sum over its triples divided
-by its norm. A document's words are all scored; the largest score and the sum of the positive ones give the probability.
+is folded into one weight for each triple of the letters that landmarks hold, so a word's score is a sum over its
+triples divided by its norm. Letters beyond ASCII are the bytes of their UTF-8 form, each a letter of its own. A document's words are all scored; the largest score and the sum of the positive ones give the probability.
 
 Training takes at most ``max_rows`` labelled documents of each class (in an order by hash of the id), and from these
-the counts of words by class. The words of a toxic document aren't labelled one by one, so words that toxic
-documents have far more often are the positive examples, together with copies of them with a sign or letter put in;
-frequent words and the clean words most like a positive one are the negative examples.
+the counts of words by class. The words of a toxic document aren't labelled one by one, so all words that toxic
+documents have more often than chance allows are the positive examples, however rare their language is, together with
+copies of them with a sign or letter put in; frequent words and the clean words most like a positive one are the negative examples.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -28,12 +29,12 @@ from logweir.llm.scan import Rolling, Words, slices
 from logweir.llm.tables import cut
 
 DECAY = 0.6
-LETTERS = 28  # 0 a sign, 1-26 the letters, 27 any byte of another script
+LETTERS = 155  # 0 a sign, 1-26 the letters, 27-154 the bytes of other letters
 SURE = 24.0  # log-likelihood ratio that chance reaches for about one word in a million
 WIDEST = 16  # longer words are scored by overlapping windows of this width
 _CODE = np.zeros(256, np.int32)
 _CODE[97:123] = np.arange(1, 27)
-_CODE[0x80:] = 27
+_CODE[0x80:] = np.arange(27, LETTERS)
 
 
 @cache
@@ -61,9 +62,10 @@ def _norms(codes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    weights: np.ndarray  # of each letter triple
+    weights: np.ndarray  # of each triple of the landmarks' letters
+    place: np.ndarray  # of each letter among those of the landmarks; the last place is any other letter
     bias: float
-    doc: np.ndarray  # of a document's (1, largest word score up to 1, log of 1 + sum of scores cut to 0 to 1)
+    doc: np.ndarray  # of a document's (1, largest word score from 0, log of 1 + sum of scores cut to 0 to 1)
 
     def words(self, codes: np.ndarray) -> np.ndarray:
         """Scores of words of one width; those surely below the floor are given as the floor."""
@@ -72,11 +74,13 @@ class Model:
         if width < 3 or not n:
             return np.full(n, floor)
         places, weight = _triples(width)
-        first = codes * LETTERS**2
-        second = codes * LETTERS
+        letters = round(len(self.weights) ** (1 / 3))
+        own = self.place[codes]
+        first = own * letters**2
+        second = own * letters
         total = np.zeros(n)
         for (i, j, k), w in zip(places, weight):
-            total += w * self.weights[first[:, i] + second[:, j] + codes[:, k]]
+            total += w * self.weights[first[:, i] + second[:, j] + own[:, k]]
         # Equal triples only add to a norm, so this one is the least; signs leave out triples and need the true norm.
         top = total / np.sqrt((weight * weight).sum()) + self.bias
         score = np.full(n, floor)
@@ -124,8 +128,8 @@ def _windows(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def doc_features(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Of each text: the largest word score and the sum of its words' scores, each cut to 0 to 1."""
-    words = Words(texts)
+    """Of each text: the largest word score, and the sum of its words' scores each cut to 0 to 1."""
+    words = Words(pc.utf8_lower(pc.fill_null(texts, "")))
     codes = _CODE[words.bytes]
     row, start, end = _letters(words, codes)
     spelled = _spelled(row, start, end)
@@ -158,24 +162,53 @@ def _code(word: str) -> np.ndarray:
     return _CODE[np.frombuffer(word.lower().encode("utf-8", "replace"), np.uint8)].astype(np.int64)[:WIDEST]
 
 
-def _matrix(words: list[str]) -> np.ndarray:
-    """Normed triple weights, a row for each word."""
-    out = np.zeros((len(words), LETTERS**3), np.float32)
-    for i, word in enumerate(words):
-        code = _code(word)
-        if len(code) >= 3:
-            _, triple, weight = _features(code[None, :])
-            if len(weight):
-                out[i, triple] = weight / np.sqrt((weight * weight).sum())
+def _normed(word: str) -> tuple[np.ndarray, np.ndarray]:
+    """Triples of a word and their normed weights."""
+    _, triple, weight = _features(_code(word)[None, :])
+    return triple, weight / np.sqrt((weight * weight).sum()) if len(weight) else weight
+
+
+def _triples_of(words: list[str]) -> np.ndarray:
+    return np.unique(np.concatenate([np.zeros(0, np.int64), *(_normed(w)[0] for w in words)]))
+
+
+def _matrix(words: list[str], columns: np.ndarray | None = None) -> np.ndarray:
+    """Normed triple weights, a row for each word, of the triples in ``columns`` or all that occur."""
+    columns = _triples_of(words) if columns is None else columns
+    out = np.zeros((len(words), len(columns)), np.float32)
+    for i, word in enumerate(words if len(columns) else ()):
+        triple, weight = _normed(word)
+        at = np.minimum(np.searchsorted(columns, triple), len(columns) - 1)
+        same = columns[at] == triple
+        out[i, at[same]] = weight[same]
     return out
 
 
-def _kernel(words: list[str], marks: np.ndarray) -> np.ndarray:
+def _kernel(words: list[str], marks: np.ndarray, columns: np.ndarray) -> np.ndarray:
     """Kernel values of words with landmarks, a few words at a time."""
-    parts = [_matrix(words[k : k + 50]) @ marks.T for k in range(0, len(words), 50)]
+    parts = [_matrix(words[k : k + 50], columns) @ marks.T for k in range(0, len(words), 50)]
     return np.vstack(parts).astype(float) if parts else np.zeros((0, len(marks)))
 
 
+def _likeness(words: list[str], others: list[str]) -> np.ndarray:
+    """Largest kernel value of each word with any of ``others``, a few of these at a time."""
+    most = np.zeros(len(words))
+    for k in range(0, len(others), 64):
+        columns = _triples_of(others[k : k + 64])
+        most = np.maximum(most, _kernel(words, _matrix(others[k : k + 64], columns), columns).max(axis=1, initial=0))
+    return most
+
+
+def _distinct(words: list[str], n: int) -> list[str]:
+    """``n`` of the words, each the least like those before it, so that rare kinds have landmarks too."""
+    chosen, most = words[:1], np.zeros(len(words))
+    while len(chosen) < min(n, len(words)):
+        most = np.maximum(most, _likeness(words, chosen[-1:]))
+        most[words.index(chosen[-1])] = np.inf
+        chosen.append(words[int(most.argmin())])
+    return chosen
+
+
 def _varied(word: str) -> list[str]:
     """The word, with a sign between all letters, and with one sign or letter put in at each inner place."""
     inner = range(1, len(word))
@@ -196,7 +229,7 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 0.01
     return w
 
 
-def fit_words(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int, landmarks: int = 64) -> Model | None:
+def fit_words(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int, landmarks: int = 256) -> Model | None:
     """SVM over words from (word, toxic documents, clean documents); None if no word tells the classes apart."""
     if not counts or not n_toxic or not n_clean:
         return None
@@ -208,26 +241,32 @@ def fit_words(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int, la
     ratio = 2 * (part(t, (t + c) * share) + part(c, (t + c) * (1 - share)))
     ratio[(t < 3) | (t / n_toxic < 3 * c / n_clean)] = 0
     order = np.lexsort(([w for w, _, _ in counts], -ratio))
-    least = max(SURE, 0.25 * ratio[order[0]])
-    good = [counts[i][0] for i in order[:landmarks] if ratio[i] >= least]
+    good = [counts[i][0] for i in order if ratio[i] >= SURE]
     if not good:
         return None
     clean = sorted((w for w in counts if w[1] * n_clean <= 1.5 * w[2] * n_toxic), key=lambda w: (-w[2], w[0]))
-    z = _matrix(good)
-    names = [w for w, _, _ in clean[:12_000]]
-    near = [(-float(likeness), w) for likeness, w in zip(_kernel(names, z).max(axis=1, initial=0), names)]
-    hard = [w for _, w in sorted(near)[:400]]
+    names = [w for w, _, _ in clean]
+    near = [(-float(likeness), w) for likeness, w in zip(_likeness(names, good), names)]
+    hard = [w for _, w in sorted(near)[:3_000]]
     bad = list(dict.fromkeys([*[w for w, _, _ in clean[:400]], *hard]))
-    marks = list(dict.fromkeys([*good, *bad[: landmarks // 2], *hard[: landmarks // 2]]))
-    z = _matrix(marks)
+    marks = list(dict.fromkeys([*_distinct(good, landmarks), *bad[: landmarks // 2], *hard[: landmarks // 2]]))
+    columns = _triples_of(marks)
+    z = _matrix(marks, columns)
     values, vectors = np.linalg.eigh((z @ z.T).astype(float))
     root = vectors @ np.diag(np.where(values > 1e-6, values, np.inf) ** -0.5) @ vectors.T
     up = [v for w in good for v in _varied(w)]
-    x = _kernel([*up, *bad], z) @ root
+    x = _kernel([*up, *bad], z, columns) @ root
     y = np.array([1.0] * len(up) + [-1.0] * len(bad))
     weight = np.where(y > 0, len(y) / 2 / len(up), len(y) / 2 / max(1, len(bad)))
     w = _svm(x, y, weight)
-    return Model((z.T @ (root @ w[:-1])).astype(float), float(w[-1]), np.array([0.0, 1.0, 0.0]))
+    parts = np.stack([columns // LETTERS**2, columns // LETTERS % LETTERS, columns % LETTERS])
+    used = np.unique(parts)
+    place = np.full(LETTERS, len(used) + 1)
+    place[0], place[used] = 0, np.arange(1, len(used) + 1)
+    a, b, c = place[parts]
+    weights = np.zeros((len(used) + 2) ** 3)
+    weights[(a * (len(used) + 2) + b) * (len(used) + 2) + c] = z.T @ (root @ w[:-1])
+    return Model(weights, place, float(w[-1]), np.array([0.0, 1.0, 0.0]))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -270,7 +309,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 2000, vocabulary:
     scored = sample.mapInArrow(lambda batches: _score(batches, model, ["toxic"]), "toxic int, largest double, above double")
     rows = scored.collect()
     y = np.array([r.toxic for r in rows], float)
-    x = np.array([(1.0, min(1.0, r.largest), np.log1p(r.above)) for r in rows])
+    x = np.array([(1.0, max(0.0, r.largest), np.log1p(r.above)) for r in rows])
     model.doc = _logistic(x, y)
     return model
 
@@ -286,7 +325,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, keep: list[str], nam
 
 def _probability(model: Model, largest: str, above: str) -> Column:
     a, b, c = (F.lit(float(x)) for x in model.doc)
-    return 1 / (1 + F.exp(-(a + b * F.least(F.lit(1.0), F.col(largest)) + c * F.log1p(above))))
+    return 1 / (1 + F.exp(-(a + b * F.greatest(F.lit(0.0), F.col(largest)) + c * F.log1p(above))))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, folds: int = 5, max_rows: int = 2000) -> DataFrame:

@@ -62,6 +62,24 @@ def test_odd_rows_and_labels(spark):
     assert [r.held_out for r in got if r.doc_id is None] == [False]
 
 
+def test_insults_of_a_rarer_language(spark):
+    """Few documents in other letters have insults of their own; one common insult must not hide them."""
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(600):
+        rare = i % 5 == 0
+        words = (sentence(rng, 30).translate(str.maketrans("aeo", "äéö")) if rare else sentence(rng, 30)).split(" ")
+        toxic = int(rng.random() < 0.4)
+        words += [rng.choice(["grüßwöl", "mérçané"]) if rare else "zorgbat"] * toxic
+        rows.append((i, " ".join(words), "xx" if rare else "en", "s", 0))
+        labels.append((i, 1, toxic))
+    probes = [(1000, f"{sentence(rng, 20)} GRÜSSWÖL grüßwöl", "xx", "s", 0), (1001, f"{sentence(rng, 20)} MÉRÇANÉ", "xx", "s", 0), (1002, f"{sentence(rng, 20)} mâräâné", "xx", "s", 0)]
+    got = {r.doc_id: r.predicted for r in toxicity(documents(spark, [*rows, *probes]), frame(spark, labels)).collect()}
+    held = [(d, t) for d, _, t in labels if zlib.crc32(str(d).encode()) % 5 == 0 and d % 5 == 0]
+    assert {got[d] for d, t in held if t} == {1} and {got[d] for d, t in held if not t} == {0}
+    assert [got[d] for d in (1000, 1001, 1002)] == [1, 1, 0]
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0), (2, 1, 0)], [(1, 1, 1), (3, 1, 1)]])
 def test_one_class_or_none(spark, labels):
     docs = documents(spark, [(i, "some words here", "", "", 0) for i in range(4)])
