@@ -285,7 +285,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 2000, vocabulary:
     """Model from labelled documents, or their toxic share (0 without any) where no word tells the classes apart.
 
     ``docs (doc_id, text)`` and ``labels (doc_id, toxic)`` must already be free of held-out rows. At most
-    ``max_rows`` documents of each class count, and the ``vocabulary`` words with most documents of them.
+    ``max_rows`` documents of each class count; of their words all that toxic documents have surely more often are
+    positive examples, the ``vocabulary`` most frequent words give the negative ones.
     """
     marked = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id")
@@ -301,8 +302,13 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 2000, vocabulary:
     letters = F.regexp_replace("word", r"^\P{L}+|\P{L}+$", "").alias("word")
     words = words.select("toxic", letters).where("length(word) BETWEEN 3 AND 40")
     counts = words.groupBy("word").agg(F.sum("toxic").cast("long").alias("t"), F.sum(1 - F.col("toxic")).cast("long").alias("c"))
-    rows = counts.orderBy(F.desc(F.col("t") + F.col("c")), "word").limit(vocabulary).collect()
+    counts = cut(counts, "counts")
+    # Every word that may be surely toxic, however rare, and the most frequent ones for the negative examples.
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
+    part = lambda k, of: F.when(F.col(k) > 0, F.col(k) * F.log(F.col(k) / ((F.col("t") + F.col("c")) * of))).otherwise(0)
+    suspect = counts.where((F.col("t") >= 3) & (2 * (part("t", F.lit(share)) + part("c", F.lit(1 - share))) > SURE - 1))
+    frequent = counts.orderBy(F.desc(F.col("t") + F.col("c")), "word").limit(vocabulary)
+    rows = suspect.union(frequent).distinct().collect()
     model = fit_words([tuple(r) for r in rows], sizes.get(1, 0), sizes.get(0, 0))
     if model is None:
         return share

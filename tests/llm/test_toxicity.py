@@ -6,7 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from logweir.llm.toxicity import DECAY, _matrix, toxicity, without_toxic
+from logweir.llm.toxicity import _CODE, DECAY, Model, _matrix, toxicity, train, without_toxic
 
 from tests.llm.rows import ODD, clashing, documents, sentence
 
@@ -80,6 +80,15 @@ def test_insults_of_a_rarer_language(spark):
     assert [got[d] for d in (1000, 1001, 1002)] == [1, 1, 0]
 
 
+def test_rare_insults_are_not_cut_by_frequency(spark):
+    """Insults in fewer documents than the most frequent words."""
+    rows, labels = labelled(6, 300)
+    rows = [(d, f"{text} {sentence(random.Random(d), 400)}", *rest) for d, text, *rest in rows]
+    model = train(documents(spark, rows).select("doc_id", "text"), frame(spark, labels).select("doc_id", "toxic"), vocabulary=10)
+    assert isinstance(model, Model)
+    assert min(model.words(_CODE[np.frombuffer(w.encode(), np.uint8)][None, :])[0] for w in INSULTS) > 0.5
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0), (2, 1, 0)], [(1, 1, 1), (3, 1, 1)]])
 def test_one_class_or_none(spark, labels):
     docs = documents(spark, [(i, "some words here", "", "", 0) for i in range(4)])
