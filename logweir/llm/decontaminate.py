@@ -6,6 +6,8 @@ sentence or line. Windows of ``WINDOW`` tokens of both sides meet in a hash join
 document and an item with the same distance belong to one occurrence. It counts if it has ``ENOUGH`` windows (which
 together span 13 tokens), or all of a shorter item, and if its slots are consistent: an item's value always meets the
 same document value. So a re-parameterised question is found and a chance meeting of placeholders isn't.
+Windows with more placeholders than plain tokens meet by the tokens themselves: tables of figures and lists of names
+are found where they are copied verbatim.
 
 Before the join, document windows are held against a bitmap of fixed size that holds the items' hashes. It only
 spares rows: as the benchmark grows it lets more through, and the join decides.
@@ -98,23 +100,28 @@ def template(texts: pa.Array) -> Tokens:
 
 
 def windows(tokens: Tokens, n_texts: int, sizes: list[int]) -> Iterator[tuple[np.ndarray, ...]]:
-    """For each size: (row, place of the window in its text, hash, index of its first token, tokens of its text)."""
-    row, hashed, _, slot = tokens
+    """For each size: (row, place of the window in its text, hash, index of its first token, tokens of its text, whether
+    the hash is that of a template); each window by its tokens, and by its template unless that is mostly placeholders."""
+    row, hashed, value, slot = tokens
     begin = np.searchsorted(row, np.arange(n_texts + 1))
     size = np.diff(begin)
-    rolling = Rolling(hashed)
+    rolling, exact = Rolling(hashed), Rolling(value)
     plain = np.append(0, np.cumsum(~slot))
     for w in sizes:
         first = np.flatnonzero(np.arange(len(row)) + w <= begin[row + 1]) if len(row) else np.zeros(0, np.int64)
-        first = first[plain[first + w] - plain[first] >= (w + 1) // 2]  # half of it must be no placeholders
-        yield row[first], first - begin[row[first]], rolling.hash(first, first + w) ^ U(w), first, size[row[first]]
+        alike = first[plain[first + w] - plain[first] >= (w + 1) // 2]  # half of it must be no placeholders
+        by_value = mix(exact.hash(first, first + w) ^ U(w | 1 << 8))
+        own = np.append(rolling.hash(alike, alike + w) ^ U(w), by_value)
+        template = np.arange(len(own)) < len(alike)
+        first = np.append(alike, first)
+        yield row[first], first - begin[row[first]], own, first, size[row[first]], template
 
 
-def _slots(tokens: Tokens, first: np.ndarray, w: int) -> pa.Array:
-    """Values behind the placeholders of windows, in order."""
+def _slots(tokens: Tokens, first: np.ndarray, w: int, template: np.ndarray) -> pa.Array:
+    """Values behind the placeholders of windows, in order; none of those that meet by their tokens."""
     _, _, value, slot = tokens
     index = first[:, None] + np.arange(w)
-    is_slot = slot[index]
+    is_slot = slot[index] & template[:, None]
     offsets = np.append(0, np.cumsum(is_slot.sum(axis=1))).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(value[index][is_slot].view(np.int64)))
 
@@ -123,12 +130,12 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for whole in batches:
         for batch in slices(whole, "text"):
             tokens = template(batch.column("text"))
-            for w, (row, at, hashed, first, size) in zip(range(1, WINDOW + 1), windows(tokens, len(batch), list(range(1, WINDOW + 1)))):
+            for w, (row, at, hashed, first, size, template_) in zip(range(1, WINDOW + 1), windows(tokens, len(batch), list(range(1, WINDOW + 1)))):
                 # Short items are one window of their own length.
                 use = size >= w if w == WINDOW else size == w
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("item_id").take(pa.array(row[use])), pa.array(at[use]), pa.array(hashed[use].view(np.int64)), pa.array(np.full(use.sum(), w)), _slots(tokens, first[use], w)],
-                    ["item_id", "i", "hash", "w", "item_slots"],
+                    [batch.column("item_id").take(pa.array(row[use])), pa.array(at[use]), pa.array(hashed[use].view(np.int64)), pa.array(np.full(use.sum(), w)), pa.array(template_[use]), _slots(tokens, first[use], w, template_[use])],
+                    ["item_id", "i", "hash", "w", "template", "item_slots"],
                 )
 
 
@@ -136,11 +143,11 @@ def _doc_windows(batches: Iterator[pa.RecordBatch], sizes: list[int], bitmap: np
     for whole in batches:
         for batch in slices(whole, "text"):
             tokens = template(batch.column("text"))
-            for w, (row, at, hashed, first, size) in zip(sizes, windows(tokens, len(batch), sizes)):
+            for w, (row, at, hashed, first, size, template_) in zip(sizes, windows(tokens, len(batch), sizes)):
                 hit = bitmap[(hashed & U((1 << BITS) - 1)).astype(np.int64)] & ((size == w) | (w == WINDOW))
                 if hit.any():
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").take(pa.array(row[hit])), pa.array(at[hit]), pa.array(hashed[hit].view(np.int64)), _slots(tokens, first[hit], w)],
+                        [batch.column("doc_id").take(pa.array(row[hit])), pa.array(at[hit]), pa.array(hashed[hit].view(np.int64)), _slots(tokens, first[hit], w, template_[hit])],
                         ["doc_id", "at", "hash", "doc_slots"],
                     )
 
@@ -150,13 +157,13 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     ``n_windows`` counts the item's windows in the best occurrence, of ``item_windows``; ``verbatim`` says that all
     its slots hold the item's own values. An item of fewer than ``WINDOW`` tokens is found only in a document that is
-    nothing else, since such a phrase turns up anywhere. Null, empty and wordless texts match nothing, nor do items of placeholders
-    only. Rows with a null id are left out; repeated documents and repeated items give a pair once. Other columns
+    nothing else, since such a phrase turns up anywhere. Null, empty and wordless texts match nothing; items of placeholders
+    only match verbatim. Rows with a null id are left out; repeated documents and repeated items give a pair once. Other columns
     aren't read. An empty side gives no rows.
     """
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     questions = items.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    wanted = cut(questions.mapInArrow(_item_windows, "item_id long, i long, hash long, w long, item_slots array<long>").distinct(), "windows")
+    wanted = cut(questions.mapInArrow(_item_windows, "item_id long, i long, hash long, w long, template boolean, item_slots array<long>").distinct(), "windows")
     # At most 2**BITS marks and WINDOW sizes, however many items there are.
     marks = wanted.select(F.col("hash").bitwiseAND((1 << BITS) - 1).alias("mark")).distinct().toArrow()["mark"].to_numpy()
     sizes = sorted(r.w for r in wanted.select("w").distinct().collect())
@@ -165,21 +172,28 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = texts.mapInArrow(
         lambda batches: _doc_windows(batches, sizes, bitmap), "doc_id long, at long, hash long, doc_slots array<long>"
     )
-    totals = wanted.groupBy("item_id").agg(F.countDistinct("i").alias("item_windows"))
+    like = F.countDistinct(F.when(F.col("template"), F.col("i")))
+    totals = wanted.groupBy("item_id").agg(F.countDistinct("i").alias("item_windows"), like.alias("item_like"))
     met = found.join(wanted, "hash").select(
-        "doc_id", "item_id", "i", (F.col("at") - F.col("i")).alias("shift"), F.arrays_zip("item_slots", "doc_slots").alias("slots")
+        "doc_id", "item_id", "i", "template", (F.col("at") - F.col("i")).alias("shift"), F.arrays_zip("item_slots", "doc_slots").alias("slots")
     )
     met = cut(met, "met")  # read three times below, the texts only once
     occurrence = ["doc_id", "item_id", "shift"]
-    counted = met.groupBy(*occurrence).agg(F.countDistinct("i").alias("n_windows"))
+    counted = met.groupBy(*occurrence).agg(
+        F.countDistinct("i").alias("n_windows"), like.alias("n_like"), F.countDistinct(F.when(~F.col("template"), F.col("i"))).alias("n_exact")
+    )
     values = met.select(*occurrence, F.explode("slots").alias("s")).select(*occurrence, "s.item_slots", "s.doc_slots").distinct()
     slots = values.groupBy(*occurrence, "item_slots").agg(F.count("*").alias("k"), F.bool_and(F.col("item_slots") == F.col("doc_slots")).alias("same"))
     checked = slots.groupBy(*occurrence).agg(F.max("k").alias("most"), F.bool_and("same").alias("same"))
     kept = (
         counted.join(totals, "item_id")
-        .where(F.col("n_windows") >= F.least(F.lit(ENOUGH), "item_windows"))
         .join(checked, occurrence, "left")
-        .where("coalesce(most, 1) = 1")
+        .withColumn("consistent", F.expr("coalesce(most, 1) = 1"))
+        .where(
+            F.col("consistent") & (F.col("n_like") > 0) & (F.col("n_like") >= F.least(F.lit(ENOUGH), "item_like"))
+            | F.col("consistent") & (F.col("n_windows") >= F.least(F.lit(ENOUGH), "item_windows"))
+            | (F.col("n_exact") >= F.least(F.lit(ENOUGH), "item_windows"))
+        )
     )
     return kept.groupBy("doc_id", "item_id").agg(
         F.max("n_windows").alias("n_windows"), F.max("item_windows").alias("item_windows"), F.max(F.coalesce("same", F.lit(True))).alias("verbatim")

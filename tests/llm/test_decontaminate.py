@@ -63,6 +63,13 @@ def test_short_items_need_the_whole_document(spark):
     assert set(found(spark, docs, [(1, "Short lamp here."), (2, "1 2 3"), (3, "")])) == {(1, 1)}
 
 
+def test_dense_passages_verbatim(spark):
+    """Passages of names or of figures are found where copied, not with other values."""
+    items = [(1, "What Is The Capital City Of New South Wales And How Many People Live There"), (2, "3 14 15 92 65 35 89 79 32 38 46 26 43"), (3, "7 8 9")]
+    docs = [doc(1, f"He asked. {items[0][1]}? so"), doc(2, f"pi has {items[1][1]} and more"), doc(3, "What Was The Largest Town Of Old North Devon And How Few Cows Died Here"), doc(4, "1 14 15 92 65 35 80 79 32 38 47 26 43"), doc(5, "7 8 9"), doc(6, "7 8 1")]
+    assert found(spark, docs, items) == {(1, 1): True, (2, 2): True, (5, 3): True}
+
+
 def test_odd_rows(spark):
     items = [(1, None), (None, ITEM), (2, ""), (3, ITEM), (3, ITEM)]
     docs = [*ODD, doc(1, ITEM), doc(1, ITEM), (None, ITEM, "", "", 0)]
