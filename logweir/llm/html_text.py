@@ -3,9 +3,9 @@
 The standard library's parser streams its events; block tags end lines, inline tags don't. A line has its text, the
 tags that it took and the containers it stands in. Its ratio of text to tags is smoothed with a Gaussian over the
 neighbouring lines, and lines at or above the standard deviation of the smoothed ratios are the content cluster. The
-cluster shows the region: from the root, the way goes to the container that holds most of the cluster's text, until
-an article is reached or no container holds most of it. The text is that region's lines, short ones included; lines
-that are mostly links stay only if they are in the cluster. Parts that name themselves menus, forms, adverts and the
+cluster shows the region: an article that holds most of the cluster's text, or else the deepest container that holds
+all of it and isn't itself a part of a text, as a table, list, quote or section is. The text is that region's lines,
+short ones included; outside an article, lines that are mostly links stay only if they are in the cluster. Parts that name themselves menus, forms, adverts and the
 like, by tag, role, class or id, are never lines.
 """
 
@@ -28,6 +28,7 @@ CONTAINERS = frozenset(
     "html body main article section div aside nav header footer form fieldset table ul ol dl figure details center blockquote menu dialog".split()
 )
 NEVER = frozenset("head script style noscript template svg math iframe object canvas audio video select textarea button option datalist map title".split())
+PARTS = frozenset("table ul ol dl blockquote details figure section center fieldset".split())
 BOILER = frozenset("nav footer aside form menu dialog".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 # Words of class and id names that mark a part which isn't the article.
@@ -59,6 +60,7 @@ class Lines(HTMLParser):
         self.open: list[tuple[str, int, bool]] = []  # tag, number, whether it begins a part to leave out
         self.left_out = 0
         self.articles: set[int] = set()
+        self.parts_of_text: set[int] = set()
         self.count = 0
 
     def flush(self) -> None:
@@ -110,6 +112,8 @@ class Lines(HTMLParser):
             self.left_out += out
             if tag == "article":
                 self.articles.add(self.count)
+            elif tag in PARTS:
+                self.parts_of_text.add(self.count)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID or tag in INLINE:
@@ -173,21 +177,28 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     content = content_lines(lines)
-    region, depth = (), 0
-    while True:
-        weight: dict[int, int] = {}
-        total = 0
-        for (text, _, _, path), good in zip(lines, content):
-            if good and path[:depth] == region:
-                total += len(text)
-                if len(path) > depth:
-                    weight[path[depth]] = weight.get(path[depth], 0) + len(text)
-        best = max(weight, key=lambda k: (weight[k], -k), default=None)
-        if best is None or weight[best] < MOST * total or region and region[-1] in parser.articles:
-            break
-        region, depth = (*region, best), depth + 1
+    total = sum(len(text) for (text, *_), good in zip(lines, content) if good)
+    held: dict[tuple[int, ...], int] = {}  # cluster text of each outermost article
+    common = None
+    for (text, _, _, path), good in zip(lines, content):
+        if good:
+            at = next((k + 1 for k, number in enumerate(path) if number in parser.articles), None)
+            if at:
+                held[path[:at]] = held.get(path[:at], 0) + len(text)
+            if common is None:
+                common = path
+            elif path[: len(common)] != common:
+                common = common[: next(k for k in range(len(common)) if path[k : k + 1] != common[k : k + 1])]
+    article = max(held, key=lambda p: held[p], default=None)
+    inside = article is not None and held[article] >= MOST * total
+    if inside:
+        region = article
+    else:
+        region = common or ()
+        region = region[: next((k for k, number in enumerate(region) if number in parser.parts_of_text), len(region))]
+    depth = len(region)
     kept = [
-        text for (text, _, linked, path), good in zip(lines, content) if path[:depth] == region and (linked <= LINKS or good)
+        text for (text, _, linked, path), good in zip(lines, content) if path[:depth] == region and (inside or linked <= LINKS or good)
     ]
     return " ".join(kept)
 

@@ -25,6 +25,16 @@ def test_article_without_article_tag():
     assert main_text(page) == TEXT
 
 
+@pytest.mark.parametrize("part", ["table", "ul", "blockquote", "section", "div"])
+def test_text_beside_the_largest_part(part):
+    page = f"<body><main><p>{LONG}</p><{part}>{f'<p>{LONG}</p>' * 3}</{part}></main></body>"
+    assert main_text(page) == " ".join([LONG] * 4)
+
+
+def test_links_inside_an_article():
+    assert main_text(f"<article>{f'<p>{LONG}</p>' * 5}<p><a href=/a>See</a></p><p><a href=/b>a</a></p>{f'<p>{LONG}</p>' * 5}</article>").count("See a") == 1
+
+
 def test_unclosed_parts():
     assert main_text(f"<nav><a>x</a><article><p><b>{LONG}<br><p>end</article><footer>f") == f"{LONG} end"
     assert main_text(f"<head><title>t<body><p>{LONG}") in (LONG, "")
