@@ -18,6 +18,7 @@ from logweir.llm.search import top_k
 from logweir.llm.tables import table
 from logweir.llm.toxicity import toxicity
 from logweir.llm.urls import RULES, url_verdicts
+from logweir.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
@@ -85,3 +86,8 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Documents have no paths; their source, language and id stand for one."""
     path = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), F.col("doc_id").cast("string"))
     return licences(table(spark, folder, "documents").select("doc_id", path.alias("path"), "text"))
+
+
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))

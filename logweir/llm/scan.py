@@ -116,12 +116,15 @@ def lower(raw: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Words (runs of other than space and ``\\t`` to ``\\r``) of a column: start, end, hash, and offsets by row."""
+    """Words (runs of bytes that aren't in ``gaps``) of a column: start, end, hash, and offsets by row.
 
-    def __init__(self, texts: pa.Array, fold: bool = True):
+    Gaps are space and ``\\t`` to ``\\r`` unless given; a space must be one of them.
+    """
+
+    def __init__(self, texts: pa.Array, fold: bool = True, gaps: np.ndarray = _SPACE):
         raw, at = flat(texts, " ")
         self.bytes, self.at = lower(raw) if fold else raw, at
-        inside = ~_SPACE[raw]
+        inside = ~gaps[raw]
         edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
         self.start = np.flatnonzero(edge == 1)
         self.end = np.flatnonzero(edge == -1)  # a separator ends the last word of each text
