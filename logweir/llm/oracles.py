@@ -134,3 +134,26 @@ taken AS (
 SELECT doc_id, s.source, size, source_size, target, coalesce(taken, 0) AS taken
 FROM sized s JOIN target t ON s.source IS NOT DISTINCT FROM t.source LEFT JOIN taken USING (id)
 """
+
+_TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+RANKED = rf"""
+WITH items AS (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL),
+q AS (SELECT item_id, term, count(*) AS times
+      FROM (SELECT item_id, unnest(regexp_extract_all({_FOLD}, {_TERM})) AS term FROM items) GROUP BY ALL),
+docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_FOLD}, {_TERM}) AS ws
+         FROM documents WHERE doc_id IS NOT NULL),
+sizes AS (SELECT r, doc_id, CAST(len(ws) AS BIGINT) AS n FROM docs WHERE len(ws) > 0),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+p AS (SELECT r, term, count(*) AS tf
+      FROM (SELECT r, unnest(ws) AS term FROM docs) SEMI JOIN q USING (term) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM p, total GROUP BY term, n_docs),
+impacts AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))) AS impact
+            FROM p JOIN sizes USING (r) JOIN w USING (term), total),
+scores AS (SELECT item_id, r, doc_id, CAST(sum(times * impact) AS BIGINT) AS score
+           FROM q JOIN impacts USING (term) GROUP BY ALL),
+best AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r) AS INTEGER) AS rank,
+                doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM best WHERE rank <= 20
+"""

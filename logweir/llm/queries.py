@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logweir.llm import oracles
 from logweir.llm.decontaminate import leaks
+from logweir.llm.dual_tree import ranked
 from logweir.llm.html_text import page_texts
 from logweir.llm.licenses import licences
 from logweir.llm.line_dedup import dedup_lines
@@ -27,6 +28,7 @@ ORACLES: dict[str, str] = {
     "op4_minhash": oracles.MINHASH,
     "op5_top_k": oracles.TOP_K,
     "op9_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op13_dual_tree": oracles.RANKED,
 }
 
 
@@ -91,3 +93,8 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whiten(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_dual_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
