@@ -10,6 +10,7 @@ from logweir.llm import oracles
 from logweir.llm.decontaminate import leaks
 from logweir.llm.dual_tree import ranked
 from logweir.llm.html_text import page_texts
+from logweir.llm.languages import language
 from logweir.llm.licenses import licences
 from logweir.llm.line_dedup import dedup_lines
 from logweir.llm.mixing import mix
@@ -95,6 +96,11 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whiten(table(spark, folder, "embeddings"))
 
 
+@query
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language(table(spark, folder, "documents"))
+
+
 @query
 def op13_dual_tree(spark: SparkSession, folder: str) -> DataFrame:
     return ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
