@@ -130,9 +130,13 @@ def ridge(features: np.ndarray, of: np.ndarray, n_classes: int, penalty: float)
 def fit(docs: DataFrame, rows_per_language: int = 500, max_rows: int = 20_000, max_landmarks: int = 256, penalty: float = 0.1) -> Model | None:
     """Model from labelled ``docs (doc_id, text, lang)``; None without any labelled text that has a letter."""
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
+    # Only rows whose hash is low enough for some twice as many to be left are ranked, however frequent a language is.
+    share = (2.0 * rows_per_language + 100) / F.col("n")
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
     order = F.xxhash64("doc_id")
-    by_language = Window.partitionBy("lang").orderBy(order, "doc_id")
-    chosen = known.select("doc_id", "lang", F.row_number().over(by_language).alias("rank")).where(F.col("rank") <= rows_per_language)
+    low = known.select("doc_id", "lang", order.alias("order")).join(counts, "lang").where(F.col("order") / 2.0**64 + 0.5 < share)
+    by_language = Window.partitionBy("lang").orderBy("order", "doc_id")
+    chosen = low.select("doc_id", "lang", F.row_number().over(by_language).alias("rank")).where(F.col("rank") <= rows_per_language)
     chosen = chosen.orderBy("rank", "lang", "doc_id").limit(max_rows).dropDuplicates(["doc_id", "lang"])
     sample = known.where(has_letter()).join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "lang", "rank", "text")
     sample = cut(sample, "sample")  # at most max_rows texts
