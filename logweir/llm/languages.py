@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logweir.llm.scan import U, mix, slices
 from logweir.llm.tables import cut
+from logweir.operators.joins import broadcast_if_small
 
 LONGEST = 4
 UNKNOWN = "und"
@@ -132,9 +133,9 @@ def fit(docs: DataFrame, rows_per_language: int = 500, max_rows: int = 20_000, m
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     # Only rows whose hash is low enough for some twice as many to be left are ranked, however frequent a language is.
     share = (2.0 * rows_per_language + 100) / F.col("n")
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = cut(known.groupBy("lang").agg(F.count("*").alias("n")), "languages")
     order = F.xxhash64("doc_id")
-    low = known.select("doc_id", "lang", order.alias("order")).join(counts, "lang").where(F.col("order") / 2.0**64 + 0.5 < share)
+    low = known.select("doc_id", "lang", order.alias("order")).join(broadcast_if_small(counts), "lang").where(F.col("order") / 2.0**64 + 0.5 < share)
     by_language = Window.partitionBy("lang").orderBy("order", "doc_id")
     chosen = low.select("doc_id", "lang", F.row_number().over(by_language).alias("rank")).where(F.col("rank") <= rows_per_language)
     chosen = chosen.orderBy("rank", "lang", "doc_id").limit(max_rows).dropDuplicates(["doc_id", "lang"])
