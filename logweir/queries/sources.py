@@ -32,6 +32,7 @@ from logweir.sources import (
     list_files,
     load_ctrl_a,
     read_delimited,
+    read_employer_source,
     read_employer_text,
     read_external,
     read_json_strings,
@@ -39,6 +40,7 @@ from logweir.sources import (
     read_merged,
     records,
     sql_on_path,
+    write_employer_text,
 )
 from logweir.sources.employer_text import employer_schema
 from logweir.sources.generated import words_for
@@ -220,6 +222,37 @@ def employer_source_schema(t: Tables) -> DataFrame:
     return reader.load(_write_employers(t))
 
 
+@query(
+    """
+    SELECT c_custkey AS id, CAST(round(c_acctbal * 100) AS BIGINT) AS salary FROM customer
+    WHERE c_nationkey % 4 = 1 AND round(c_acctbal * 100) > 100000 AND c_custkey % 2 = 0
+    """
+)
+def employer_source_pruned(t: Tables) -> DataFrame:
+    """Two columns; two of the filters reach the reader."""
+    staff = read_employer_source(t.spark, _write_employers(t), ["id", "gender", "salary"])
+    return staff.where("gender = '1' AND salary > 100000 AND id % 2 = 0").select("id", "salary")
+
+
+@query(
+    """
+    SELECT c_custkey AS id, c_name AS name, c_mktsegment AS gender, c_nationkey::BIGINT AS salary, c_custkey AS com FROM customer
+    UNION ALL SELECT s_suppkey, s_name, 'SUPPLIER', s_nationkey::BIGINT, s_suppkey FROM supplier
+    """
+)
+def employer_source_write(t: Tables) -> DataFrame:
+    """Written through the source: what an overwrite replaces is gone, what is appended is added."""
+    out = t.scratch("employers")
+    people = lambda df, key, name, kind, nation: df.select(
+        F.col(key).alias("id"), F.col(name).alias("name"), kind.alias("gender"), F.col(nation).cast("bigint").alias("salary"), F.col(key).alias("com")
+    )
+    suppliers = people(t.supplier, "s_suppkey", "s_name", F.lit("SUPPLIER"), "s_nationkey")
+    write_employer_text(suppliers, out)
+    write_employer_text(people(t.customer, "c_custkey", "c_name", F.col("c_mktsegment"), "c_nationkey").repartition(3), out, "overwrite")
+    write_employer_text(suppliers, out)
+    return read_employer_source(t.spark, out)
+
+
 @query("SELECT * FROM supplier")
 def parquet_roundtrip(t: Tables) -> DataFrame:
     out = t.scratch("parquet")

@@ -10,7 +10,8 @@ from logweir.operators import blocklist, explode_tokens
 from logweir.queries.registry import Tables, query
 from logweir.queries.relational import _BUSY_USERS, _busy_users
 from logweir.session import materialise
-from logweir.sources import stream_files
+from logweir.sources import committed_offset, stream_files, stream_growing
+from logweir.sources.employer_text import locate, matching_files
 from logweir.streaming import (
     append_files,
     batch_counts,
@@ -220,3 +221,45 @@ def stream_file_sink(t: Tables) -> DataFrame:
     out, state, columns = t.scratch("stream"), t.scratch("stream-state"), ["event_id", "event_type", "value"]
     _arriving(t, lambda events: append_files(events.select(*columns), out, state).awaitTermination())
     return t.spark.read.schema(t.events.select(*columns).schema).parquet(out)
+
+
+def _grow(t: Tables, folder: str, lines: DataFrame, files: int) -> None:
+    """Write ``lines (id, value)``, in order of id, as the files of ``folder``; a larger id only adds to its file."""
+    made = t.scratch("grown")
+    ordered = lines.select("id", "value", F.pmod(F.xxhash64("id"), F.lit(files)).alias("file"))
+    ordered.repartition(files, "file").sortWithinPartitions("file", "id").drop("id").write.partitionBy("file").text(made)
+    filesystem, inner = locate(folder)
+    filesystem.create_dir(inner, recursive=True)
+    for path, _ in matching_files(f"{made}/*/part-*"):
+        _, own = locate(path)
+        filesystem.move(own, f"{inner}/{own.split('/')[-2]}.log")
+
+
+@query("SELECT event_id || ':' || event_type AS value, 1::BIGINT AS times FROM events")
+def stream_growing_lines(t: Tables) -> DataFrame:
+    """Lines added to four files between three runs; every run starts again at the checkpoint."""
+    folder, out, state, done = (t.scratch(x) for x in ("growing", "stream", "stream-state", "committed"))
+    lines = t.events.select(F.col("event_id").alias("id"), F.concat_ws(":", "event_id", "event_type").alias("value"))
+    last = t.events.agg(F.max("event_id")).first()[0] or 0
+    for part in range(1, PARTS + 1):
+        _grow(t, folder, lines.where(F.col("id") <= last * part // PARTS), 4)
+        run_available(stream_growing(t.spark, f"{folder}/*.log", done).select("value"), out, state)
+    return batch_results(t.spark, out, "value string").groupBy("value").agg(F.count("*").alias("times"))
+
+
+@query("SELECT true AS complete, 4::BIGINT AS files")
+def stream_growing_committed(t: Tables) -> DataFrame:
+    """When the second batch has come, the stream says that all of the first one's bytes are done."""
+    folder, out, state, done = (t.scratch(x) for x in ("growing", "stream", "stream-state", "committed"))
+    lines = t.events.select(F.col("event_id").alias("id"), F.concat_ws(":", "event_id", "event_type").alias("value"))
+    last = t.events.agg(F.max("event_id")).first()[0] or 0
+    _grow(t, folder, lines.where(F.col("id") <= last // 2), 4)
+    sizes = materialise(t.spark.read.format("binaryFile").load(f"{folder}/*.log").select("path", "length"), "sizes")
+    run_available(stream_growing(t.spark, f"{folder}/*.log", done).select("value"), out, state)
+    _grow(t, folder, lines, 4)
+    run_available(stream_growing(t.spark, f"{folder}/*.log", done).select("value"), out, state)
+    rows = [(path, n) for path, n in committed_offset(done).items()]
+    told = t.spark.createDataFrame(rows, "path string, told long")
+    name = lambda c: F.regexp_extract(c, "([^/]+)$", 1)
+    both = sizes.select(name("path").alias("file"), "length").join(told.select(name("path").alias("file"), "told"), "file", "full_outer")
+    return both.agg(F.bool_and(F.coalesce(F.col("told") == F.col("length"), F.lit(False))).alias("complete"), F.count("*").alias("files"))
