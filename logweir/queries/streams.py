@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from logweir.operators import blocklist, explode_tokens
+from logweir.plans import employees
+from logweir.queries.derived import cents, employee_lines
 from logweir.queries.registry import Tables, query
 from logweir.queries.relational import _BUSY_USERS, _busy_users
 from logweir.session import materialise
@@ -16,10 +19,14 @@ from logweir.streaming import (
     append_files,
     batch_counts,
     batch_results,
+    chained_windows,
     changed_counts,
+    idle_totals,
     last_batch,
     offset_ranges,
+    open_totals,
     per_batch_sql,
+    rocksdb,
     run_available,
     running_counts,
     seeded_counts,
@@ -263,3 +270,95 @@ def stream_growing_committed(t: Tables) -> DataFrame:
     name = lambda c: F.regexp_extract(c, "([^/]+)$", 1)
     both = sizes.select(name("path").alias("file"), "length").join(told.select(name("path").alias("file"), "told"), "file", "full_outer")
     return both.agg(F.bool_and(F.coalesce(F.col("told") == F.col("length"), F.lit(False))).alias("complete"), F.count("*").alias("files"))
+
+
+def _arriving_in_time(t: Tables, start: Callable[[DataFrame], object], behind: str = "0 seconds") -> None:
+    """The events come in ``PARTS`` parts by time, then one without type that is ``behind`` later than all."""
+    source = t.scratch("arriving")
+    first, last = t.events.agg(F.min("ts"), F.max("ts")).first()
+    parts = [t.events.where((F.col("ts") >= first + k * (last - first) / PARTS) & ((F.col("ts") < first + (k + 1) * (last - first) / PARTS) | F.lit(k == PARTS - 1))) for k in range(PARTS)]
+    end = F.lit(last) + F.expr(f"INTERVAL {behind}")
+    parts.append(t.spark.range(1).select(*((end if f.name == "ts" else F.lit(None)).cast(f.dataType).alias(f.name) for f in t.events.schema)))
+    for part in parts:
+        part.write.mode("append").parquet(source)
+        start(stream_files(t.spark, source, t.events.schema))
+
+
+_IDLE_HOURS = 24
+
+
+@query(
+    f"""
+    WITH timed AS (SELECT user_id, epoch_us(ts) // 1000 AS ms, CAST(round(value * 100) AS BIGINT) AS cents FROM events),
+    seeded AS (
+      SELECT user_id, ms, cents, 1 AS n FROM timed
+      UNION ALL SELECT user_id, min(ms) - {_IDLE_HOURS * 3_600_000 // 2}, 1000 + user_id, 2 FROM timed GROUP BY 1),
+    marked AS (SELECT *, ms - lag(ms) OVER (PARTITION BY user_id ORDER BY ms) > {_IDLE_HOURS * 3_600_000} AS cut FROM seeded),
+    spans AS (SELECT *, count(*) FILTER (WHERE cut) OVER (PARTITION BY user_id ORDER BY ms) AS span FROM marked)
+    SELECT user_id, min(ms) AS first, max(ms) AS last, CAST(sum(cents) AS BIGINT) AS total, CAST(sum(n) AS BIGINT) AS n,
+           max(ms) + {_IDLE_HOURS * 3_600_000} < (SELECT max(ms) - 3600000 FROM timed) AS done
+    FROM spans GROUP BY user_id, span
+    """
+)
+def stream_idle_totals(t: Tables) -> DataFrame:
+    """Each user starts from a seed; totals of users who fell silent were given out, the others are read from the state."""
+    out, state, idle = t.scratch("stream"), t.scratch("stream-state"), _IDLE_HOURS * 3_600_000
+    starts = t.events.groupBy("user_id").agg((F.unix_millis(F.min("ts").cast("timestamp")) - idle // 2).alias("first"))
+    seed = starts.select("user_id", "first", F.col("first").alias("last"), (F.col("user_id") + 1000).alias("total"), F.lit(2).alias("n"))
+    seed = materialise(seed, "seed")
+
+    def run(events: DataFrame) -> None:
+        known = events.where(F.col("event_type").isNotNull()).withColumn("cents", cents("value"))
+        run_available(idle_totals(known, "user_id", "ts", "cents", idle, "1 hour", seed), out, state)
+
+    with rocksdb(t.spark):
+        _arriving_in_time(t, run)
+    columns = ["user_id", "first", "last", "total", "n"]
+    done = batch_results(t.spark, out, "user_id long, first long, last long, total long, n long").select(*columns, F.lit(True).alias("done"))
+    return done.unionByName(open_totals(t.spark, state, "user_id").select(*columns, F.lit(False).alias("done")))
+
+
+@query(
+    f"""
+    SELECT {_HOURS.format("w")} AS start, {_HOURS.format("w + INTERVAL 4 HOUR")} AS end, event_type,
+           count(*) AS count, 1::BIGINT AS times
+    FROM (SELECT event_type, time_bucket(INTERVAL 2 HOUR, ts, TIMESTAMP '1970-01-01') - INTERVAL (2 * s) HOUR AS w
+          FROM events, ({_SLIDES}))
+    GROUP BY w, event_type
+    """
+)
+def stream_chained_windows(t: Tables) -> DataFrame:
+    """Every window is given out in one batch, all of them once a late event has moved the watermark on."""
+    out, state = t.scratch("stream"), t.scratch("stream-state")
+    build = lambda events: chained_windows(events, "ts", "event_type", "1 hour", "4 hours", "2 hours", "1 hour")
+    _arriving_in_time(t, lambda events: run_available(build(events), out, state), "2 days")
+    results = batch_results(t.spark, out, "start timestamp, end timestamp, event_type string, count long")
+    windows = results.groupBy("start", "end", "event_type").agg(F.max("count").alias("count"), F.count("*").alias("times"))
+    return _as_text(windows, "start", "end")
+
+
+def _employee_stream(t: Tables) -> tuple[str, str]:
+    """Folders of the rows and of the counts of employee lines that come in ``PARTS`` parts."""
+    source, out, state, counts = (t.scratch(x) for x in ("arriving", "stream", "stream-state", "counts"))
+    for part in range(PARTS):
+        employee_lines(t.events.where(F.col("event_id") % PARTS == part)).write.mode("append").text(source)
+        lines = stream_files(t.spark, source, StructType.fromDDL("value string"), "text")
+        employees.run_stream(lines, out, state, counts)
+    return out, counts
+
+
+@query("SELECT event_id % 3 AS batch_id, count(*) AS total, count(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY 1")
+def stream_emp_counts(t: Tables) -> DataFrame:
+    return employees.batch_counts(t.spark, _employee_stream(t)[1])
+
+
+@query(
+    """
+    SELECT CAST(event_id AS INTEGER) AS id, event_type AS name, CASE WHEN event_type = 'view' THEN 0.0 ELSE value END::DOUBLE AS salary,
+           CASE WHEN event_type = 'signup' THEN '19700101' ELSE strftime(ts, '%Y%m%d') END AS day
+    FROM events WHERE event_type <> 'error'
+    """
+)
+def stream_emp_rows(t: Tables) -> DataFrame:
+    schema = "id int, name string, time long, salary double, hour string, day string"
+    return t.spark.read.schema(schema).parquet(_employee_stream(t)[0]).select("id", "name", "salary", "day")

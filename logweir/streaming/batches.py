@@ -7,7 +7,7 @@ restart from the checkpoint neither loses nor repeats rows.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -89,11 +89,14 @@ def per_batch_sql(stream: DataFrame, view: str, sql: str, out: str, checkpoint:
     return write_batches(stream, out, checkpoint, fn=run)
 
 
-def append_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
+def append_files(
+    stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
+) -> StreamingQuery:
     """Append every batch to files; readers of the folder see whole batches only."""
     return (
         stream.writeStream.format(fmt)
         .outputMode("append")
+        .partitionBy(*partition_by)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(path)

@@ -96,6 +96,20 @@ def sliding_counts(
     return covering.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "batch_start", key, "count")
 
 
+def chained_windows(stream: DataFrame, ts: str, key: str, pane: str, length: str, slide: str, watermark: str) -> DataFrame:
+    """Rows per key in sliding windows, as sums of counts by pane: ``start``, ``end``, the key and ``count``.
+
+    Write in append mode: a pane is given to the windows over it once the watermark has passed it, and each window is
+    given out once, when all its panes are. Rows are counted into one pane each instead of every window over
+    them, and what the watermark has passed leaves the state of both counts. ``length`` and ``slide`` are multiples of
+    ``pane``. Rows later than the watermark allows, and rows without time, are dropped.
+    """
+    timed = stream.select(F.col(ts).cast("timestamp").alias("_at"), key).withWatermark("_at", watermark)
+    panes = timed.groupBy(F.window("_at", pane).alias("p"), key).agg(F.count("*").alias("n"))
+    windows = panes.groupBy(F.window(F.window_time("p"), length, slide).alias("w"), key).agg(F.sum("n").alias("count"))
+    return windows.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), key, "count")
+
+
 def offset_ranges(batch: DataFrame) -> DataFrame:
     """First offset and end offset (exclusive) of each log partition present in a batch."""
     return batch.groupBy("topic", "partition").agg(

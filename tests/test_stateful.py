@@ -1,0 +1,160 @@
+"""State with seed and expiry, chained windows and counters of running streams."""
+
+import json
+import os
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from logweir import streaming as st
+from logweir.plans import employees
+from logweir.sources import stream_files, stream_lines
+from logweir.streaming.idle import _spans_of, joined
+from logweir.streaming.metrics import BatchCounts, batch_metrics, observed_stream
+
+SCHEMA = "k string, ts timestamp, amount long"
+SPANS = "k string, first long, last long, total long, n long"
+
+
+class Feed:
+    def __init__(self, spark, root):
+        self.spark, self.root = spark, root
+        self.out, self.state = str(root / "out"), str(root / "state")
+
+    def put(self, *rows):
+        """Rows (key, second, amount) as one more file."""
+        df = self.spark.createDataFrame(rows, "k string, s long, amount long").select("k", F.timestamp_seconds("s").alias("ts"), "amount")
+        df.coalesce(1).write.mode("append").parquet(str(self.root / "in"))
+
+    def stream(self):
+        return stream_files(self.spark, str(self.root / "in"), self.spark.createDataFrame([], SCHEMA).schema)
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    return Feed(spark, tmp_path)
+
+
+def totals(feed, seed=None):
+    with st.rocksdb(feed.spark):
+        st.run_available(st.idle_totals(feed.stream(), "k", "ts", "amount", 10_000, "0 seconds", seed), feed.out, feed.state)
+    done = st.batch_results(feed.spark, feed.out, SPANS).collect()
+    still = st.open_totals(feed.spark, feed.state, "k").collect()
+    return sorted((tuple(r)[:5] for r in done), key=repr), sorted((tuple(r) for r in still), key=repr)
+
+
+def test_idle_keys_expire_and_the_seed_counts_once(feed):
+    seed = feed.spark.createDataFrame([("a", 1_000, 2_000, 100, 7), ("z", 0, 0, 5, 1)], SPANS)
+    feed.put(("a", 5, 1), ("a", 8, 2), ("b", 9, 3))
+    done, still = totals(feed, seed)
+    assert (done, still) == ([], [("a", 1000, 8000, 103, 9), ("b", 9000, 9000, 3, 1), ("z", 0, 0, 5, 1)])
+    feed.put(("b", 15, 4), ("c", 30, 1))
+    done, still = totals(feed, seed)
+    # Key a fell silent at 8 and z at 0, b at 15; what is done has left the state.
+    assert done == [("a", 1000, 8000, 103, 9), ("b", 9000, 15000, 7, 2), ("z", 0, 0, 5, 1)]
+    assert still == [("c", 30000, 30000, 1, 1)]
+    feed.put(("a", 41, 6), ("c", 40, 1))
+    done, still = totals(feed, seed)
+    assert len(done) == 3  # a starts anew, without the seed
+    assert still == [("a", 41000, 41000, 6, 1), ("c", 30000, 40000, 2, 2)]
+
+
+def test_two_stretches_of_one_batch(feed):
+    feed.put(("a", 1, 1), ("a", 30, 2), ("a", 3, 4), (None, 2, 1), ("a", 60, 8))
+    done, still = totals(feed)
+    assert done == [("a", 1000, 3000, 5, 2), ("a", 30000, 30000, 2, 1), (None, 2000, 2000, 1, 1)]
+    assert still == [("a", 60000, 60000, 8, 1)]
+
+
+def test_the_provider_is_put_back(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    with st.rocksdb(spark):
+        assert "RocksDB" in spark.conf.get(name)
+    assert spark.conf.get(name) == before
+
+
+def test_spans_join_in_any_order():
+    spans = [(50, 60, 1, 1), (0, 10, 2, 1), (15, 20, 4, 1), (5, 30, 8, 1), (100, 100, 16, 1)]
+    assert joined(spans, 5) == [(0, 30, 14, 3), (50, 60, 1, 1), (100, 100, 16, 1)]
+    assert joined(spans, 20) == [(0, 60, 15, 4), (100, 100, 16, 1)]
+    assert joined([], 5) == []
+
+
+def test_a_hot_key_is_few_rows_before_the_shuffle():
+    n = 10_000
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["hot"] * n + [None, "b"]), pa.array([*range(n), 7, 5]), pa.array([1] * (n + 2)), pa.array([*range(n), 7, 5], pa.timestamp("us"))],
+        ["k", "at", "amount", "time"],
+    )
+    rows = [r for b in _spans_of(iter([batch]), "k", 1) for r in b.to_pylist()]
+    assert sorted((r["k"] or "", r["first"], r["last"], r["total"], r["n"]) for r in rows) == [("", 7, 7, 1, 1), ("b", 5, 5, 1, 1), ("hot", 0, n - 1, n, n)]
+
+
+def windows(feed):
+    counts = st.chained_windows(feed.stream(), "ts", "k", "10 seconds", "20 seconds", "10 seconds", "5 seconds")
+    query = st.write_batches(counts, feed.out, feed.state)
+    query.awaitTermination()
+    got = st.batch_results(feed.spark, feed.out, "start timestamp, end timestamp, k string, count long")
+    rows = [(r.s, r.k, r["count"]) for r in got.select(F.unix_seconds("start").alias("s"), "k", "count").collect()]
+    return sorted(rows), [op["numRowsTotal"] for op in query.lastProgress["stateOperators"]]
+
+
+def test_windows_are_given_out_once_and_leave_the_state(feed):
+    feed.put(("a", 101, 0), ("a", 112, 0), ("b", 113, 0))
+    first, held = windows(feed)
+    assert first == [] and sum(held) > 0
+    feed.put(("a", 118, 0), ("a", 131, 0))
+    second, _ = windows(feed)
+    assert second == [(90, "a", 1), (100, "a", 3), (100, "b", 1)][: len(second)] and second
+    feed.put(("c", 1000, 0))
+    third, state = windows(feed)
+    assert third == [(90, "a", 1), (100, "a", 3), (100, "b", 1), (110, "a", 2), (110, "b", 1), (120, "a", 1), (130, "a", 1)]
+    # Only the late event's pane is left, no window of the others.
+    assert sum(state) == 1
+
+
+# ---- counters ----
+
+
+def lines(spark, folder, name, *values):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("".join(v + "\n" for v in values))
+
+
+def test_counts_of_each_batch(spark, tmp_path):
+    source, counts, out, state = (str(tmp_path / x) for x in ("in", "counts", "out", "state"))
+
+    def run(fail=False):
+        counted = observed_stream(stream_lines(spark, "text", path=source), "seen", total=F.lit(True), long=F.length("value") > 2)
+        if fail:
+            counted = counted.select(F.when(F.col("value") == "boom", F.raise_error(F.lit("boom"))).otherwise(F.col("value")).alias("value"))
+        with BatchCounts(spark, "seen", counts) as listener:
+            listener.wait(st.append_files(counted, out, state))
+        return sorted(tuple(r) for r in batch_metrics(spark, counts, "total long, long long").collect())
+
+    assert batch_metrics(spark, counts, "total long").count() == 0
+    lines(spark, source, "1.txt", "a", "abc")
+    assert run() == [(0, 2, 1)]
+    lines(spark, source, "2.txt", "boom", "x", "yy")
+    with pytest.raises(Exception, match="boom"):
+        run(fail=True)
+    assert len(batch_metrics(spark, counts, "total long, long long").collect()) == 1
+    assert run() == [(0, 2, 1), (1, 3, 1)]  # the batch that failed counts once, when it is run again
+    assert run() == [(0, 2, 1), (1, 3, 1)]
+    with open(os.path.join(counts, "batch-1.json")) as f:
+        assert json.load(f) == {"batch_id": 1, "total": 3, "long": 1}
+
+
+def test_employee_stream(spark, tmp_path):
+    source, out, state, counts = (str(tmp_path / x) for x in ("in", "out", "state", "counts"))
+    stream = lambda: stream_lines(spark, "text", path=source)
+    lines(spark, source, "1.txt", "10\tname10\t2019-06-08 10:40:39\t8332", "x\tname\t2019-06-08 10:40:39\t1", "short")
+    employees.run_stream(stream(), out, state, counts)
+    lines(spark, source, "2.txt", "11\tname11\tnever\tn/a")
+    employees.run_stream(stream(), out, state, counts)
+    assert sorted(tuple(r) for r in employees.batch_counts(spark, counts).collect()) == [(0, 3, 2), (1, 1, 0)]
+    rows = spark.read.schema("id int, time long, salary double, hour string, day string").parquet(out).collect()
+    assert sorted(tuple(r) for r in rows) == [(10, 1559990439000, 8332.0, "10", "20190608"), (11, 0, 0.0, "00", "19700101")]
