@@ -31,6 +31,7 @@ from logweir.operators.joins import (
     lookup_join,
 )
 from logweir.operators.layout import map_batches, partitions_for, persisted, relayout, sized
+from logweir.operators.parts import PartTable
 from logweir.operators.projection import (
     format_row,
     pick_fields,
@@ -41,13 +42,16 @@ from logweir.operators.projection import (
     with_expr,
 )
 from logweir.operators.ranking import first_value, last_value, ranked, top_n
+from logweir.operators.sketches import bloom_join, frequent_items, pruned_top_n
 from logweir.operators.snapshots import append_rows, delete_where, swap_snapshot, update_where, upsert
 
 __all__ = [
+    "PartTable",
     "allowlist",
     "append_rows",
     "assert_schema",
     "blocklist",
+    "bloom_join",
     "broadcast_if_small",
     "collect_by",
     "conform",
@@ -60,6 +64,7 @@ __all__ = [
     "first_value",
     "flag_join",
     "format_row",
+    "frequent_items",
     "global_sql",
     "hits_and_sum",
     "is_small",
@@ -74,6 +79,7 @@ __all__ = [
     "persisted",
     "pick_fields",
     "project",
+    "pruned_top_n",
     "pv_by_domain",
     "ranked",
     "relayout",

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
-from logweir.operators import append_rows, delete_where, swap_snapshot, update_where, upsert
+from logweir.operators import PartTable, append_rows, delete_where, swap_snapshot, update_where, upsert
 from logweir.queries.registry import Tables, query
 
 
@@ -89,3 +89,38 @@ def snapshot_swap(t: Tables) -> DataFrame:
     t.supplier.write.option("path", t.scratch("snapshot")).saveAsTable(table)
     swap_snapshot(delete_where(t.spark.table(table), F.col("s_acctbal") < 0), table, t.scratch("snapshot"))
     return t.spark.table(table).select("s_suppkey", "s_name")
+
+
+@query(
+    """
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 1000 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+    FROM orders WHERE o_orderkey % 1000 <> 8 AND NOT (o_custkey % 50 = 3 AND o_orderkey % 10 = 0)
+    UNION ALL SELECT -1 - o_orderkey, o_custkey, 0.0 FROM orders WHERE o_orderkey % 1000 = 9
+    """
+)
+def part_table_edits(t: Tables) -> DataFrame:
+    """Merged, deleted by key and by condition; old versions are dropped at the end."""
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    table = PartTable.create(orders, t.scratch("parts"), ["o_orderkey"], parts=32)
+    kind = F.col("o_orderkey") % 1000
+    raised = orders.where(kind == 7).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    added = orders.where(kind == 9).select((-1 - F.col("o_orderkey")).alias("o_orderkey"), "o_custkey", F.lit(0.0).alias("o_totalprice"))
+    table.merge(raised.union(added))
+    table.delete(orders.where(kind == 8))
+    table.delete_where((F.col("o_custkey") % 50 == 3) & (F.col("o_orderkey") % 10 == 0) & (F.col("o_orderkey") >= 0))
+    table.vacuum()
+    return table.read()
+
+
+@query("SELECT count(*) AS rows, true AS kept FROM orders WHERE o_orderkey % 97 = 5 AND o_orderkey < 100")
+def part_table_untouched(t: Tables) -> DataFrame:
+    """Few changed keys: as many parts at most are written, all others keep their folders; and the keys are found again."""
+    orders = t.orders.select("o_orderkey", "o_totalprice")
+    table = PartTable.create(orders, t.scratch("parts"), ["o_orderkey"], parts=32)
+    few = orders.where((F.col("o_orderkey") % 97 == 5) & (F.col("o_orderkey") < 100))
+    before = table.manifest()["parts"]
+    table.merge(few.withColumn("o_totalprice", F.lit(-1.0)))
+    after = table.manifest()["parts"]
+    changed = sum(after[p] != folder for p, folder in before.items())
+    found = table.lookup(few.select("o_orderkey")).where("o_totalprice = -1")
+    return found.agg(F.count("*").alias("rows"), (F.count("*") >= F.lit(changed)).alias("kept"))
