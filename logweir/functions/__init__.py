@@ -10,10 +10,11 @@ from logweir.functions.times import (
     hour_bucket,
     hour_of,
 )
-from logweir.functions.udfs import Aggregator, MeanAggregator, like_count, register_average, register_udfs
+from logweir.functions.udfs import Aggregator, ArrowAggregator, MeanAggregator, like_count, register_average, register_udfs
 
 __all__ = [
     "Aggregator",
+    "ArrowAggregator",
     "MeanAggregator",
     "average",
     "bracket_time",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession, functions as F, types as T
 
 
@@ -71,19 +73,34 @@ class Aggregator:
         raise NotImplementedError
 
 
-class MeanAggregator(Aggregator):
+class ArrowAggregator(Aggregator):
+    """A custom aggregate whose partial results merge field by field.
+
+    Python sees whole Arrow batches only: the contributions of a batch's rows and the final values of a batch of
+    groups. Grouping and merging, before the shuffle and after it, are Spark's own sums, minima and maxima.
+    """
+
+    merges: Mapping[str, str]  # ``sum``, ``min`` or ``max`` for each field of ``buffer``
+
+    def contributions(self, values: pa.Array) -> Sequence[pa.Array]:
+        """Each row's contribution to each field of ``buffer``; a NULL contributes nothing."""
+        raise NotImplementedError
+
+    def finish_all(self, buffers: pa.RecordBatch) -> pa.Array:
+        """Final values of groups from their merged fields."""
+        raise NotImplementedError
+
+
+class MeanAggregator(ArrowAggregator):
     """Mean that skips NULL and gives NaN for no values."""
 
     buffer = T.StructType().add("total", "double").add("rows", "long")
     result = T.DoubleType()
+    merges = {"total": "sum", "rows": "sum"}
 
-    def reduce(self, values):
-        kept = values.dropna().astype("float64")
-        return float(kept.sum()), len(kept)
-
-    def merge(self, buffers):
-        return float(buffers["total"].sum()), int(buffers["rows"].sum())
+    def contributions(self, values):
+        return values.cast(pa.float64()), pc.is_valid(values).cast(pa.int64())
 
-    def finish(self, buffer):
-        total, rows = buffer
-        return total / rows if rows else float("nan")
+    def finish_all(self, buffers):
+        total = pc.fill_null(buffers.column("total"), 0.0)
+        return pc.divide(total, buffers.column("rows").cast(pa.float64()))

@@ -28,6 +28,7 @@ from logweir.operators.joins import (
     flag_join,
     is_small,
     join_on,
+    local_copy,
     lookup_join,
 )
 from logweir.operators.layout import map_batches, partitions_for, persisted, relayout, sized
@@ -71,6 +72,7 @@ __all__ = [
     "join_on",
     "last_value",
     "list_catalog",
+    "local_copy",
     "lookup_join",
     "map_batches",
     "min_max_by",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window, functions as F,
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from logweir.functions.text import split_java
-from logweir.functions.udfs import Aggregator
+from logweir.functions.udfs import Aggregator, ArrowAggregator
 from logweir.session import materialise
 
 
@@ -77,9 +77,12 @@ def custom_aggregate(
     """Run a custom ``Aggregator`` per key.
 
     Every task reduces its own rows first, holding at most ``pending`` keys, so a group reaches
-    the merge as a few partial results per task however many rows it has.
+    the merge as a few partial results per task however many rows it has. An ``ArrowAggregator`` is grouped and
+    merged by Spark itself, with no Python call for a single key.
     """
     keys = list(keys)
+    if isinstance(agg, ArrowAggregator):
+        return _arrow_aggregate(df, keys, value, agg, out)
     fields = agg.buffer.fieldNames()
     key_fields = [df.schema[k] for k in keys]
     partial_schema = T.StructType([*key_fields, *agg.buffer.fields])
@@ -118,6 +121,33 @@ def custom_aggregate(
     return partial.groupBy(*keys).applyInArrow(merge_group, result_schema)
 
 
+_MERGES = {"sum": F.sum, "min": F.min, "max": F.max}
+
+
+def _arrow_aggregate(df: DataFrame, keys: list[str], value: str, agg: ArrowAggregator, out: str) -> DataFrame:
+    key_fields = [df.schema[k] for k in keys]
+    names = [f"_buffer_{name}" for name in agg.buffer.fieldNames()]
+    fields = [T.StructField(name, f.dataType) for name, f in zip(names, agg.buffer)]
+    rows_schema, result_schema = T.StructType([*key_fields, *fields]), T.StructType([*key_fields, T.StructField(out, agg.result)])
+    rows_arrow, result_arrow = to_arrow_schema(rows_schema), to_arrow_schema(result_schema)
+
+    def contribute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = agg.contributions(batch.column(len(keys)))
+            cast = (part.cast(rows_arrow.field(name).type) for part, name in zip(parts, names))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *cast], schema=rows_arrow)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buffers = pa.RecordBatch.from_arrays(batch.columns[len(keys) :], names=agg.buffer.fieldNames())
+            values = agg.finish_all(buffers).cast(result_arrow.field(out).type)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], values], schema=result_arrow)
+
+    rows = df.select(*keys, value).mapInArrow(contribute, rows_schema)
+    merged = rows.groupBy(*keys).agg(*(_MERGES[agg.merges[f.name]](name).cast(f.dataType).alias(name) for name, f in zip(names, agg.buffer)))
+    return merged.mapInArrow(finish, result_schema)
+
+
 def observed(df: DataFrame, name: str = "metrics", **counts: Column) -> tuple[DataFrame, Observation]:
     """Count conditions while ``df`` is computed; read ``Observation.get`` after an action.
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logweir.functions import json_status
-from logweir.operators import is_small, join_on, top_n
+from logweir.operators import is_small, join_on, local_copy, top_n
 from logweir.sinks import write_jdbc
 from logweir.sources.jdbc import jdbc_bounds, read_jdbc, read_jdbc_query
 
@@ -22,7 +22,9 @@ def area_clicks(clicks: DataFrame, cities: DataFrame) -> DataFrame:
     product, so that a hot city joins as one row per product.
     """
     cities = cities.select("city_id", "area")
-    if is_small(cities):
+    copy = local_copy(cities)  # worked out once
+    if copy is not None or is_small(cities):
+        cities = copy if copy is not None else cities
         placed = join_on(clicks, F.broadcast(cities), [("c_city_id", "city_id")])
         return placed.groupBy("area", "c_product_id").agg(F.count("*").alias("click_count"))
     per_city = clicks.groupBy("c_city_id", "c_product_id").agg(F.count("*").alias("clicks"))

@@ -1,4 +1,4 @@
-"""File sinks. Partitioned writes are rebalanced first, so each folder gets few, even files."""
+"""File sinks. Partitioned writes are dealt by folder first, so each folder gets few, even files."""
 
 from __future__ import annotations
 
@@ -17,9 +17,25 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     df.write.mode(mode).parquet(path)
 
 
+SMALL_BYTES = 1 << 30
+
+
 def _foldered(df: DataFrame, by: Sequence[str]) -> DataFrameWriter:
-    """Writer whose tasks each hold whole folders, a folder too large for one task being split."""
-    return df.hint("rebalance", *by).write.partitionBy(*by)
+    """Writer whose tasks each hold whole folders, a folder too large for one task being split.
+
+    Balancing by size would leave small inputs, and all their folders, to one task. So an input that Spark estimates
+    at less than ``SMALL_BYTES`` is dealt by folder to as many tasks as there are cores.
+    """
+    if estimated_bytes(df) < SMALL_BYTES:
+        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism, *by)
+    else:
+        df = df.hint("rebalance", *by)
+    return df.write.partitionBy(*by)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's estimate of the size of ``df`` from the files below it; nothing is run."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def write_partitioned(df: DataFrame, path: str, *by: str, mode: str = "errorifexists") -> None:

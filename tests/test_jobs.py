@@ -135,6 +135,9 @@ def shop(spark):
 def test_product_clicks(shop, monkeypatch, small):
     clicks, cities, products, wanted = shop
     monkeypatch.setattr(product_clicks, "is_small", lambda df: small)
+    monkeypatch.setattr(product_clicks, "local_copy", lambda df: None)
+    assert rows(product_clicks.top_products(clicks, cities, products, "2016-05-05")) == wanted
+    monkeypatch.undo()
     top = product_clicks.top_products(clicks, cities, products, "2016-05-05")
     assert top.columns == product_clicks.COLUMNS
     assert [f.dataType.simpleString() for f in top.schema] == ["int", "string", "int", "string", "bigint", "string", "int"]

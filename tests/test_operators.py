@@ -119,6 +119,28 @@ def test_lookup_join(spark):
     assert op.lookup_join(big, small, "k").count() == 5
 
 
+def test_local_copies(spark, monkeypatch):
+    from logweir.operators import joins
+
+    df = spark.range(100).select("id", F.lit("é").alias("s"), F.array(F.lit(None).cast("int")).alias("a.b"))
+    copy = op.local_copy(df)
+    assert copy.schema.simpleString() == df.schema.simpleString() and rows(copy) == rows(df)
+    assert op.local_copy(df.limit(0)).count() == 0
+    assert op.local_copy(df.withColumn("s", F.repeat(F.lit("x"), 10_000))) is None
+    assert op.local_copy(df.select(F.parse_json(F.lit("1")).alias("v"))) is None
+    monkeypatch.setattr(joins, "LOCAL_ROWS", 99)
+    assert op.local_copy(df) is None
+    assert rows(op.broadcast_if_small(df)) == rows(df)
+
+
+def test_arrow_aggregates_make_no_call_for_a_key(spark):
+    df = spark.range(10_000).select((F.col("id") % 5000).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("v"))
+    mean = op.custom_aggregate(df, ["k"], "v", MeanAggregator(), "m")
+    plan = mean._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan and "partial_sum" in plan
+    assert mean.count() == 5000
+
+
 def test_is_small(spark):
     df = spark.range(100)
     assert op.is_small(df) and op.is_small(df.limit(0))

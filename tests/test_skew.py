@@ -82,7 +82,14 @@ def test_blocklist_splits_the_hot_key(spark, clicks):
     assert len(rows) == sum(1 for i in range(ROWS) if i % 3 == 0 or i % 1000 + 1 >= 500)
 
 
-def test_partitioned_write_splits_the_hot_folder(spark, clicks, tmp_path):
+def test_small_writes_use_all_cores(spark, clicks, tmp_path):
+    sinks.write_partitioned(clicks.withColumn("k", F.least("k", F.lit(200))), str(tmp_path / "t"), "k")
+    files = [p for p in (tmp_path / "t").glob("k=*/*.parquet")]
+    assert len(files) == 201 and len({p.name.split("-")[1] for p in files}) == spark.sparkContext.defaultParallelism
+
+
+def test_partitioned_write_splits_the_hot_folder(spark, clicks, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks.files, "SMALL_BYTES", 0)
     with settings(spark, **SMALL_PARTS):
         sinks.write_partitioned(clicks.withColumn("k", F.least("k", F.lit(9))), str(tmp_path / "t"), "k")
     files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("k=*")}
