@@ -18,7 +18,7 @@ from logweir.plans import cdn
 from logweir.queries import QUERIES
 from logweir.queries.derived import cents
 from logweir.queries.registry import Tables
-from logweir.session import build_session
+from logweir.session import build_session, release
 
 HEADLINE = [
     "job_area_product_top3",
@@ -133,6 +133,7 @@ def main() -> None:
     for name in HEADLINE:
         times[name] = seconds(lambda: QUERIES[name](spark, folder), 1 if name in ONCE else RUNS)
         print(name, times[name], file=sys.stderr, flush=True)
+        release(spark)
     line = {
         "metric": "headline_queries_total",
         "value": round(sum(times.values()), 3),

@@ -14,18 +14,29 @@ def ranked(df: DataFrame, order: Sequence[Column | str], limit: int | None = Non
 
 
 def top_n(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, rank_col: str = "rank", splits: int | None = None
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[Column],
+    n: int,
+    rank_col: str = "rank",
+    splits: int | None = None,
+    falling: str | None = None,
 ) -> DataFrame:
     """First ``n`` rows of each group with their position.
 
     Spark keeps ``n`` rows per group in every task before the shuffle, for ``n`` within its
-    ``spark.sql.optimizer.windowGroupLimitThreshold``. Beyond that each group is first cut to
-    ``n`` rows in each of ``splits`` parts, eight for each core unless given, so that no task sorts a
-    whole hot group. Parts are dealt by position, which also splits equal rows. Add a tie-break to
-    ``order`` for repeatable results.
+    ``spark.sql.optimizer.windowGroupLimitThreshold``. Beyond that, and if ``order`` starts with the numeric column
+    ``falling`` from the largest to the least, rows below a cutoff of each group are dropped before the shuffle, see
+    ``pruned_top_n``. Any other order cuts each group to ``n`` rows in each of ``splits`` parts first, eight for each
+    core unless given, so that no task sorts a whole hot group. Parts are dealt by position, which also splits equal rows.
+    Add a tie-break to ``order`` for repeatable results.
     """
     if splits is None:
         threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+        if n > threshold and falling is not None:
+            from logweir.operators.sketches import pruned_top_n  # it falls back on this function
+
+            return pruned_top_n(df, by, falling, n, order[1:], rank_col)
         splits = 1 if n <= threshold else 8 * df.sparkSession.sparkContext.defaultParallelism
     if splits > 1:
         parted = df.withColumn("_part", F.monotonically_increasing_id() % splits)

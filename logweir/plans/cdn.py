@@ -28,7 +28,7 @@ def resource_totals(clicks: DataFrame, mode: str = "spec") -> DataFrame:
 
 def top_resources(totals: DataFrame, measure: str, n: int = 10) -> DataFrame:
     """The ``n`` resources of each domain with most ``hits`` or ``traffic``, by name among equals."""
-    ranked = top_n(totals, ["domain"], [F.desc(measure), F.asc("resource")], n)
+    ranked = top_n(totals, ["domain"], [F.desc(measure), F.asc("resource")], n, falling=measure)
     return ranked.select("domain", "resource", "hits", "traffic", "rank")
 
 
@@ -41,7 +41,7 @@ def hourly_traffic(clicks: DataFrame) -> DataFrame:
 def top_urls(clicks: DataFrame, day: str, n: int = 10) -> DataFrame:
     """The ``n`` most frequent URLs of each domain, by URL among equals, marked with the day."""
     visits = count_by(clicks, "domain", "url", out="num")
-    best = top_n(visits, ["domain"], [F.desc("num"), F.asc("url")], n)
+    best = top_n(visits, ["domain"], [F.desc("num"), F.asc("url")], n, falling="num")
     return best.withColumn("day", F.lit(day))
 
 

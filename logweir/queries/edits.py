@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, functions as F
 
 from logweir.operators import PartTable, append_rows, delete_where, swap_snapshot, update_where, upsert
 from logweir.queries.registry import Tables, query
+from logweir.session import scratch_table
 
 
 @query(
@@ -85,7 +84,7 @@ def append_rows_names(t: Tables) -> DataFrame:
 
 @query("SELECT s_suppkey, s_name FROM supplier WHERE NOT s_acctbal < 0")
 def snapshot_swap(t: Tables) -> DataFrame:
-    table = f"supplier_{uuid.uuid4().hex}"
+    table = scratch_table("supplier")
     t.supplier.write.option("path", t.scratch("snapshot")).saveAsTable(table)
     swap_snapshot(delete_where(t.spark.table(table), F.col("s_acctbal") < 0), table, t.scratch("snapshot"))
     return t.spark.table(table).select("s_suppkey", "s_name")

@@ -461,7 +461,7 @@ def topn_per_group(t: Tables) -> DataFrame:
 def topn_beyond_limit(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderstatus", "o_orderkey", "o_totalprice")
     order = [F.desc("o_totalprice"), F.asc("o_orderkey")]
-    return top_n(orders, ["o_orderstatus"], order, 2000).drop("o_totalprice")
+    return top_n(orders, ["o_orderstatus"], order, 2000, falling="o_totalprice").drop("o_totalprice")
 
 
 _PRIORITY_CUSTOMERS = """

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -42,14 +41,11 @@ from logweir.sources import (
     sql_on_path,
     write_employer_text,
 )
+from logweir.session import scratch_table
 from logweir.sources.employer_text import employer_schema
 from logweir.sources.generated import words_for
 
 
-def _name(label: str) -> str:
-    return f"{label}_{uuid.uuid4().hex}"
-
-
 @query("SELECT * FROM nation")
 def scan_parquet(t: Tables) -> DataFrame:
     return t.spark.read.load(t.path("nation"))
@@ -270,7 +266,7 @@ def partitioned_roundtrip(t: Tables) -> DataFrame:
 @query("SELECT c_custkey, c_name, o_orderkey FROM customer JOIN orders ON c_custkey = o_custkey")
 def bucketed_roundtrip(t: Tables) -> DataFrame:
     # Both sides in the same buckets: the join reads them without a shuffle.
-    customers, orders = _name("customer_buckets"), _name("order_buckets")
+    customers, orders = scratch_table("customer_buckets"), scratch_table("order_buckets")
     for df, table, key in ((t.customer, customers, "c_custkey"), (t.orders, orders, "o_custkey")):
         save_bucketed(df, table, 42, [key], sort=[key], path=t.scratch("buckets"), gather=True)
     joined = join_on(t.spark.table(customers), t.spark.table(orders), [("c_custkey", "o_custkey")], strategy="merge")
@@ -279,7 +275,7 @@ def bucketed_roundtrip(t: Tables) -> DataFrame:
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def part_bucket_roundtrip(t: Tables) -> DataFrame:
-    table = _name("order_parts")
+    table = scratch_table("order_parts")
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
     save_bucketed(orders, table, 8, ["o_custkey"], partition_by=["o_orderstatus"], path=t.scratch("part-buckets"))
     return t.spark.table(table)
@@ -287,14 +283,14 @@ def part_bucket_roundtrip(t: Tables) -> DataFrame:
 
 @query("SELECT c_custkey AS id, c_name FROM customer")
 def catalog_table_scan(t: Tables) -> DataFrame:
-    table = _name("customer_table")
+    table = scratch_table("customer_table")
     t.customer.write.option("path", t.scratch("table")).saveAsTable(table)
     return t.spark.sql(f"SELECT c_custkey AS id, c_name FROM {table}")
 
 
 @query("SELECT r_regionkey, r_name FROM region")
 def table_rename_roundtrip(t: Tables) -> DataFrame:
-    old, new = _name("region_old"), _name("region_new")
+    old, new = scratch_table("region_old"), scratch_table("region_new")
     create_table(t.spark, old, "r_regionkey INT, r_name STRING", t.scratch("created"), hash_by="r_name")
     t.region.select("r_regionkey", "r_name").write.insertInto(old)
     rename_table(t.spark, old, new)

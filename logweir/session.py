@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Names given out by this process and not released yet.
+_FOLDERS: list[str] = []
+_TABLES: list[str] = []
+
 
 def build_session(app: str = "logweir", master: str | None = None, **conf: str) -> SparkSession:
     """Session with UTC times and adaptive execution; ``conf`` keys use ``__`` for dots."""
@@ -36,8 +42,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="logweir-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _FOLDERS.append(path)
+    return path
+
+
+def scratch_table(label: str) -> str:
+    """A fresh table name."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    _TABLES.append(name)
+    return name
+
+
+def release(spark: SparkSession) -> None:
+    """Drop the tables and delete the folders that this process named so far: no result that reads them may be in use."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _FOLDERS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+        path.getFileSystem(hadoop).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

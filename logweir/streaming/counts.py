@@ -7,7 +7,8 @@ from typing import Any
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import IntegralType
 
@@ -58,13 +59,31 @@ def stateful(
 
 
 def seeded_counts(stream: DataFrame, seed: DataFrame, key: str, out: str, checkpoint: str, count: str = "count") -> str:
-    """Running counts that start from the counts in ``seed``; every key is in each batch of ``out``."""
-    start = seed.select(key, F.col(count).cast("bigint").alias("count"))
+    """Running counts that start from the counts in ``seed``; every key is in each batch of ``out``.
 
-    def add_seed(batch: DataFrame, batch_id: int) -> DataFrame:
-        return batch.unionByName(start).groupBy(key).agg(F.sum("count").alias("count"))
-
-    return run_available(running_counts(stream, key), out, checkpoint, "complete", add_seed)
+    The seed is written beside the checkpoint when the stream first starts, and read by its first batch only: from
+    then on its counts are state like all others. A later start takes no notice of ``seed``.
+    """
+    spark, path = stream.sparkSession, f"{checkpoint.rstrip('/')}-seed"
+    start = seed.select(key, F.col(count).cast("bigint").alias("n"))
+    if not _started(spark, checkpoint):
+        start.write.mode("overwrite").parquet(path)
+    seeds = spark.readStream.schema(start.schema).parquet(path)
+    # Once the seed is read, Spark plans without it; keys that it may have NULL must stay nullable then.
+    keys = stream.select(F.explode_outer(F.array(key)).alias(key), F.lit(1).cast("bigint").alias("n"))
+    counted = keys.unionByName(seeds)
+    return run_available(counted.groupBy(key).agg(F.sum("n").alias("count")), out, checkpoint, "complete")
+
+
+def _started(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether a stream with this checkpoint has planned a batch."""
+    try:
+        spark.read.text(f"{checkpoint.rstrip('/')}/offsets")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def sliding_counts(

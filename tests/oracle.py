@@ -10,6 +10,7 @@ import duckdb
 from pyspark.sql import DataFrame, SparkSession
 
 from logweir.queries import ORACLES, QUERIES
+from logweir.session import release
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -57,6 +58,7 @@ def main(folder: str, names: list[str]) -> int:
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:600]}"
             count = ""
+        release(spark)
         bad += problem is not None
         print(f"{'FAIL' if problem else 'ok'} {name} {time.monotonic() - start:.2f}s {count}{problem or ''}", flush=True)
     print("failed:", bad)

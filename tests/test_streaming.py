@@ -133,6 +133,17 @@ def test_seeded_counts(feed):
     assert feed.by_batch(results) == {0: {"hello": 2, "world": 1, "a": 1}, 1: {"hello": 2, "world": 1, "a": 2}}
 
 
+def test_the_seed_is_read_once(feed):
+    feed.put("a")
+    seed = feed.spark.createDataFrame([("a", 5), (None, 2)], "word string, count long")
+    st.seeded_counts(feed.words(), seed, "word", feed.out, feed.state)
+    feed.put("a b")
+    other = feed.spark.createDataFrame([("a", 700)], "word string, count long")
+    st.seeded_counts(feed.words(), other, "word", feed.out, feed.state)
+    results = st.batch_results(feed.spark, feed.out, "word string, count long")
+    assert feed.by_batch(results) == {0: {"a": 6, None: 2}, 1: {"a": 7, None: 2, "b": 1}}
+
+
 def test_per_batch_sql(feed):
     feed.put("a b a")
     feed.put("b")
