@@ -16,27 +16,34 @@ def _round(edges: DataFrame) -> DataFrame:
     both = _both(edges)
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
     large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    large = large.where(F.col("a") != F.col("b")).distinct()
+    large = large.where(F.col("a") != F.col("b"))  # repeats go with the last distinct
     least = large.groupBy("a").agg(F.min("b").alias("m"))
     small = large.join(least, "a")
     tied = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
     return tied.where(F.col("a") != F.col("b")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """``edges`` cut, with a mark that two equal tables share."""
+    edges = cut(edges, "edges")
+    return edges, tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
+def components(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``(node, component)`` for every node of ``edges (a, b)``; the component is its smallest node.
 
-    The edges are rewritten round by round until each node points at its smallest reachable node; a long chain
+    ``known (node, component)`` are the components of earlier edges, which then needn't be given again. The edges are
+    rewritten round by round until each node points at its smallest reachable node; a long chain
     takes a number of rounds in the logarithm of its length. Null ends, loops and repeated edges change nothing.
     No edges give no rows.
     """
     a, b = F.col("a"), F.col("b")
-    edges = cut(edges.where(a != b).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    if known is not None:
+        edges = edges.select("a", "b").union(known.select("node", "component"))
+    edges, now = _written(edges.where(a != b).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     mark = None
-    while True:
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == mark or now[0] == 0:
-            break
-        mark, edges = now, cut(_round(edges), "edges")
+    while now != mark and now[0]:
+        mark = now
+        edges, now = _written(_round(edges))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

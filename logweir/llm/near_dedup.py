@@ -177,8 +177,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
             fresh = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
             more = cut(confirmed(fresh, texts, size, percent), "links")
             if not more.isEmpty():
-                links, tried = links.union(more), tried.union(fresh)
-                tied = cut(components(links), "tied")
+                tried = tried.union(fresh)
+                tied = cut(components(more, tied), "tied")
                 unsure = unsure.join(tied, F.col("doc_id") == F.col("node"), "left").withColumn("c", F.coalesce("component", "doc_id")).drop("node", "component")
     return (
         member.join(tied, F.col("rep") == F.col("node"), "left")
