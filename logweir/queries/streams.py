@@ -272,13 +272,14 @@ def stream_growing_committed(t: Tables) -> DataFrame:
     return both.agg(F.bool_and(F.coalesce(F.col("told") == F.col("length"), F.lit(False))).alias("complete"), F.count("*").alias("files"))
 
 
-def _arriving_in_time(t: Tables, start: Callable[[DataFrame], object], behind: str = "0 seconds") -> None:
-    """The events come in ``PARTS`` parts by time, then one without type that is ``behind`` later than all."""
+def _arriving_in_time(t: Tables, start: Callable[[DataFrame], object], behind: str | None = None) -> None:
+    """The events come in ``PARTS`` parts by time, then, if asked for, one without type that is ``behind`` later than all."""
     source = t.scratch("arriving")
     first, last = t.events.agg(F.min("ts"), F.max("ts")).first()
     parts = [t.events.where((F.col("ts") >= first + k * (last - first) / PARTS) & ((F.col("ts") < first + (k + 1) * (last - first) / PARTS) | F.lit(k == PARTS - 1))) for k in range(PARTS)]
-    end = F.lit(last) + F.expr(f"INTERVAL {behind}")
-    parts.append(t.spark.range(1).select(*((end if f.name == "ts" else F.lit(None)).cast(f.dataType).alias(f.name) for f in t.events.schema)))
+    if behind:
+        end = F.lit(last) + F.expr(f"INTERVAL {behind}")
+        parts.append(t.spark.range(1).select(*((end if f.name == "ts" else F.lit(None)).cast(f.dataType).alias(f.name) for f in t.events.schema)))
     for part in parts:
         part.write.mode("append").parquet(source)
         start(stream_files(t.spark, source, t.events.schema))
@@ -308,8 +309,8 @@ def stream_idle_totals(t: Tables) -> DataFrame:
     seed = materialise(seed, "seed")
 
     def run(events: DataFrame) -> None:
-        known = events.where(F.col("event_type").isNotNull()).withColumn("cents", cents("value"))
-        run_available(idle_totals(known, "user_id", "ts", "cents", idle, "1 hour", seed), out, state)
+        timed = events.withColumn("cents", cents("value"))
+        run_available(idle_totals(timed, "user_id", "ts", "cents", idle, "1 hour", seed), out, state)
 
     with rocksdb(t.spark):
         _arriving_in_time(t, run)
