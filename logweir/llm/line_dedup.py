@@ -1,7 +1,8 @@
 """Near-duplicate lines by a deletion-neighbourhood join.
 
-Lines of ``min_words`` words or more are compared by words; the edit bound is one word put in, left out or replaced.
-Each distinct line emits hashed keys of itself with one word left out, once with and once without the place of that
+Lines are compared by words. Of any length, a line equal to an earlier one goes. The edit bound is one word put in, left
+out or replaced, and holds for two lines of which the longer has ``min_words`` words or more: in a shorter one a word is
+too large a part. Each distinct line of such a length emits hashed keys of itself with one word left out, once with and once without the place of that
 word. Two lines that share such a key with its place differ by one replaced word there; a line whose whole equals
 another's key has one word less. So the members of a bucket are all within the bound of its earliest, or of the one
 whole line, and each is joined to that one only. The edit distance is then verified on the words.
@@ -56,35 +57,35 @@ class Lines:
 
 
 def _scan(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    """Every line long enough, with two hashes of the whole and the keys of its thirds."""
+    """Every line with a word, with two hashes of the whole and, if it can have neighbours, the keys of its thirds."""
     for whole in batches:
         for batch in slices(whole, "text"):
             lines = Lines(batch.column("text"))
-            ok = np.flatnonzero(lines.n >= min_words)
-            first, last, n = lines.first[ok], lines.last[ok], lines.n[ok]
+            first, last, n = lines.first, lines.last, lines.n
             h = lines.skip(first, last, last, last)
-            g = mix(h ^ lines.rolling.hash(first, last - 1)) + lines.words.hash[last - 1] if len(ok) else h
-            keys = np.zeros((len(ok), 2 * BLOCKS), U)
+            g = mix(h ^ lines.rolling.hash(first, last - 1)) + lines.words.hash[last - 1] if len(n) else h
+            keys = np.zeros((len(n), 2 * BLOCKS), U)
             for shorter in (0, 1):
                 c = n - shorter
                 for b in range(BLOCKS):
                     begin, end = c * b // BLOCKS, c * (b + 1) // BLOCKS
                     left = lines.skip(first, first + begin, last - (c - end), last)
                     keys[:, shorter * BLOCKS + b] = mix(left + (c * BLOCKS + b).astype(U) * U(0xA0761D6478BD642F))
-            count = np.where(n - 1 >= min_words, 2 * BLOCKS, BLOCKS)
+            # A line one word short of the least length only meets longer ones.
+            count = np.where(n >= min_words, 2 * BLOCKS, np.where(n + 1 >= min_words, BLOCKS, 0))
             used = np.arange(2 * BLOCKS) < count[:, None]
             offsets = np.append(0, np.cumsum(count)).astype(np.int32)
             ids = batch.column("doc_id").to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids[lines.row[ok]]), pa.array(lines.number[ok]), pa.array(n), pa.array(h.view(np.int64)), pa.array(g.view(np.int64)),
+                    pa.array(ids[lines.row]), pa.array(lines.number), pa.array(n), pa.array(h.view(np.int64)), pa.array(g.view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[used].view(np.int64))),
                 ],
                 ["doc_id", "line", "n", "h", "g", "keys"],
             )
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _neighbours(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     """The deletion neighbourhood of the chosen lines inside their chosen parts, the whole lines, and their words."""
     for whole in batches:
         for batch in slices(whole, "text", 300_000):
@@ -94,6 +95,9 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = np.repeat(np.arange(len(batch)), np.diff(lists.offsets.to_numpy()))
             own = np.searchsorted(lines.row * (1 << 40) + lines.number, row * (1 << 40) + mark // PARTS)
             shorter, block = mark % PARTS // BLOCKS, mark % BLOCKS
+            once = np.unique(own)
+            emits = lines.n[own] >= min_words
+            own, shorter, block = own[emits], shorter[emits], block[emits]
             c = lines.n[own] - shorter
             begin, end = c * block // BLOCKS, c * (block + 1) // BLOCKS + shorter
             each = np.repeat(np.arange(len(own)), end - begin)
@@ -102,7 +106,6 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left = lines.skip(first, first + at, first + at + 1, last)
             swap = shorter[each] == 0
             key = np.where(swap, mix(left + (at + 1).astype(U) * U(0xE7037ED1A0B428DB)), left)
-            once = np.unique(own)
             full = lines.skip(lines.first[once], lines.last[once], lines.last[once], lines.last[once])
             w = lines.words
             texts = [b" ".join(w.bytes[w.start[k] : w.end[k]].tobytes() for k in range(lines.first[i], lines.last[i])).decode("utf-8", "replace") for i in once]
@@ -148,7 +151,7 @@ def removed_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
     marks = thirds.select("key", "doc_id", (F.col("line") * PARTS + F.col("part")).alias("mark"))
     chosen = marks.join(shared, "key", "left_semi").groupBy("doc_id").agg(F.collect_set("mark").alias("marks"))
     texts = packed(docs).join(chosen, "doc_id").select("doc_id", "body_", "marks")
-    near = cut(texts.mapInArrow(lambda batches: _neighbours(unpack(batches)), _KEYS), "neighbours")
+    near = cut(texts.mapInArrow(lambda batches: _neighbours(unpack(batches), min_words), _KEYS), "neighbours")
     keyed = near.where(F.col("kind") != TEXT).withColumn("own", place)
     # A key with its place and one without never meet: the former is mixed with the place.
     of = lambda kind: F.min(F.when(F.col("kind") == kind, F.col("own")))
@@ -181,10 +184,10 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
     """The documents without the lines that repeat an earlier one, with ``n_lines`` and ``n_removed``.
 
-    Lines are split at ``\\n``; words are runs of other than space and ``\\t`` to ``\\r``, compared with case. A line of
-    at least ``min_words`` words goes if a line of a smaller doc_id, or an earlier line of the same document, has
-    the same words or differs by one word put in, left out or replaced, whether that line stays or not. Shorter and
-    blank lines always stay. A null text stays null and has no lines, an empty one has one. Rows with a null id are
+    Lines are split at ``\\n``; words are runs of other than space and ``\\t`` to ``\\r``, compared with case. A line goes
+    if a line of a smaller doc_id, or an earlier line of the same document, has the same words, or differs by one word
+    put in, left out or replaced where the longer of both has at least ``min_words`` words; whether that line stays or
+    not. Blank lines always stay. A null text stays null and has no lines, an empty one has one. Rows with a null id are
     left out. Rows of equal id and text are one document that gives as many rows. All columns are kept; those named
     ``n_lines`` or ``n_removed`` are replaced. An empty table gives no rows.
     """

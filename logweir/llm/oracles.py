@@ -10,9 +10,9 @@ WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
   FROM documents WHERE text IS NOT NULL),
 e AS (SELECT doc_id, i, ws, md5(array_to_string(ws, ' ')) AS f
-      FROM (SELECT doc_id, i, regexp_extract_all(line, {_WORD}) AS ws FROM lines) WHERE len(ws) >= 8),
+      FROM (SELECT doc_id, i, regexp_extract_all(line, {_WORD}) AS ws FROM lines) WHERE len(ws) >= 1),
 v AS (SELECT doc_id, i, k, md5(array_to_string(ws[1:k-1] || ws[k+1:], ' ')) AS v
-      FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS k FROM e)),
+      FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS k FROM e WHERE len(ws) >= 8)),
 gone AS (
   SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY f ORDER BY doc_id, i) AS r FROM e) WHERE r > 1
   UNION SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k, v ORDER BY doc_id, i) AS r FROM v) WHERE r > 1

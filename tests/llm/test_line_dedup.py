@@ -7,8 +7,12 @@ from logweir.llm.line_dedup import dedup_lines, within_one
 from tests.llm.rows import ODD, clashing, corpus, documents
 
 
-def near(a, b):
-    if a == b or len(a) == len(b) and sum(x != y for x, y in zip(a, b)) == 1:
+def near(a, b, least):
+    if a == b:
+        return True
+    if max(len(a), len(b)) < least:
+        return False
+    if len(a) == len(b) and sum(x != y for x, y in zip(a, b)) == 1:
         return True
     a, b = sorted((a, b), key=len)
     return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
@@ -20,8 +24,8 @@ def brute(rows, least=8):
         for d, text in sorted({r[:2] for r in rows if r[0] is not None}, key=lambda r: r[0])
         for i, line in enumerate((text or "").split("\n"))
     ]
-    lines = [x for x in lines if len(x[2]) >= least]
-    return {(d, i) for k, (d, i, w) in enumerate(lines) if any(near(w, x[2]) for x in lines[:k])}
+    lines = [x for x in lines if x[2]]
+    return {(d, i) for k, (d, i, w) in enumerate(lines) if any(near(w, x[2], least) for x in lines[:k])}
 
 
 def texts(rows, gone):
@@ -52,6 +56,15 @@ def test_each_edit(spark):
     assert got == texts(rows, brute(rows))
 
 
+def test_short_lines(spark):
+    """Equal lines of any length go; one word of difference counts from eight words of the longer line on."""
+    rows = [(1, "one\n\ntwo words\na b c d e f g", "", "", 0), (2, " one \n\nTwo words\ntwo  words\na b c x e f g", "", "", 0)]
+    rows += [(3, "a b c d new e f g\none more", "", "", 0), (4, "p q r s t u v w\nmore", "", "", 0), (5, "p q r s t u v\nmore\na b c x e f", "", "", 0)]
+    got = {r.doc_id: (r.text, r.n_removed) for r in dedup_lines(documents(spark, rows)).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("\nTwo words\na b c x e f g", 2), 3: ("one more", 1), 4: (rows[3][1], 0), 5: ("a b c x e f", 2)}
+    assert {d: t for d, (t, _) in got.items()} == texts(rows, brute(rows))
+
+
 def test_keeps_columns_and_takes_clashes(spark):
     rows = [(2, "a b c d e f g h\nx", "en", "s", 4), (1, "a b c d e f g h", "de", "t", 5), (2, "a b c d e f g h\nx", "en", "s", 4)]
     df = clashing(documents(spark, rows), "line", "key", "n_lines", "kind", "n")
