@@ -7,7 +7,8 @@ document and an item with the same distance belong to one occurrence. It counts
 together span 13 tokens), or all of a shorter item, and if its slots are consistent: an item's value always meets the
 same document value. So a re-parameterised question is found and a chance meeting of placeholders isn't.
 Windows with more placeholders than plain tokens meet by the tokens themselves: tables of figures and lists of names
-are found where they are copied verbatim.
+are found where they are copied verbatim. An item of fewer than ``WINDOW`` tokens is one window of its own length: by its
+tokens it is found anywhere, by its template in a document that is nothing else.
 
 Before the join, document windows are held against a bitmap of fixed size that holds the items' hashes. It only
 spares rows: as the benchmark grows it lets more through, and the join decides.
@@ -139,12 +140,12 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 )
 
 
-def _doc_windows(batches: Iterator[pa.RecordBatch], sizes: list[int], bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _doc_windows(batches: Iterator[pa.RecordBatch], sizes: list[int], bitmap: np.ndarray, inside: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
             tokens = template(batch.column("text"))
             for w, (row, at, hashed, first, size, template_) in zip(sizes, windows(tokens, len(batch), sizes)):
-                hit = bitmap[(hashed & U((1 << BITS) - 1)).astype(np.int64)] & ((size == w) | (w == WINDOW))
+                hit = bitmap[(hashed & U((1 << BITS) - 1)).astype(np.int64)] & ((size == w) | (w == WINDOW) | ~template_ & (w >= inside))
                 if hit.any():
                     yield pa.RecordBatch.from_arrays(
                         [batch.column("doc_id").take(pa.array(row[hit])), pa.array(at[hit]), pa.array(hashed[hit].view(np.int64)), _slots(tokens, first[hit], w, template_[hit])],
@@ -152,12 +153,13 @@ def _doc_windows(batches: Iterator[pa.RecordBatch], sizes: list[int], bitmap: np
                     )
 
 
-def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, inside: int = 3) -> DataFrame:
     """``doc_id, item_id, n_windows, item_windows, verbatim`` for each document and each benchmark item found in it.
 
     ``n_windows`` counts the item's windows in the best occurrence, of ``item_windows``; ``verbatim`` says that all
-    its slots hold the item's own values. An item of fewer than ``WINDOW`` tokens is found only in a document that is
-    nothing else, since such a phrase turns up anywhere. Null, empty and wordless texts match nothing; items of placeholders
+    its slots hold the item's own values. An item of fewer than ``WINDOW`` tokens is found inside a document where all of
+    its tokens stand in order, and with other values only in a document that is nothing else. One of fewer than
+    ``inside`` tokens needs such a document in both cases, since a word or two turn up anywhere. Null, empty and wordless texts match nothing; items of placeholders
     only match verbatim. Rows with a null id are left out; repeated documents and repeated items give a pair once. Other columns
     aren't read. An empty side gives no rows.
     """
@@ -170,7 +172,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     bitmap = np.zeros(1 << BITS, bool)
     bitmap[marks] = True
     found = texts.mapInArrow(
-        lambda batches: _doc_windows(batches, sizes, bitmap), "doc_id long, at long, hash long, doc_slots array<long>"
+        lambda batches: _doc_windows(batches, sizes, bitmap, inside), "doc_id long, at long, hash long, doc_slots array<long>"
     )
     like = F.countDistinct(F.when(F.col("template"), F.col("i")))
     totals = wanted.groupBy("item_id").agg(F.countDistinct("i").alias("item_windows"), like.alias("item_like"))

@@ -1,6 +1,7 @@
 """Benchmark passages, verbatim and with other values, against windows compared one by one."""
 
 import random
+import re
 
 from logweir.llm.decontaminate import leaks
 
@@ -58,9 +59,46 @@ def test_partial_passage(spark):
     assert set(found(spark, [doc(1, f"x {part(13)} y"), doc(2, f"x {part(12)} y")], [(1, item)])) == {(1, 1)}
 
 
-def test_short_items_need_the_whole_document(spark):
-    docs = [doc(1, "short lamp here"), doc(2, "a short lamp here"), doc(3, "7 8 9")]
-    assert set(found(spark, docs, [(1, "Short lamp here."), (2, "1 2 3"), (3, "")])) == {(1, 1)}
+def test_short_items(spark):
+    """Verbatim anywhere, with other values only as a whole document; a word or two never inside another text."""
+    items = [(1, "Short lamp here."), (2, "1 2 3"), (3, ""), (4, "Who painted the ceiling of chapel?"), (5, "so what"), (6, "It has 5 km")]
+    docs = [doc(1, "short lamp here"), doc(2, "a short lamp, here"), doc(3, "7 8 9"), doc(4, "He asked: who painted the ceiling of Chapel? Nobody knew."), doc(5, "and so what of it")]
+    docs += [doc(6, "So what?"), doc(7, "it has 7 miles"), doc(8, "Now it has 7 miles"), doc(9, "a short here lamp"), doc(10, "see 1 2 3 go")]
+    assert found(spark, docs, items) == {(1, 1): True, (2, 1): True, (4, 4): True, (6, 5): True, (7, 6): False, (10, 2): True}
+
+
+def brute(docs, items):
+    """Verbatim leaks by comparing every window of every document with every item's windows, token by token."""
+    tokens = lambda t: [w for w in (re.sub(r"^[^0-9A-Za-z\x80-\U0010ffff]+|[^0-9A-Za-z\x80-\U0010ffff]+$", "", x) for x in (t or "").lower().split()) if w]
+    out = set()
+    for i, item in items:
+        b = tokens(item)
+        w = min(8, len(b))
+        for d, text, *_ in docs:
+            a = tokens(text)
+            for shift in range(-len(b), len(a)) if w >= 3 or len(a) == w > 0 else ():
+                met = sum(0 <= shift + k and shift + k + w <= len(a) and a[shift + k : shift + k + w] == b[k : k + w] for k in range(len(b) - w + 1))
+                if w and met >= min(6, len(b) - w + 1):
+                    out.add((d, i))
+    return out
+
+
+def test_against_all_windows(spark):
+    """Passages of any length of any item, planted in texts: just those that the comparison of all windows finds."""
+    rng = random.Random(8)
+    items = [(i, sentence(rng, rng.choice([1, 2, 3, 5, 7, 8, 9, 14, 30]))) for i in range(40)]
+    docs = []
+    for d, text, *_ in corpus(21, 60):
+        words = text.split(" ")
+        for _ in range(rng.randrange(3)):
+            part = rng.choice(items)[1].split(" ")
+            a = rng.randrange(len(part))
+            k = rng.randrange(len(words) + 1)
+            words[k:k] = part if rng.random() < 0.5 else part[a : a + rng.choice([7, 12, 13, 20])]
+        docs.append(doc(d, " ".join(words)))
+    docs += [doc(1000 + i, item) for i, item in items[:9]]
+    want = brute(docs, items)
+    assert set(found(spark, docs, items)) == want and len(want) > 20
 
 
 def test_dense_passages_verbatim(spark):
