@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from logweir.llm.scan import U, Rolling, Words, mix, slices, unpack
-from logweir.llm.tables import cut, packed
+from logweir.llm.tables import aside, cut, packed, put_back
 
 BLOCKS = 3
 PARTS = 2 * BLOCKS
@@ -191,9 +191,10 @@ def dedup_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
     left out. Rows of equal id and text are one document that gives as many rows. All columns are kept; those named
     ``n_lines`` or ``n_removed`` are replaced. An empty table gives no rows.
     """
-    docs = docs.drop("n_lines", "n_removed", "gone_", "body_").where("doc_id IS NOT NULL")
+    docs, moved = aside(docs.drop("n_lines", "n_removed").where("doc_id IS NOT NULL"), "gone_", "body_")
     docs = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
     gone = removed_lines(docs.select("doc_id", "text"), min_words).groupBy("doc_id").agg(F.collect_list("line").alias("gone_"))
     kept = StructType([*docs.schema.fields, StructField("n_lines", LongType()), StructField("n_removed", LongType())])
     joined = packed(docs).join(gone, "doc_id", "left").select(*(c if c != "text" else "body_" for c in docs.columns), "gone_")
-    return joined.mapInArrow(lambda batches: _rebuild(unpack(batches)), kept)
+    rebuilt = joined.mapInArrow(lambda batches: _rebuild(unpack(batches)), kept)
+    return put_back(rebuilt, moved, [*(moved.get(c, c) for c in docs.columns), "n_lines", "n_removed"])

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from logweir.llm.scan import Rolling, Words, slices
-from logweir.llm.tables import cut
+from logweir.llm.tables import aside, cut, put_back
 
 DECAY = 0.6
 LETTERS = 155  # 0 a sign, 1-26 the letters, 27-154 the bytes of other letters
@@ -336,15 +336,17 @@ def _probability(model: Model, largest: str, above: str) -> Column:
 
 def without_toxic(docs: DataFrame, labels: DataFrame, folds: int = 5, max_rows: int = 2000) -> DataFrame:
     """The documents with all their columns, without those that ``toxicity`` predicts toxic. Row order is kept."""
-    docs = docs.drop("largest_", "above_").withColumn("text", F.col("text").cast("string"))
+    named = docs.columns
+    docs, moved = aside(docs, "largest_", "above_")
+    docs = docs.withColumn("text", F.col("text").cast("string"))
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False))
     model = train(docs.select("doc_id", "text").where(~out), labels.select("doc_id", "toxic").where(~out), max_rows)
     if not isinstance(model, Model):
-        return docs if model < 0.5 else docs.limit(0)
+        return put_back(docs if model < 0.5 else docs.limit(0), moved, named)
     schema = StructType([*docs.schema.fields, StructField("largest_", DoubleType()), StructField("above_", DoubleType())])
     columns = docs.columns
     scored = docs.mapInArrow(lambda batches: _score(batches, model, columns, ("largest_", "above_")), schema)
-    return scored.where(_probability(model, "largest_", "above_") < 0.5).select(*columns)
+    return put_back(scored.where(_probability(model, "largest_", "above_") < 0.5), moved, named)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, max_rows: int = 2000) -> DataFrame:

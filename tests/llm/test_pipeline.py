@@ -8,7 +8,7 @@ from logweir.llm.scan import unpack
 from logweir.llm.tables import packed
 from pyspark.sql import functions as F
 
-from tests.llm.rows import ODD, documents
+from tests.llm.rows import ODD, clashing, corpus, documents
 from tests.oracle import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
@@ -41,6 +41,17 @@ def test_stages_take_odd_and_empty_tables(spark):
         assert docs.where("n_words > 64").count() == 0
 
 
+def test_stages_keep_clashing_columns(spark):
+    names = ["body_", "gone_", "largest_", "Above_", "n_lines", "n_removed", "n_words", "kept", "hash", "key", "aside_0", "toxic"]
+    docs = clashing(documents(spark, [*corpus(31, 30), *ODD]), *names)
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.cut(stage(spark, docs, FOLDER), name)
+        assert docs.columns == columns
+        assert docs.select(*names).distinct().collect() == [(7,) * len(names)]
+    assert corpus_pipeline.mixing(spark, docs, FOLDER).count() > 0
+
+
 def test_line_dedup_stage_drops_what_it_empties(spark):
     line = "one two three four five six seven eight nine"
     rows = [(1, line, "", "", 1), (2, f"{line}\n ", "", "", 1), (3, f"{line}\nmore", "", "", 1), (4, "", "", "", 0), (5, None, "", "", None)]
