@@ -45,12 +45,11 @@ TOP_K = rf"""
 WITH t AS (SELECT doc_id, w, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all({_FOLD}, {_WORD})) AS w FROM documents) GROUP BY ALL),
 d AS (SELECT doc_id, sum(tf) AS dl FROM t GROUP BY doc_id),
 g AS (SELECT (SELECT count(*) FROM documents) AS n, greatest(1.0, (SELECT sum(dl) FROM d)::DOUBLE / (SELECT count(*) FROM documents)) AS av),
-f AS (SELECT w, count(*) AS df FROM t GROUP BY w HAVING count(*) > 1),
+f AS (SELECT w, count(*) AS df FROM t GROUP BY w),
 p AS (SELECT doc_id, w, ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE
                / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl::DOUBLE / av)) AS s
       FROM t JOIN f USING (w) JOIN d USING (doc_id), g),
-q AS (SELECT doc_id AS query_id, w FROM (
-        SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY round(s, 9) DESC, w) AS r FROM p WHERE doc_id % 50 = 0) WHERE r <= 16),
+q AS (SELECT doc_id AS query_id, w FROM t WHERE doc_id % 50 = 0),
 h AS (SELECT query_id, doc_id, round(sum(s ORDER BY w), 6) AS score FROM q JOIN p USING (w) GROUP BY ALL)
 SELECT query_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS r FROM h) WHERE r <= 10

@@ -1,27 +1,31 @@
-"""Exact top-k search by BM25 over an inverted index, pruned by block-max WAND.
+"""Exact top-k search by BM25 over an inverted index, pruned by block maxima.
 
-Statistics come first: the number of documents and words, and the document frequency of every term that some query
-document holds, over all rows. A query is the ``terms`` most telling words of its whole text: those with the greatest
-BM25 weight in their own document among the words of two documents or more. Equal queries are answered once.
+A query is every word of its whole text; equal queries are answered once. Statistics come first: the number of
+documents and words, and the document frequency of every term that some query holds, over all rows. The index holds the
+postings of the queried terms, cut in shards of documents by a hash of the id.
 
-The index is cut in shards of documents by a hash of the id. A shard gets the postings of the queries' terms and the
-queries that have one of them, sorts the postings by document into blocks with the largest score of each, and runs
-block-max WAND: documents come in ascending order, so a document is scored only if the bound of its blocks
-exceeds the k-th best score so far. Scores use the global statistics, so the best k of all shards' results are exact.
+In a shard documents are numbered in order and fall into blocks; every list of postings has the greatest score of each
+block. Queries come in batches. As in block-max WAND, the sum of a query's block maxima bounds every document of a block,
+and a block is scored for a query only if that bound reaches the k-th best score so far. What differs is the order: a
+query of a whole text has lists that stand in every block, so instead of moving pointers from document to document all
+blocks are bounded at once, the most promising ones scored first and then those whose bound still reaches the k-th
+score. The longest lists are dense columns, of which blocks and batches are matrix products; the others are summed
+list by list, and their sums' own block maxima make the bound tight.
 
-Two passes over the texts skip terms by a bitmap of fixed size; it only spares rows, the joins decide.
+Shards are searched in rounds, one shard and then ``GROWTH`` times as many as before, each round starting from the k-th
+scores of the rounds before. A shard gives only documents that reach them, so the results of a query grow with the
+logarithm of the number of shards. Scores use the global statistics, so the best k of all results are exact.
+
+Passes over the texts skip terms by a bitmap of fixed size; it only spares rows, the search decides.
 """
 
 from __future__ import annotations
 
-from array import array
-from bisect import bisect_left
 from collections.abc import Iterator
-from heapq import heappush, heapreplace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from logweir.llm.scan import U, Words, slices
 from logweir.llm.tables import cut
@@ -30,28 +34,29 @@ K1, B = 1.2, 0.75
 DIGITS = 6
 BLOCK = 64
 BITS = 23
-SHARD_DOCS = 8_192
-
-
-def _counted(row: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, term, times, place of the term somewhere) of the distinct terms of each row."""
-    unique, place, dense = np.unique(term, return_index=True, return_inverse=True)
+SHARD_DOCS = 32_768
+SHARD_WORDS = 8_000_000
+DENSE = 256  # longest lists of a shard, kept as columns
+BATCH = 256  # queries scored together
+FIRST = 4  # blocks of greatest bound, scored before the others
+GROWTH = 8
+SLACK = 2 * 10**-DIGITS  # scores are rounded, equal ones rank by document
+
+
+def _counted(row: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, times) of the distinct terms of each row, in order."""
+    unique, dense = np.unique(term, return_inverse=True)
     key = np.sort(row * len(unique) + dense)
     first = np.flatnonzero(np.diff(key, prepend=-1))
-    at = key[first] % max(1, len(unique))
-    return key[first] // max(1, len(unique)), unique[at], np.diff(np.append(first, len(key))), place[at]
+    return key[first] // max(1, len(unique)), unique[key[first] % max(1, len(unique))], np.diff(np.append(first, len(key)))
 
 
 def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
             words = Words(batch.column("text"))
-            row, term, times, at = _counted(words.row, words.hash)
-            size = np.diff(words.offsets)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(row)), pa.array(term.view(np.int64)), pa.array([words.text(i) for i in at], pa.string()), pa.array(times), pa.array(size[row])],
-                ["query_id", "term", "word", "tf", "dl"],
-            )
+            row, term, _ = _counted(words.row, words.hash)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row)), pa.array(term.view(np.int64))], ["query_id", "term"])
 
 
 def _marked(term: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
@@ -67,114 +72,12 @@ def _frequencies(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Itera
             words = Words(batch.column("text"))
             docs, size = docs + len(batch), size + len(words.hash)
             keep = _marked(words.hash, bitmap)
-            _, term, _, _ = _counted(words.row[keep], words.hash[keep])
+            _, term, _ = _counted(words.row[keep], words.hash[keep])
             term, n = np.unique(term, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n), pa.nulls(len(n), pa.int64())], ["term", "df", "words"])
     yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([docs]), pa.array([size])], ["term", "df", "words"])
 
 
-def _postings(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in slices(whole, "text"):
-            words = Words(batch.column("text"))
-            keep = _marked(words.hash, bitmap)
-            row, term, times, _ = _counted(words.row[keep], words.hash[keep])
-            size = np.diff(words.offsets)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(term.view(np.int64)), batch.column("doc_id").take(pa.array(row)), pa.array(times, pa.int32()), pa.array(size[row], pa.int32())],
-                ["term", "doc_id", "tf", "dl"],
-            )
-
-
-class Postings:
-    """One term's documents in ascending order with their scores, and the last document and largest score of blocks."""
-
-    def __init__(self, docs: np.ndarray, scores: np.ndarray):
-        self.docs, self.scores = array("q", docs.tobytes()), array("d", scores.tobytes())
-        self.ends = docs[np.minimum(np.arange(0, len(docs), BLOCK) + BLOCK, len(docs)) - 1].tolist()
-        self.tops = np.maximum.reduceat(scores, np.arange(0, len(scores), BLOCK)).tolist()
-        self.top = max(self.tops)
-
-
-def block_max_wand(lists: list[Postings], k: int) -> list[tuple[float, int]]:
-    """The best ``k`` (score, document) of the sum over ``lists``: scores rounded, equal ones by smaller document."""
-    heap: list[tuple[float, int]] = []
-    # A document enters with a rounded score above the least one kept, so its bound exceeds that by half a digit;
-    # documents come in ascending order, so an equal score never enters.
-    need = 0.0
-    at = [0] * len(lists)
-    live = sorted((p.docs[0], t) for t, p in enumerate(lists))
-    while live:
-        bound = 0.0
-        for pivot, (doc, t) in enumerate(live):
-            bound += lists[t].top
-            if bound > need:
-                break
-        else:
-            break
-        while pivot + 1 < len(live) and live[pivot + 1][0] == doc:
-            pivot += 1
-        ahead, rest = live[: pivot + 1], live[pivot + 1 :]
-        bound, end = 0.0, doc if not rest else rest[0][0] - 1
-        ends = []
-        for _, t in ahead:
-            p, b = lists[t], at[t] // BLOCK
-            while b < len(p.ends) and p.ends[b] < doc:
-                b += 1
-            if b < len(p.ends):
-                bound += p.tops[b]
-                ends.append(p.ends[b])
-        if bound <= need:
-            # No document of these blocks can enter: go behind the first block that ends, or to the next list.
-            target = max(doc, min(ends + [end] if rest else ends, default=doc)) + 1
-        elif ahead[0][0] < doc:
-            target = doc
-        else:
-            target = doc + 1
-            score = round(sum(lists[t].scores[at[t]] for t in sorted(t for _, t in ahead)), DIGITS)
-            if len(heap) < k:
-                heappush(heap, (score, -doc))
-            elif score > heap[0][0]:
-                heapreplace(heap, (score, -doc))
-            if len(heap) == k:
-                need = heap[0][0] + 0.4 * 10**-DIGITS
-        for d, t in ahead:
-            if d < target:
-                docs = lists[t].docs
-                at[t] = bisect_left(docs, target, at[t] + 1)
-                if at[t] == len(docs):
-                    continue
-                d = docs[at[t]]
-            rest.append((d, t))
-        rest.sort()
-        live = rest
-    return sorted(((s, -d) for s, d in heap), key=lambda x: (-x[0], x[1]))
-
-
-def _search(postings: pa.Table, queries: pa.Table, k: int, n: int, average: float) -> pa.Table:
-    """Best documents of one shard."""
-    wanted: dict[int, list[tuple[str, int]]] = {}
-    df: dict[int, int] = {}
-    for q, word, t, d in zip(*(queries.column(c).to_pylist() for c in ("query", "word", "term", "df"))):
-        wanted.setdefault(q, []).append((word, t))
-        df[t] = d
-    term, doc, tf, dl = (postings.column(c).to_numpy() for c in ("term", "doc_id", "tf", "dl"))
-    order = np.lexsort((doc, term))
-    one = np.ones(len(term), bool)  # repeated rows of one document count once
-    one[1:] = (np.diff(term[order]) != 0) | (np.diff(doc[order]) != 0)
-    order = order[one]
-    term, doc, tf, dl = term[order], doc[order], tf[order], dl[order]
-    part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / average))
-    begin = np.flatnonzero(np.diff(term, prepend=term[0] - 1 if len(term) else 0))
-    index = {}
-    for a, b in zip(begin, np.append(begin[1:], len(term))):
-        t = int(term[a])
-        if t in df:
-            index[t] = Postings(doc[a:b], np.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * part[a:b])
-    out = [(q, d, s) for q, asked in wanted.items() for s, d in block_max_wand([index[t] for _, t in sorted(asked) if t in index], k)]
-    return pa.table({"query": pa.array([x[0] for x in out], pa.int64()), "doc_id": pa.array([x[1] for x in out], pa.int64()), "score": pa.array([x[2] for x in out], pa.float64())})
-
-
 def _bitmap(terms: DataFrame) -> np.ndarray:
     """Marks of terms, 64 in each number: at most 2**BITS bits to collect and send, however many terms there are."""
     place = F.shiftright(F.col("term").bitwiseAND((1 << BITS) - 1), 6).alias("place")
@@ -184,48 +87,193 @@ def _bitmap(terms: DataFrame) -> np.ndarray:
     return bitmap
 
 
-def _weight(n: float, average: float) -> Column:
-    """BM25 weight of a term in a document from ``df``, ``tf`` and ``dl``."""
-    idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    return idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.lit(average)))
+def _bytes(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The numbers between each two offsets as one binary value."""
+    size = values.dtype.itemsize
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * size).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
+
+
+def _numbers(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a column of binary values, and how many each has."""
+    values = [np.frombuffer(x.as_py(), kind) for x in column]
+    return np.concatenate([np.zeros(0, kind), *values]), np.array([len(x) for x in values], np.int64)
+
+
+def _index(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The marked terms of each document and their times, packed."""
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            words = Words(batch.column("text"))
+            keep = _marked(words.hash, bitmap)
+            row, term, times = _counted(words.row[keep], words.hash[keep])
+            here, first = np.unique(row, return_index=True)
+            offsets = np.append(first, len(row))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(here)), pa.array(np.diff(words.offsets)[here], pa.int64()), _bytes(term.view(np.int64), offsets), _bytes(times.astype(np.int32), offsets)],
+                ["doc_id", "dl", "terms", "times"],
+            )
 
 
-def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, terms: int = 16) -> DataFrame:
+def _batched(rows: pa.Table) -> pa.Table:
+    """The queries of one batch in a row: their distinct terms with frequencies, and the places of each one's terms."""
+    lists = rows.column("terms").combine_chunks()
+    pairs = lists.flatten()
+    term, df = pairs.field("term").to_numpy(), pairs.field("df").to_numpy()
+    known, first, place = np.unique(term, return_index=True, return_inverse=True)
+    sizes = np.diff(lists.offsets.to_numpy())
+    packed = [known, df[first], rows.column("query").to_numpy(), sizes.astype(np.int32), place.astype(np.int32)]
+    return pa.table({"batch": rows.column("batch").slice(0, 1), **{c: pa.array([x.tobytes()], pa.binary()) for c, x in zip(["terms", "dfs", "queries", "sizes", "places"], packed)}})
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after the other."""
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+
+
+class Shard:
+    """Postings of some documents by term, with block maxima."""
+
+    def __init__(self, doc: np.ndarray, dl: np.ndarray, sizes: np.ndarray, term: np.ndarray, tf: np.ndarray, average: float):
+        order = np.lexsort((dl, doc))
+        order = order[np.append(True, np.diff(doc[order]) != 0)[: len(order)]]
+        place = np.full(len(doc), -1)
+        place[order] = np.arange(len(order))
+        at = np.repeat(place, sizes)
+        keep = at >= 0
+        at, term, tf = at[keep], term[keep], tf[keep]
+        self.doc, length = doc[order], dl[order][at]
+        self.blocks = -(-len(order) // BLOCK)
+        self.terms, which = np.unique(term, return_inverse=True)
+        key = np.argsort(which * len(order) + at)
+        which, self.at = which[key], at[key]
+        self.part = (tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / average)))[key]
+        self.size = np.bincount(which, minlength=len(self.terms))
+        self.start = np.cumsum(self.size) - self.size
+        # The longest lists as columns, with their maxima by block; the others keep only their postings.
+        longest = np.argsort(-self.size, kind="stable")[:DENSE]
+        self.column = np.full(len(self.terms), -1)
+        self.column[longest] = np.arange(len(longest))
+        dense = self.column[which] >= 0
+        self.columns = np.zeros((self.blocks * BLOCK, len(longest)))
+        self.columns[self.at[dense], self.column[which[dense]]] = self.part[dense]
+        self.tops = self.columns.reshape(self.blocks, BLOCK, -1).max(1)
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, need: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(query, documents, scores) of the best ``k`` that reach ``need``; a query is its terms and their weights."""
+        weights = np.zeros((self.columns.shape[1], len(queries)))
+        rest = np.zeros((len(queries), self.blocks * BLOCK))
+        for q, (term, weight) in enumerate(queries):
+            place = np.minimum(np.searchsorted(self.terms, term), len(self.terms) - 1)
+            known = self.terms[place] == term
+            place, weight = place[known], weight[known]
+            column = self.column[place]
+            weights[column[column >= 0], q] = weight[column >= 0]
+            place, weight = place[column < 0], weight[column < 0]
+            hit = _ranges(self.start[place], self.size[place])
+            rest[q] = np.bincount(self.at[hit], self.part[hit] * np.repeat(weight, self.size[place]), self.blocks * BLOCK)
+        rest = rest.reshape(len(queries), self.blocks, BLOCK)
+        bound = (self.tops @ weights).T + rest.max(2)
+        need = need.copy()
+        best: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in queries]
+        first = np.zeros(bound.shape, bool)
+        np.put_along_axis(first, np.argpartition(-bound, min(FIRST, self.blocks) - 1, 1)[:, :FIRST], True, 1)
+        for chosen in (first, ~first):
+            for block in range(self.blocks):
+                live = np.flatnonzero(chosen[:, block] & (bound[:, block] >= need - SLACK) & (bound[:, block] > 0))
+                if len(live):
+                    here = slice(block * BLOCK, (block + 1) * BLOCK)
+                    scores = np.round(self.columns[here] @ weights[:, live] + rest[live, block].T, DIGITS)
+                    for j in np.flatnonzero(scores.max(0) >= need[live]):
+                        q = live[j]
+                        good = np.flatnonzero((scores[:, j] >= need[q]) & (scores[:, j] > 0))
+                        best[q].append((good + block * BLOCK, scores[good, j]))
+            for q, found in enumerate(best):
+                if found:
+                    at, score = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+                    top = np.lexsort((at, -score))[:k]
+                    best[q] = [(at[top], score[top])]
+                    if len(top) == k:
+                        need[q] = max(need[q], score[top[-1]])
+        return [(q, self.doc[at], score) for q, found in enumerate(best) for at, score in found]
+
+
+def _search(postings: pa.Table, batches: pa.Table, k: int, n: int, average: float) -> pa.Table:
+    """Best documents of one shard for some batches."""
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    if len(postings) and len(batches):
+        term, sizes = _numbers(postings.column("terms"), np.int64)
+        tf, _ = _numbers(postings.column("times"), np.int32)
+        shard = Shard(postings.column("doc_id").to_numpy(), postings.column("dl").to_numpy(), sizes, term, tf, average)
+        for batch in batches.select(["terms", "dfs", "queries", "sizes", "places", "needs"]).to_pylist():
+            known, df, ids = (np.frombuffer(batch[c], np.int64) for c in ("terms", "dfs", "queries"))
+            length, place = (np.frombuffer(batch[c], np.int32) for c in ("sizes", "places"))
+            idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+            cuts = np.cumsum(length)[:-1]
+            queries = [(known[x], idf[x]) for x in np.split(place, cuts)]
+            needs = {x["query"]: x["need"] for x in batch["needs"] or []}
+            for q, doc, score in shard.search(queries, k, np.array([needs.get(int(x), 0.0) for x in ids])):
+                out.append((np.full(len(doc), ids[q]), doc, score))
+    columns = [np.concatenate([np.zeros(0, kind), *(x[i] for x in out)]) for i, kind in enumerate([np.int64, np.int64, np.float64])]
+    return pa.table(columns, names=["query", "doc_id", "score"])
+
+
+def _rounds(shards: int) -> Iterator[tuple[int, int]]:
+    """First and last shard of each round."""
+    first, count = 0, 1
+    while first < shards:
+        yield first, min(first + count, shards) - 1
+        first, count = first + count, count * GROWTH
+
+
+def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """``query_id, rank, doc_id, score``: the best ``k`` of ``docs (doc_id, text)`` for each of ``queries``, alike.
 
-    Words are runs of other than space and ``\\t`` to ``\\r``, A-Z lower-cased. A query takes its ``terms`` words of
-    greatest BM25 weight in its own text (rounded to nine digits, then by word) of those in two documents or more.
-    Scores are rounded to six digits; equal scores rank by doc_id; documents without a term of the query don't rank.
-    Null, empty and wordless texts count as documents and find nothing. Rows with a null id are left out. Repeated
-    rows count in the statistics and rank once; of a repeated query one counts. An empty side gives no rows.
+    Words are runs of other than space and ``\\t`` to ``\\r``, A-Z lower-cased. A query is the set of the words of its
+    whole text. Scores are rounded to six digits; equal scores rank by doc_id; documents without a term of the query
+    don't rank. Null, empty and wordless texts count as documents and find nothing. Rows with a null id are left out.
+    Repeated rows count in the statistics and rank once, by the shortest of differing texts; a query of several rows is
+    the words of all. An empty side gives no rows. Other columns aren't read.
     """
     plain = lambda df: df.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs, queries = plain(docs), plain(queries)
-    asked = queries.mapInArrow(_query_terms, "query_id long, term long, word string, tf long, dl long")
-    asked = cut(asked.dropDuplicates(["query_id", "term"]), "asked")
+    asked = cut(queries.mapInArrow(_query_terms, "query_id long, term long").distinct(), "asked")
     marks = _bitmap(asked)
     counts = docs.mapInArrow(lambda batches: _frequencies(batches, marks), "term long, df long, words long")
     counts = cut(counts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("words").alias("words")), "frequencies")
     totals = counts.where("term IS NULL").first()
-    n, average = (totals.df, max(1.0, totals.words / totals.df)) if totals and totals.df else (0, 1.0)
-    known = asked.join(counts.where("term IS NOT NULL AND df > 1").select("term", "df"), "term").withColumn("weight", F.round(_weight(n, average), 9))
-    best = Window.partitionBy("query_id").orderBy(F.desc("weight"), "word")
-    chosen = known.withColumn("r", F.row_number().over(best)).where(F.col("r") <= terms).select("query_id", "term", "word", "df")
-    chosen = cut(chosen, "queries")
-    # Queries of the same words are one.
-    same = chosen.groupBy("query_id").agg(F.xxhash64(F.sort_array(F.collect_list("term"))).alias("query"))
-    same = cut(same, "same")
-    once = same.groupBy("query").agg(F.min("query_id").alias("query_id"))
-    query_terms = cut(once.join(chosen, "query_id").drop("query_id"), "terms")
-    marks = _bitmap(query_terms)
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(n // SHARD_DOCS + 1)).alias("shard")
-    postings = docs.mapInArrow(lambda batches: _postings(batches, marks), "term long, doc_id long, tf int, dl int")
-    index = cut(postings.select(shard, "*"), "index")
-    # A shard gets the queries that it has a term of.
-    at_home = index.select("shard", "term").distinct()
-    routed = query_terms.join(at_home, "term").select(F.col("shard").alias("home"), "query", "word", "term", "df")
-    found = index.groupBy("shard").cogroup(routed.groupBy("home")).applyInArrow(
-        lambda p, q: _search(p, q, k, n, average), "query long, doc_id long, score double"
-    )
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "doc_id"))).where(F.col("rank") <= k)
-    return same.join(ranked, "query").select("query_id", "rank", "doc_id", "score")
+    n, words = (totals.df, totals.words) if totals else (0, 0)
+    average = max(1.0, words / max(1, n))
+    # A query's terms in order; queries of the same terms are one.
+    whole = asked.join(counts.where("term IS NOT NULL").select("term", "df"), "term").groupBy("query_id")
+    whole = whole.agg(F.sort_array(F.collect_list(F.struct("term", "df"))).alias("terms"))
+    whole = cut(whole.withColumn("query", F.xxhash64("terms.term")), "queries")
+    same = whole.select("query_id", "query")
+    once = whole.groupBy("query").agg(F.min_by("terms", "query_id").alias("terms"))
+    n_batches = same.select("query").distinct().count() // BATCH + 1
+    once = once.withColumn("batch", F.pmod(F.xxhash64("query", F.lit(1)), F.lit(n_batches)))
+    blobs = "terms binary, dfs binary, queries binary, sizes binary, places binary"
+    batches = cut(once.groupBy("batch").applyInArrow(_batched, f"batch long, {blobs}"), "batches")
+    shards = max(n // SHARD_DOCS, words // SHARD_WORDS) + 1
+    shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")
+    index = docs.mapInArrow(lambda batches: _index(batches, marks), "doc_id long, dl long, terms binary, times binary")
+    index = cut(index.select(shard, "*"), "index")
+    best = None
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "doc_id")
+    for first, last in _rounds(shards):
+        # A task takes one shard and some of the batches; the first round has one shard, so it is dealt finer.
+        parts = n_batches // (4 if first == 0 else 256) + 1
+        part = F.pmod("batch", F.lit(parts))
+        if best is None:
+            needs = batches.withColumn("needs", F.expr("CAST(NULL AS array<struct<query: bigint, need: double>>)"))
+        else:
+            kth = best.where(F.col("rank") == k).withColumn("batch", F.pmod(F.xxhash64("query", F.lit(1)), F.lit(n_batches)))
+            kth = kth.groupBy("batch").agg(F.collect_list(F.struct("query", F.col("score").alias("need"))).alias("needs"))
+            needs = batches.join(kth, "batch", "left")
+        routed = needs.select(F.explode(F.expr(f"sequence({first}L, {last}L)")).alias("home"), part.cast("long").alias("slice"), "*")
+        held = index.where(F.col("shard").between(first, last)).select("*", F.explode(F.expr(f"sequence(0L, {parts - 1}L)")).alias("part"))
+        found = held.groupBy("shard", "part").cogroup(routed.groupBy("home", "slice")).applyInArrow(
+            lambda p, q: _search(p, q, k, n, average), "query long, doc_id long, score double"
+        )
+        found = found if best is None else found.union(best.drop("rank"))
+        best = cut(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "best")
+    return same.join(best, "query").select("query_id", "rank", "doc_id", "score")
