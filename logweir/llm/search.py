@@ -95,8 +95,14 @@ def _bytes(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 def _numbers(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of a column of binary values, and how many each has."""
-    values = [np.frombuffer(x.as_py(), kind) for x in column]
-    return np.concatenate([np.zeros(0, kind), *values]), np.array([len(x) for x in values], np.int64)
+    values, sizes = [np.zeros(0, kind)], [np.zeros(0, np.int64)]
+    for chunk in column.chunks:
+        if len(chunk):
+            chunk = chunk.cast(pa.large_binary())
+            offsets = np.frombuffer(chunk.buffers()[1], np.int64)[chunk.offset : chunk.offset + len(chunk) + 1]
+            values.append(np.frombuffer(chunk.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind))
+            sizes.append(np.diff(offsets) // np.dtype(kind).itemsize)
+    return np.concatenate(values), np.concatenate(sizes)
 
 
 def _index(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -114,6 +120,10 @@ def _index(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Iterator[pa
             )
 
 
+def _place_kind(terms: int) -> type:
+    return np.uint16 if terms <= 1 << 16 else np.int32
+
+
 def _batched(rows: pa.Table) -> pa.Table:
     """The queries of one batch in a row: their distinct terms with frequencies, and the places of each one's terms."""
     lists = rows.column("terms").combine_chunks()
@@ -121,7 +131,7 @@ def _batched(rows: pa.Table) -> pa.Table:
     term, df = pairs.field("term").to_numpy(), pairs.field("df").to_numpy()
     known, first, place = np.unique(term, return_index=True, return_inverse=True)
     sizes = np.diff(lists.offsets.to_numpy())
-    packed = [known, df[first], rows.column("query").to_numpy(), sizes.astype(np.int32), place.astype(np.int32)]
+    packed = [known, df[first], rows.column("query").to_numpy(), sizes.astype(np.int32), place.astype(_place_kind(len(known)))]
     return pa.table({"batch": rows.column("batch").slice(0, 1), **{c: pa.array([x.tobytes()], pa.binary()) for c, x in zip(["terms", "dfs", "queries", "sizes", "places"], packed)}})
 
 
@@ -136,17 +146,21 @@ class Shard:
     def __init__(self, doc: np.ndarray, dl: np.ndarray, sizes: np.ndarray, term: np.ndarray, tf: np.ndarray, average: float):
         order = np.lexsort((dl, doc))
         order = order[np.append(True, np.diff(doc[order]) != 0)[: len(order)]]
-        place = np.full(len(doc), -1)
+        place = np.full(len(doc), -1, np.int32)
         place[order] = np.arange(len(order))
         at = np.repeat(place, sizes)
-        keep = at >= 0
-        at, term, tf = at[keep], term[keep], tf[keep]
-        self.doc, length = doc[order], dl[order][at]
+        if len(order) < len(doc):
+            term, tf, at = term[at >= 0], tf[at >= 0], at[at >= 0]
+        self.doc = doc[order]
         self.blocks = -(-len(order) // BLOCK)
-        self.terms, which = np.unique(term, return_inverse=True)
-        key = np.argsort(which * len(order) + at)
-        which, self.at = which[key], at[key]
-        self.part = (tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / average)))[key]
+        self.terms = np.unique(term)
+        which = np.searchsorted(self.terms, term).astype(np.int32)
+        key = np.lexsort((at, which))
+        which, self.at, tf = which[key], at[key], tf[key]
+        del term, at, key
+        self.part = (K1 * (1 - B + B * dl[order] / average))[self.at]
+        self.part += tf
+        np.divide(tf * (K1 + 1), self.part, out=self.part)
         self.size = np.bincount(which, minlength=len(self.terms))
         self.start = np.cumsum(self.size) - self.size
         # The longest lists as columns, with their maxima by block; the others keep only their postings.
@@ -202,11 +216,11 @@ def _search(postings: pa.Table, batches: pa.Table, k: int, n: int, average: floa
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     if len(postings) and len(batches):
         term, sizes = _numbers(postings.column("terms"), np.int64)
-        tf, _ = _numbers(postings.column("times"), np.int32)
-        shard = Shard(postings.column("doc_id").to_numpy(), postings.column("dl").to_numpy(), sizes, term, tf, average)
+        shard = Shard(postings.column("doc_id").to_numpy(), postings.column("dl").to_numpy(), sizes, term, _numbers(postings.column("times"), np.int32)[0], average)
+        del term
         for batch in batches.select(["terms", "dfs", "queries", "sizes", "places", "needs"]).to_pylist():
             known, df, ids = (np.frombuffer(batch[c], np.int64) for c in ("terms", "dfs", "queries"))
-            length, place = (np.frombuffer(batch[c], np.int32) for c in ("sizes", "places"))
+            length, place = np.frombuffer(batch["sizes"], np.int32), np.frombuffer(batch["places"], _place_kind(len(known)))
             idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
             cuts = np.cumsum(length)[:-1]
             queries = [(known[x], idf[x]) for x in np.split(place, cuts)]
