@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from logweir.llm.tables import cut
 
@@ -12,21 +12,26 @@ def _both(edges: DataFrame) -> DataFrame:
 
 
 def _round(edges: DataFrame) -> DataFrame:
-    """Large star then small star: every node is tied to smaller nodes, the number of edges doesn't grow."""
+    """Large star then small star: every node is tied to smaller nodes, the number of edges doesn't grow.
+
+    Both joins follow the exchange of their grouping, so a broadcast would only bring the rows to the driver.
+    """
     both = _both(edges)
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    large = both.join(least.hint("merge"), "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     large = large.where(F.col("a") != F.col("b"))  # repeats go with the last distinct
     least = large.groupBy("a").agg(F.min("b").alias("m"))
-    small = large.join(least, "a")
+    small = large.join(least.hint("merge"), "a")
     tied = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
     return tied.where(F.col("a") != F.col("b")).distinct()
 
 
 def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """``edges`` cut, with a mark that two equal tables share."""
-    edges = cut(edges, "edges")
-    return edges, tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    """``edges`` cut, with a mark that two equal tables share, taken while they are written."""
+    mark = Observation()
+    total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    edges = cut(edges.observe(mark, F.count("*").alias("n"), total.alias("total")), "edges")
+    return edges, (mark.get["n"], mark.get["total"])
 
 
 def components(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:

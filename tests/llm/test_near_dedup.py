@@ -71,3 +71,14 @@ def test_components_of_chains(spark, n):
     edges = [(i + 1, i) for i in range(n)] + [(100, 100), (None, 3), (200, 201), (201, 200)]
     got = {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {(i, 0) for i in range(n + 1)} | {(200, 200), (201, 200)}
+
+
+def test_rounds_run_few_jobs(spark):
+    """Every stage of a job takes a block of four MB of the driver: a round has one job for its writing, no broadcasts."""
+    spark.sparkContext.setJobGroup("rounds", "components of a chain")
+    try:
+        edges = spark.createDataFrame([(i + 1, i) for i in range(40)], "a long, b long")
+        assert {tuple(r) for r in components(edges).collect()} == {(i, 0) for i in range(41)}
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("rounds")) <= 50  # 62 with marks apart and broadcasts
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
