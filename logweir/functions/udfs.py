@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 import pyarrow as pa
@@ -10,15 +10,35 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession, functions as F, types as T
 
 
+SLICE_BYTES = 1_000_000
+
+
+def _short(values: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive values that hold about ``SLICE_BYTES`` together, one value at least."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(values).cast(pa.int64()), 0)).to_numpy()
+    start = 0
+    while start < len(values):
+        held = ends[start - 1] if start else 0
+        end = max(start + 1, int(ends.searchsorted(held + SLICE_BYTES, "right")))
+        yield values.slice(start, end - start)
+        start = end
+
+
+def _count_items(values: pa.Array) -> pa.Array:
+    core = pc.utf8_rtrim(values, ",")
+    items = pc.add(pc.count_substring(core, ",").cast(pa.int32()), 1)
+    return pc.if_else(pc.equal(values, ""), 1, pc.if_else(pc.equal(core, ""), 0, items)).cast(pa.int32())
+
+
 def like_count():
-    """Arrow-batched function counting comma items; ``item_count`` is the JVM-side form."""
-
-    @F.pandas_udf("int")
-    def count_items(values: pd.Series) -> pd.Series:
-        core = values.str.rstrip(",")
-        items = core.str.count(",") + 1
-        items = items.where(core != "", 0).where(values != "", 1)
-        return items.where(values.notna()).astype("Int32")
+    """Arrow-batched function counting comma items; ``item_count`` is the JVM-side form.
+
+    Texts stay in the batch that Spark sends, of 64 MB at most unless one is longer; copies are of a slice of them.
+    """
+
+    @F.arrow_udf("int")
+    def count_items(values: pa.Array) -> pa.Array:
+        return pa.concat_arrays([pa.array([], pa.int32()), *(_count_items(x) for x in _short(values))])
 
     return count_items
 

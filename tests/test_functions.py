@@ -1,9 +1,12 @@
 import math
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from logweir import functions as fn
+from logweir.functions import udfs
 from logweir.functions.text import WHITESPACE
 
 
@@ -40,6 +43,22 @@ def test_like_count_agrees_with_item_count(spark):
     assert spark.sql("SELECT like_count('t,g,x,h') AS n").first().n == 4
 
 
+def test_like_count_copies_a_slice_of_a_batch_at_a_time():
+    texts = ["t,g,x,h", "", ",,", "a,,", None, "one", "é,ü,,", "x" * 3_000_000 + ",y", *["a,b," * 25_000] * 300]
+    values = pa.array(texts)
+    assert max(len(x) for x in udfs._short(values)) <= 15
+    assert pa.concat_arrays([*udfs._short(values)]).equals(values)
+    pool = pa.default_memory_pool()
+    held = pool.bytes_allocated()
+    tracemalloc.start()
+    assert fn.like_count().func(values).to_pylist() == [4, 1, 0, 1, None, 1, 2, 2, *[50_000] * 300]
+    assert tracemalloc.get_traced_memory()[1] < 2_000_000 and pool.bytes_allocated() - held < 2_000_000
+    tracemalloc.stop()
+    for kind in (pa.string(), pa.large_string()):
+        assert fn.like_count().func(pa.array([], kind)).to_pylist() == []
+        assert fn.like_count().func(pa.array([None, "p,q"], kind).slice(1)).to_pylist() == [2]
+
+
 @pytest.mark.parametrize(
     "url, domain, spec, code",
     [
