@@ -40,6 +40,7 @@ DENSE = 256  # longest lists of a shard, kept as columns
 BATCH = 256  # queries scored together
 FIRST = 4  # blocks of greatest bound, scored before the others
 GROWTH = 8
+STEP = 1 << 18  # postings worked on at once
 SLACK = 2 * 10**-DIGITS  # scores are rounded, equal ones rank by document
 
 
@@ -93,16 +94,15 @@ def _bytes(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * size).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
 
 
-def _numbers(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of a column of binary values, and how many each has."""
-    values, sizes = [np.zeros(0, kind)], [np.zeros(0, np.int64)]
+def _numbers(column: pa.ChunkedArray, kind: type) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each chunk of a column of binary values: all numbers, in place, and how many each value has."""
     for chunk in column.chunks:
         if len(chunk):
             chunk = chunk.cast(pa.large_binary())
             offsets = np.frombuffer(chunk.buffers()[1], np.int64)[chunk.offset : chunk.offset + len(chunk) + 1]
-            values.append(np.frombuffer(chunk.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind))
-            sizes.append(np.diff(offsets) // np.dtype(kind).itemsize)
-    return np.concatenate(values), np.concatenate(sizes)
+            data = chunk.buffers()[2]
+            data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+            yield data.view(kind), np.diff(offsets) // np.dtype(kind).itemsize
 
 
 def _index(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -140,36 +140,71 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
 
 
+def _placed(term: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct terms of some arrays, and the place among them of each array's, one array after the other."""
+    terms = np.unique(np.concatenate([np.zeros(0, np.int64), *(np.unique(x) for x in term)]))
+    which = np.empty(sum(map(len, term)), np.int64)
+    at = 0
+    for x in term:
+        for k in range(0, len(x), STEP):
+            part = x[k : k + STEP]
+            which[at : at + len(part)] = np.searchsorted(terms, part)
+            at += len(part)
+    return terms, which
+
+
 class Shard:
-    """Postings of some documents by term, with block maxima."""
+    """Postings of some documents by term, with block maxima.
+
+    ``term`` is one array or a list of them, of which no copy is made. Postings are sorted as one number each: its
+    term, document and times.
+    """
 
-    def __init__(self, doc: np.ndarray, dl: np.ndarray, sizes: np.ndarray, term: np.ndarray, tf: np.ndarray, average: float):
+    def __init__(self, doc: np.ndarray, dl: np.ndarray, sizes: np.ndarray, term: np.ndarray | list[np.ndarray], tf: np.ndarray, average: float):
         order = np.lexsort((dl, doc))
         order = order[np.append(True, np.diff(doc[order]) != 0)[: len(order)]]
         place = np.full(len(doc), -1, np.int32)
         place[order] = np.arange(len(order))
-        at = np.repeat(place, sizes)
-        if len(order) < len(doc):
-            term, tf, at = term[at >= 0], tf[at >= 0], at[at >= 0]
         self.doc = doc[order]
         self.blocks = -(-len(order) // BLOCK)
-        self.terms = np.unique(term)
-        which = np.searchsorted(self.terms, term).astype(np.int32)
-        key = np.lexsort((at, which))
-        which, self.at, tf = which[key], at[key], tf[key]
-        del term, at, key
-        self.part = (K1 * (1 - B + B * dl[order] / average))[self.at]
-        self.part += tf
-        np.divide(tf * (K1 + 1), self.part, out=self.part)
+        self.terms, which = _placed(term if isinstance(term, list) else [term])
+        at = np.repeat(place, sizes)
+        if len(order) < len(doc):
+            held = at >= 0
+            which, tf, at = which[held], tf[held], at[held]
         self.size = np.bincount(which, minlength=len(self.terms))
         self.start = np.cumsum(self.size) - self.size
+        at_bits, tf_bits = len(order).bit_length(), int(tf.max(initial=0)).bit_length()
+        if len(self.terms).bit_length() + at_bits + tf_bits < 64:
+            code = which
+            code <<= at_bits
+            code |= at
+            code <<= tf_bits
+            code |= tf
+            del at, tf
+            code.sort()
+        else:  # a text of millions of equal words
+            key = np.lexsort((at, which))
+            at, tf, code = at[key], tf[key], None
+            del key
+        del which
+        # Each number gives way to its part of a score.
+        self.at = np.empty(int(self.size.sum()), np.int32)
+        self.part = np.empty(len(self.at)) if code is None else code.view(np.float64)
+        norm = K1 * (1 - B + B * dl[order] / average)
+        for k in range(0, len(self.at), STEP):
+            here = slice(k, k + STEP)
+            times = tf[here] if code is None else code[here] & ((1 << tf_bits) - 1)
+            self.at[here] = at[here] if code is None else (code[here] >> tf_bits) & ((1 << at_bits) - 1)
+            self.part[here] = times * (K1 + 1) / (norm[self.at[here]] + times)
         # The longest lists as columns, with their maxima by block; the others keep only their postings.
         longest = np.argsort(-self.size, kind="stable")[:DENSE]
         self.column = np.full(len(self.terms), -1)
         self.column[longest] = np.arange(len(longest))
-        dense = self.column[which] >= 0
         self.columns = np.zeros((self.blocks * BLOCK, len(longest)))
-        self.columns[self.at[dense], self.column[which[dense]]] = self.part[dense]
+        for c, t in enumerate(longest):
+            here = slice(self.start[t], self.start[t] + self.size[t])
+            self.columns[self.at[here], c] = self.part[here]
         self.tops = self.columns.reshape(self.blocks, BLOCK, -1).max(1)
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, need: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -215,10 +250,13 @@ def _search(postings: pa.Table, batches: pa.Table, k: int, n: int, average: floa
     """Best documents of one shard for some batches."""
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     if len(postings) and len(batches):
-        term, sizes = _numbers(postings.column("terms"), np.int64)
-        shard = Shard(postings.column("doc_id").to_numpy(), postings.column("dl").to_numpy(), sizes, term, _numbers(postings.column("times"), np.int32)[0], average)
-        del term
-        for batch in batches.select(["terms", "dfs", "queries", "sizes", "places", "needs"]).to_pylist():
+        terms = [*_numbers(postings.column("terms"), np.int64)]
+        times = np.concatenate([np.zeros(0, np.int32), *(x for x, _ in _numbers(postings.column("times"), np.int32))])
+        sizes = np.concatenate([np.zeros(0, np.int64), *(x for _, x in terms)])
+        shard = Shard(postings.column("doc_id").to_numpy(), postings.column("dl").to_numpy(), sizes, [x for x, _ in terms], times, average)
+        del times
+        for b in range(len(batches)):  # one batch at a time as Python values
+            batch = batches.slice(b, 1).select(["terms", "dfs", "queries", "sizes", "places", "needs"]).to_pylist()[0]
             known, df, ids = (np.frombuffer(batch[c], np.int64) for c in ("terms", "dfs", "queries"))
             length, place = np.frombuffer(batch["sizes"], np.int32), np.frombuffer(batch["places"], _place_kind(len(known)))
             idf = np.log(1 + (n - df + 0.5) / (df + 0.5))

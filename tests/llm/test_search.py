@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -100,3 +101,23 @@ def test_blocks_prune_and_stay_exact(monkeypatch):
                 for q in range(6):
                     order = [i for i in np.lexsort((doc, -total[q])) if total[q][i] > 0][:k]
                     assert got.get(q, []) == [(int(doc[i]), total[q][i]) for i in order]
+
+
+def test_shard_takes_little_more_than_its_postings():
+    rng = np.random.default_rng(3)
+    docs, each = 4_000, 250
+    term = rng.integers(0, 2**62, 2_000)[rng.random((docs, 2_000)).argsort(1)[:, :each].ravel()]
+    doc, dl, sizes = np.arange(docs) * 7, rng.integers(250, 900, docs), np.full(docs, each)
+    tf = rng.integers(1, 9, docs * each).astype(np.int32)
+    tracemalloc.start()
+    shard = Shard(doc, dl, sizes, [term[:300_000], term[300_000:]], tf, 500.0)
+    assert tracemalloc.get_traced_memory()[1] - shard.columns.nbytes < 22 * len(term)  # 25 before
+    tracemalloc.stop()
+    place = np.searchsorted(shard.terms, term)
+    order = np.lexsort((np.repeat(np.arange(docs), each), place))
+    assert (shard.at == np.repeat(np.arange(docs), each)[order]).all() and (shard.size == np.bincount(place)).all()
+    norm = 1.2 * (0.25 + 0.75 * dl / 500.0)
+    assert np.array_equal(shard.part, (tf * 2.2 / (np.repeat(norm, each) + tf))[order])
+    wide = Shard(doc, dl, sizes, term, np.where(np.arange(len(tf)) == 5, 2**40, tf), 500.0)  # too wide for one number
+    same = order != 5
+    assert np.array_equal(wide.at, shard.at) and np.array_equal(wide.part[same], shard.part[same])
