@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from logweir.llm.scan import U, Words, slices
+from logweir.llm.scan import U, Words, release, slices
 from logweir.llm.tables import cut
 
 K1, B = 1.2, 0.75
@@ -41,7 +41,11 @@ BATCH = 256  # queries scored together
 FIRST = 4  # blocks of greatest bound, scored before the others
 GROWTH = 8
 STEP = 1 << 18  # postings worked on at once
+CHUNK = 1 << 16  # postings of one shard in a row of the index
+TOGETHER = 64  # queries of a batch whose sums over all documents of a shard are held at once
+HELD = 1 << 20  # postings that a task of the index gathers before it makes rows of them
 SLACK = 2 * 10**-DIGITS  # scores are rounded, equal ones rank by document
+_KINDS = (np.uint8, np.uint16, np.int32, np.int64)
 
 
 def _counted(row: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,35 +92,53 @@ def _bitmap(terms: DataFrame) -> np.ndarray:
     return bitmap
 
 
-def _bytes(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """The numbers between each two offsets as one binary value."""
-    size = values.dtype.itemsize
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * size).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 in as few bytes as the largest needs."""
+    return values.astype(next(kind for kind in _KINDS if values.max(initial=0) <= np.iinfo(kind).max))
 
 
-def _numbers(column: pa.ChunkedArray, kind: type) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Of each chunk of a column of binary values: all numbers, in place, and how many each value has."""
-    for chunk in column.chunks:
-        if len(chunk):
-            chunk = chunk.cast(pa.large_binary())
-            offsets = np.frombuffer(chunk.buffers()[1], np.int64)[chunk.offset : chunk.offset + len(chunk) + 1]
-            data = chunk.buffers()[2]
-            data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-            yield data.view(kind), np.diff(offsets) // np.dtype(kind).itemsize
+def _wide(values: bytes | pa.Buffer, n: int) -> np.ndarray:
+    """``n`` numbers packed by ``_narrow``, in place."""
+    return np.frombuffer(values, next(kind for kind in _KINDS if np.dtype(kind).itemsize * n == len(memoryview(values))))
 
 
 def _index(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The marked terms of each document and their times, packed."""
+    """The marked terms of documents and their times, a row for about ``CHUNK`` postings of one shard.
+
+    A row names its distinct terms once and its postings by their places among these, so a posting takes three bytes
+    and its share of the terms instead of the twelve of a term and its times.
+    """
+    held: list[tuple[np.ndarray, ...]] = []
     for whole in batches:
         for batch in slices(whole, "text"):
             words = Words(batch.column("text"))
             keep = _marked(words.hash, bitmap)
             row, term, times = _counted(words.row[keep], words.hash[keep])
-            here, first = np.unique(row, return_index=True)
-            offsets = np.append(first, len(row))
+            here, size = np.unique(row, return_counts=True)
+            shard, doc = (batch.column(c).to_numpy()[here] for c in ("shard", "doc_id"))
+            held.append((shard, doc, np.diff(words.offsets)[here], size, term, _narrow(times)))
+            if sum(len(x[4]) for x in held) >= HELD:
+                yield from _chunks(held)
+                held = []
+    yield from _chunks(held)
+
+
+def _chunks(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    if not held:
+        return
+    shard, doc, dl, size, term, times = (np.concatenate(x) for x in zip(*held))
+    start = np.cumsum(size) - size
+    order = np.argsort(shard, kind="stable")
+    first = np.flatnonzero(np.diff(shard[order], prepend=-1))
+    for rows in np.split(order, first[1:]) if len(order) else ():
+        upto = np.cumsum(size[rows])
+        for some in np.split(rows, np.flatnonzero(np.diff(upto // CHUNK)) + 1):
+            at = _ranges(start[some], size[some])
+            known, place = np.unique(term[at], return_inverse=True)
+            packed = [doc[some], dl[some].astype(np.int64), _narrow(size[some]), known, _narrow(place), _narrow(times[at])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(here)), pa.array(np.diff(words.offsets)[here], pa.int64()), _bytes(term.view(np.int64), offsets), _bytes(times.astype(np.int32), offsets)],
-                ["doc_id", "dl", "terms", "times"],
+                [pa.array(shard[some[:1]]), *(pa.array([x.tobytes()], pa.binary()) for x in packed)],
+                ["shard", "docs", "dls", "sizes", "terms", "places", "times"],
             )
 
 
@@ -131,7 +153,7 @@ def _batched(rows: pa.Table) -> pa.Table:
     term, df = pairs.field("term").to_numpy(), pairs.field("df").to_numpy()
     known, first, place = np.unique(term, return_index=True, return_inverse=True)
     sizes = np.diff(lists.offsets.to_numpy())
-    packed = [known, df[first], rows.column("query").to_numpy(), sizes.astype(np.int32), place.astype(_place_kind(len(known)))]
+    packed = [known, _narrow(df[first]), rows.column("query").to_numpy(), sizes.astype(np.int32), place.astype(_place_kind(len(known)))]
     return pa.table({"batch": rows.column("batch").slice(0, 1), **{c: pa.array([x.tobytes()], pa.binary()) for c, x in zip(["terms", "dfs", "queries", "sizes", "places"], packed)}})
 
 
@@ -140,15 +162,22 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
 
 
-def _placed(term: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct terms of some arrays, and the place among them of each array's, one array after the other."""
-    terms = np.unique(np.concatenate([np.zeros(0, np.int64), *(np.unique(x) for x in term)]))
-    which = np.empty(sum(map(len, term)), np.int64)
+def _placed(term: list[np.ndarray | tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct terms of some arrays, and the place among them of each array's, one array after the other.
+
+    A pair is the array of its first at the places of its second.
+    """
+    terms = np.unique(np.concatenate([np.zeros(0, np.int64), *(x[0] if isinstance(x, tuple) else np.unique(x) for x in term)]))
+    which = np.empty(sum(len(x[1]) if isinstance(x, tuple) else len(x) for x in term), np.int64)
     at = 0
     for x in term:
-        for k in range(0, len(x), STEP):
-            part = x[k : k + STEP]
-            which[at : at + len(part)] = np.searchsorted(terms, part)
+        known, place = x if isinstance(x, tuple) else (x, None)
+        for k in range(0, len(x if place is None else place), STEP):
+            if place is None:
+                part = np.searchsorted(terms, known[k : k + STEP])
+            else:
+                part = np.searchsorted(terms, known)[place[k : k + STEP]]
+            which[at : at + len(part)] = part
             at += len(part)
     return terms, which
 
@@ -156,11 +185,11 @@ def _placed(term: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 class Shard:
     """Postings of some documents by term, with block maxima.
 
-    ``term`` is one array or a list of them, of which no copy is made. Postings are sorted as one number each: its
-    term, document and times.
+    ``term`` is one array or a list of them or of pairs of terms and places, of which no copy is made. Postings are
+    sorted as one number each: its term, document and times.
     """
 
-    def __init__(self, doc: np.ndarray, dl: np.ndarray, sizes: np.ndarray, term: np.ndarray | list[np.ndarray], tf: np.ndarray, average: float):
+    def __init__(self, doc: np.ndarray, dl: np.ndarray, sizes: np.ndarray, term: np.ndarray | list, tf: np.ndarray, average: float):
         order = np.lexsort((dl, doc))
         order = order[np.append(True, np.diff(doc[order]) != 0)[: len(order)]]
         place = np.full(len(doc), -1, np.int32)
@@ -209,6 +238,13 @@ class Shard:
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, need: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
         """(query, documents, scores) of the best ``k`` that reach ``need``; a query is its terms and their weights."""
+        return [
+            (q + at, doc, score)
+            for at in range(0, len(queries), TOGETHER)
+            for q, doc, score in self._together(queries[at : at + TOGETHER], k, need[at : at + TOGETHER])
+        ]
+
+    def _together(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, need: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
         weights = np.zeros((self.columns.shape[1], len(queries)))
         rest = np.zeros((len(queries), self.blocks * BLOCK))
         for q, (term, weight) in enumerate(queries):
@@ -246,18 +282,28 @@ class Shard:
         return [(q, self.doc[at], score) for q, found in enumerate(best) for at, score in found]
 
 
+def _postings(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Documents, their words, their numbers of terms, the terms of each row in place, and the times of each posting."""
+    docs, dls, sizes, terms, places, times = ([x.as_buffer() for x in rows.column(c)] for c in ("docs", "dls", "sizes", "terms", "places", "times"))
+    sizes = [_wide(x, d.size // 8) for x, d in zip(sizes, docs)]
+    n = [int(x.sum()) for x in sizes]
+    doc, dl = (np.concatenate([np.frombuffer(x, np.int64) for x in column]) for column in (docs, dls))
+    terms = [(np.frombuffer(x, np.int64), _wide(p, m)) for x, p, m in zip(terms, places, n)]
+    return doc, dl, np.concatenate(sizes), terms, np.concatenate([_wide(x, m) for x, m in zip(times, n)])
+
+
 def _search(postings: pa.Table, batches: pa.Table, k: int, n: int, average: float) -> pa.Table:
     """Best documents of one shard for some batches."""
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     if len(postings) and len(batches):
-        terms = [*_numbers(postings.column("terms"), np.int64)]
-        times = np.concatenate([np.zeros(0, np.int32), *(x for x, _ in _numbers(postings.column("times"), np.int32))])
-        sizes = np.concatenate([np.zeros(0, np.int64), *(x for _, x in terms)])
-        shard = Shard(postings.column("doc_id").to_numpy(), postings.column("dl").to_numpy(), sizes, [x for x, _ in terms], times, average)
-        del times
+        release()
+        doc, dl, sizes, terms, times = _postings(postings)
+        shard = Shard(doc, dl, sizes, terms, times, average)
+        del terms, times
         for b in range(len(batches)):  # one batch at a time as Python values
             batch = batches.slice(b, 1).select(["terms", "dfs", "queries", "sizes", "places", "needs"]).to_pylist()[0]
-            known, df, ids = (np.frombuffer(batch[c], np.int64) for c in ("terms", "dfs", "queries"))
+            known, ids = (np.frombuffer(batch[c], np.int64) for c in ("terms", "queries"))
+            df = _wide(batch["dfs"], len(known)).astype(np.int64)
             length, place = np.frombuffer(batch["sizes"], np.int32), np.frombuffer(batch["places"], _place_kind(len(known)))
             idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
             cuts = np.cumsum(length)[:-1]
@@ -307,8 +353,8 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     batches = cut(once.groupBy("batch").applyInArrow(_batched, f"batch long, {blobs}"), "batches")
     shards = max(n // SHARD_DOCS, words // SHARD_WORDS) + 1
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")
-    index = docs.mapInArrow(lambda batches: _index(batches, marks), "doc_id long, dl long, terms binary, times binary")
-    index = cut(index.select(shard, "*"), "index")
+    packed = "shard long, docs binary, dls binary, sizes binary, terms binary, places binary, times binary"
+    index = cut(docs.select(shard, "*").mapInArrow(lambda batches: _index(batches, marks), packed), "index")
     best = None
     order = Window.partitionBy("query").orderBy(F.desc("score"), "doc_id")
     for first, last in _rounds(shards):

@@ -6,6 +6,7 @@ import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from logweir.llm import search
 from logweir.llm.search import Shard, top_k
@@ -121,3 +122,42 @@ def test_shard_takes_little_more_than_its_postings():
     wide = Shard(doc, dl, sizes, term, np.where(np.arange(len(tf)) == 5, 2**40, tf), 500.0)  # too wide for one number
     same = order != 5
     assert np.array_equal(wide.at, shard.at) and np.array_equal(wide.part[same], shard.part[same])
+
+
+def test_index_names_terms_once(monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{w}" for w in rng.zipf(1.2, 400) % 3_000) for _ in range(900)]
+    shards = np.arange(900) % 3
+    batch = pa.RecordBatch.from_arrays([pa.array(shards), pa.array(np.arange(900) * 5), pa.array(texts)], ["shard", "doc_id", "text"])
+    every = np.full(1 << search.BITS - 6, 2**64 - 1, np.uint64)
+    whole = {d * 5: Counter(t.split()) for d, t in enumerate(texts)}
+    n = sum(map(len, whole.values()))
+    rows = pa.Table.from_batches([*search._index(iter([batch]), every)])
+    assert rows.nbytes < 6 * n  # 12 bytes a posting and 8 a document before
+    for chunk, held in ((1 << 16, 1 << 21), (700, 10_000), (1, 1)):  # rows of any size hold the same
+        monkeypatch.setattr(search, "CHUNK", chunk)
+        monkeypatch.setattr(search, "HELD", held)
+        rows = pa.Table.from_batches([*search._index(iter([batch.slice(0, 500), batch.slice(500)]), every)])
+        seen = []
+        for shard in range(3):
+            some = rows.filter(pa.array(rows.column("shard").to_numpy() == shard))
+            doc, dl, sizes, terms, times = search._postings(some)
+            assert (doc // 5 % 3 == shard).all() and (dl == 400).all()
+            flat = np.concatenate([known[place] for known, place in terms])
+            for d, term, times in zip(doc, np.split(flat, np.cumsum(sizes)[:-1]), np.split(times, np.cumsum(sizes)[:-1])):
+                assert sorted(times) == sorted(whole[d].values()) and len(set(term)) == len(term)
+                seen.append(d)
+        assert sorted(seen) == sorted(whole)
+
+
+def test_search_holds_sums_of_some_queries_only():
+    rng = np.random.default_rng(8)
+    docs, each = 8_000, 20
+    term = rng.integers(0, 2_000, (docs, each)) + np.arange(each) * 2_000
+    shard = Shard(np.arange(docs), np.full(docs, 40), np.full(docs, each), term.ravel(), np.ones(docs * each, np.uint8), 40.0)
+    queries = [(np.sort(term[q * 7]), np.full(each, 1.0)) for q in range(256)]
+    tracemalloc.start()
+    found = shard.search(queries, 3, np.zeros(256))
+    assert tracemalloc.get_traced_memory()[1] < 4 * 256 * docs  # more than 8 bytes a query and document before
+    tracemalloc.stop()
+    assert [(q, int(doc[0])) for q, doc, _ in found] == [(q, q * 7) for q in range(256)]
