@@ -117,12 +117,16 @@ class Mixture:
         )
 
     def texts(self) -> DataFrame:
-        """The mix itself, a row for each slot: ``shard, slot, source, block, doc_ids, n_words, text``."""
+        """The mix itself, a row for each slot: ``shard, slot, source, block, doc_ids, n_words, text``.
+
+        The slots are drawn by a plan of their own: adaptive execution plans all of a plan anew after each stage, so
+        one plan of both would keep the driver busy with the drawing while texts are joined.
+        """
         piece = F.struct("start", "skip", "doc_id", "n", F.expr("array_join(slice(words, int(skip) + 1, int(n)), ' ')").alias("part"))
         pieces = self.pieces().where("block IS NOT NULL").select("rank", "block", piece.alias("piece"))
         packed = pieces.groupBy("rank", "block").agg(F.sort_array(F.collect_list("piece")).alias("piece"))
         return (
-            packed.join(self.slots, ["rank", "block"])
+            packed.join(cut(self.slots, "slots"), ["rank", "block"])
             .join(self.sources.select("rank", "source"), "rank")
             .select(
                 "shard", "slot", "source", "block", F.col("piece.doc_id").alias("doc_ids"),
@@ -157,18 +161,19 @@ def draw_slots(sources: DataFrame, block: int, shard: int, limit: int) -> DataFr
         .withColumn("to", F.sum("part").over(kind.orderBy("rank")))
         .withColumn("from", F.col("to") - F.col("part"))
         .withColumn("parts", F.sum("part").over(kind))
+        .withColumn("least", F.col("rank") == F.min("rank").over(kind))
     )
     kinds = cut(kinds, "kinds")
-    sure = kinds.withColumn("shard", F.explode(F.expr("sequence(low, high - 1)"))).select("rank", "shard", F.col("base").alias("c"))
+    sure = kinds.withColumn("shard", F.explode(F.expr("sequence(low, high - 1)"))).select("rank", "shard", F.col("base").alias("c"), "blocks")
     # A draw looks up its source in intervals kept by m equal cells, so each draw meets about two intervals.
     cells = kinds.withColumn("cell", F.explode(F.expr("sequence(from * m div parts, (to - 1) * m div parts)")))
-    draws = kinds.groupBy("kind", "low", "high", "draws", "parts", "m").agg(F.min("rank").alias("_"))
-    draws = draws.withColumn("shard", F.explode(F.expr("sequence(low, high - 1)"))).where("draws > 0")
+    draws = kinds.where("least AND draws > 0").withColumn("shard", F.explode(F.expr("sequence(low, high - 1)")))
     draws = draws.withColumn("draw", F.explode(F.expr("sequence(0L, draws - 1)")))
     u = f"({number('shard', 'draw', '3')} * 2147483648 + {number('shard', 'draw', '4')}) % parts"
     draws = draws.withColumn("u", F.expr(u)).select("kind", "shard", "u", F.expr("u * m div parts").alias("cell"))
-    drawn = draws.join(cells.select("kind", "cell", "rank", "from", "to"), ["kind", "cell"]).where("u >= from AND u < to")
-    counts = sure.union(drawn.select("rank", "shard", F.lit(1).cast("long").alias("c"))).groupBy("rank", "shard").agg(F.sum("c").alias("c"))
+    drawn = draws.join(cells.select("kind", "cell", "rank", "from", "to", "blocks"), ["kind", "cell"]).where("u >= from AND u < to")
+    counts = sure.union(drawn.select("rank", "shard", F.lit(1).cast("long").alias("c"), "blocks"))
+    counts = counts.groupBy("rank", "shard").agg(F.sum("c").alias("c"), F.min("blocks").alias("blocks"))
     counts = counts.where("c > 0").withColumn("run", F.expr("shard div 1024"))
     counts = earlier_sum(counts, "rank", "run", ["shard"], "c", "first")
     # The counts are few but each becomes many slots: spread them by what they become, not by what they are.
@@ -178,7 +183,7 @@ def draw_slots(sources: DataFrame, block: int, shard: int, limit: int) -> DataFr
     counts = counts.withColumn("lead", F.coalesce(F.sum("c").over(in_shard), F.lit(0)))
     counts = counts.withColumn("width", F.sum("c").over(Window.partitionBy("shard")))
     slots = counts.withColumn("i", F.explode(F.expr("sequence(0L, c - 1)"))).withColumn("j", F.col("first") + F.col("i"))
-    slots = slots.join(kinds.groupBy("rank").agg(F.min("blocks").alias("blocks")), "rank").where(F.col("j") < F.col("blocks") * limit)
+    slots = slots.where(F.col("j") < F.col("blocks") * limit)
     return slots.select(
         "shard",
         F.expr(permuted("lead + i", "width", "shard", "5")).alias("slot"),

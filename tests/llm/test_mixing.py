@@ -89,3 +89,8 @@ def test_empty_repeated_and_clashing(spark):
 def test_no_python_in_the_plan(spark):
     plan = mix(documents(spark, corpus(1, 5))).taken()._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
+
+
+def test_slots_are_drawn_by_a_plan_of_their_own(spark):
+    files = mix(documents(spark, corpus(1, 5)), with_text=True).texts().inputFiles()
+    assert any("/slots-" in f for f in files) and not any("/kinds-" in f for f in files)
