@@ -22,6 +22,7 @@ from logweir.llm.tables import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROUNDS = 8
+FEW = 5_000  # sources at most whose cells are broadcast
 _M = 2147483647
 _UNIT = 1_000_000_000
 
@@ -106,8 +107,11 @@ class Mixture:
         )
 
     def taken(self) -> DataFrame:
-        """Every document with ``source_size, target, taken``."""
-        times = self.slots.groupBy("rank", "block").agg(F.count("*").alias("times"))
+        """Every document with ``source_size, target, taken``.
+
+        The slots come out of few counts, by whose size Spark would take the blocks for a side to broadcast: they never are.
+        """
+        times = self.slots.groupBy("rank", "block").agg(F.count("*").alias("times")).hint("merge")
         counted = self.pieces().select("rank", "bucket", "pos", "doc_id", "size", "block", "n").join(times, ["rank", "block"], "left")
         per_doc = counted.groupBy("rank", "bucket", "pos", "doc_id", "size").agg(
             F.coalesce(F.sum(F.col("times") * F.col("n")), F.lit(0)).alias("taken")
@@ -171,13 +175,16 @@ def draw_slots(sources: DataFrame, block: int, shard: int, limit: int) -> DataFr
     draws = draws.withColumn("draw", F.explode(F.expr("sequence(0L, draws - 1)")))
     u = f"({number('shard', 'draw', '3')} * 2147483648 + {number('shard', 'draw', '4')}) % parts"
     draws = draws.withColumn("u", F.expr(u)).select("kind", "shard", "u", F.expr("u * m div parts").alias("cell"))
-    drawn = draws.join(cells.select("kind", "cell", "rank", "from", "to", "blocks"), ["kind", "cell"]).where("u >= from AND u < to")
+    # Cells grow with the sources only; draws, which look smaller to Spark, with the shards.
+    wanted_words, m = sources.agg(F.sum("target"), F.count("*")).first()
+    cells = cells.select("kind", "cell", "rank", "from", "to", "blocks").hint("broadcast" if m <= FEW else "merge")
+    drawn = draws.join(cells, ["kind", "cell"]).where("u >= from AND u < to")
     counts = sure.union(drawn.select("rank", "shard", F.lit(1).cast("long").alias("c"), "blocks"))
     counts = counts.groupBy("rank", "shard").agg(F.sum("c").alias("c"), F.min("blocks").alias("blocks"))
     counts = counts.where("c > 0").withColumn("run", F.expr("shard div 1024"))
     counts = earlier_sum(counts, "rank", "run", ["shard"], "c", "first")
     # The counts are few but each becomes many slots: spread them by what they become, not by what they are.
-    tasks = int(sources.agg(F.sum("target")).first()[0] or 0) // (block * 50_000) + 1
+    tasks = int(wanted_words or 0) // (block * 50_000) + 1
     counts = counts.repartition(tasks, "shard")
     in_shard = Window.partitionBy("shard").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("lead", F.coalesce(F.sum("c").over(in_shard), F.lit(0)))

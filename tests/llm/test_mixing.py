@@ -94,3 +94,14 @@ def test_no_python_in_the_plan(spark):
 def test_slots_are_drawn_by_a_plan_of_their_own(spark):
     files = mix(documents(spark, corpus(1, 5)), with_text=True).texts().inputFiles()
     assert any("/slots-" in f for f in files) and not any("/kinds-" in f for f in files)
+
+
+def test_slots_are_never_broadcast(spark):
+    """They come out of few counts, which alone made them look small; nor are the draws, which grow with the shards."""
+    taken = mix(documents(spark, [*corpus(11, 90), *ODD]), block=4, shard=32).taken()
+    taken.collect()
+    plan = taken._jdf.queryExecution().executedPlan().toString()
+    joins = [line.split("Join", 1)[1] for line in plan.splitlines() if "Join " in line]
+    assert "isFinalPlan=true" in plan and any("block#" in x for x in joins) and any("cell#" in x for x in joins)
+    assert not any("Join" in line and "Broadcast" in line and "block#" in line for line in plan.splitlines())
+    assert all("BuildRight" in x for x in joins if "cell#" in x)
