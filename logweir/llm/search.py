@@ -8,9 +8,10 @@ In a shard documents are numbered in order and fall into blocks; every list of p
 block. Queries come in batches. As in block-max WAND, the sum of a query's block maxima bounds every document of a block,
 and a block is scored for a query only if that bound reaches the k-th best score so far. What differs is the order: a
 query of a whole text has lists that stand in every block, so instead of moving pointers from document to document all
-blocks are bounded at once, the most promising ones scored first and then those whose bound still reaches the k-th
-score. The longest lists are dense columns, of which blocks and batches are matrix products; the others are summed
-list by list, and their sums' own block maxima make the bound tight.
+blocks are bounded at once, the most promising ones scored first, unless earlier shards gave a k-th score, and then
+those whose bound still reaches the k-th score. The longest lists are dense columns, of which blocks and batches are
+matrix products; the others are summed list by list, and their sums' own block maxima make the bound tight. The products
+are of four-byte numbers and find the documents that can reach the k-th score; these are scored again in eight bytes.
 
 Shards are searched in rounds, one shard and then ``GROWTH`` times as many as before, each round starting from the k-th
 scores of the rounds before. A shard gives only documents that reach them, so the results of a query grow with the
@@ -38,7 +39,10 @@ SHARD_DOCS = 32_768
 SHARD_WORDS = 8_000_000
 DENSE = 256  # longest lists of a shard, kept as columns
 BATCH = 256  # queries scored together
-FIRST = 4  # blocks of greatest bound, scored before the others
+FIRST = 4  # blocks of greatest bound, scored before the others by queries without a k-th score yet
+LONG = 128  # postings from which a list is copied as a whole
+STRIP = 16  # of the other blocks, those scored together
+PAIRS = 4_096  # documents and queries scored exactly at once
 GROWTH = 8
 STEP = 1 << 18  # postings worked on at once
 CHUNK = 1 << 16  # postings of one shard in a row of the index
@@ -159,7 +163,9 @@ def _batched(rows: pa.Table) -> pa.Table:
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The numbers of all ranges, one range after the other."""
-    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+    out = np.repeat(start - np.cumsum(size) + size, size)
+    out += np.arange(len(out))
+    return out
 
 
 def _placed(term: list[np.ndarray | tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -247,39 +253,76 @@ class Shard:
     def _together(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, need: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
         weights = np.zeros((self.columns.shape[1], len(queries)))
         rest = np.zeros((len(queries), self.blocks * BLOCK))
-        for q, (term, weight) in enumerate(queries):
-            place = np.minimum(np.searchsorted(self.terms, term), len(self.terms) - 1)
-            known = self.terms[place] == term
-            place, weight = place[known], weight[known]
-            column = self.column[place]
-            weights[column[column >= 0], q] = weight[column >= 0]
-            place, weight = place[column < 0], weight[column < 0]
-            hit = _ranges(self.start[place], self.size[place])
-            rest[q] = np.bincount(self.at[hit], self.part[hit] * np.repeat(weight, self.size[place]), self.blocks * BLOCK)
-        rest = rest.reshape(len(queries), self.blocks, BLOCK)
-        bound = (self.tops @ weights).T + rest.max(2)
+        # Places of all terms at once, then the sums of each query.
+        which = np.repeat(np.arange(len(queries)), [len(term) for term, _ in queries])
+        term, weight = (np.concatenate([np.zeros(0, kind), *(x[i] for x in queries)]) for i, kind in enumerate([np.int64, np.float64]))
+        place = np.minimum(np.searchsorted(self.terms, term), len(self.terms) - 1)
+        known = self.terms[place] == term
+        which, place, weight = which[known], place[known], weight[known]
+        column = self.column[place]
+        dense = column >= 0
+        weights[column[dense], which[dense]] = weight[dense]
+        which, place, weight = which[~dense], place[~dense], weight[~dense]
+        long = self.size[place] > LONG
+        order = np.lexsort((~long, which))
+        place, weight, long = place[order], weight[order], long[order]
+        cuts = np.searchsorted(which, np.arange(len(queries) + 1)).tolist()
+        for q, (a, z) in enumerate(zip(cuts[:-1], cuts[1:])):
+            at, part = self._lists(place[a:z], int(long[a:z].sum()))
+            part *= np.repeat(weight[a:z], self.size[place[a:z]])
+            rest[q] = np.bincount(at, part, self.blocks * BLOCK)
+        bound = (self.tops @ weights).T + rest.reshape(len(queries), self.blocks, BLOCK).max(2)
         need = need.copy()
-        best: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in queries]
         first = np.zeros(bound.shape, bool)
-        np.put_along_axis(first, np.argpartition(-bound, min(FIRST, self.blocks) - 1, 1)[:, :FIRST], True, 1)
-        for chosen in (first, ~first):
-            for block in range(self.blocks):
-                live = np.flatnonzero(chosen[:, block] & (bound[:, block] >= need - SLACK) & (bound[:, block] > 0))
-                if len(live):
-                    here = slice(block * BLOCK, (block + 1) * BLOCK)
-                    scores = np.round(self.columns[here] @ weights[:, live] + rest[live, block].T, DIGITS)
-                    for j in np.flatnonzero(scores.max(0) >= need[live]):
-                        q = live[j]
-                        good = np.flatnonzero((scores[:, j] >= need[q]) & (scores[:, j] > 0))
-                        best[q].append((good + block * BLOCK, scores[good, j]))
-            for q, found in enumerate(best):
-                if found:
-                    at, score = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
-                    top = np.lexsort((at, -score))[:k]
-                    best[q] = [(at[top], score[top])]
-                    if len(top) == k:
-                        need[q] = max(need[q], score[top[-1]])
-        return [(q, self.doc[at], score) for q, found in enumerate(best) for at, score in found]
+        new = np.flatnonzero(need <= 0)  # the others start from the k-th scores of earlier shards
+        if len(new):
+            first[new[:, None], np.argpartition(-bound[new], min(FIRST, self.blocks) - 1, 1)[:, :FIRST]] = True
+        few = np.zeros(0, np.int64)
+        q, at, score = few, few, few.astype(float)
+        for chosen, step in ((first, 1), (~first, STRIP)):
+            found = [(q, at, score)]
+            live = chosen & (bound >= need[:, None] - SLACK) & (bound > 0)
+            for block in range(0, self.blocks, step):
+                some = np.flatnonzero(live[:, block : block + step].any(1))
+                if len(some):
+                    found.append(self._reaching(block, min(block + step, self.blocks), some, weights, rest, need, chosen))
+            q, at, score = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((at, -score, q))
+            q, at, score = q[order], at[order], score[order]
+            rank = np.arange(len(q)) - np.searchsorted(q, q)
+            need[q[rank == k - 1]] = np.maximum(need[q[rank == k - 1]], score[rank == k - 1])
+            q, at, score = q[rank < k], at[rank < k], score[rank < k]
+        cuts = np.flatnonzero(np.diff(q, prepend=-1))
+        return [(int(x[0]), self.doc[y], z) for x, y, z in zip(*(np.split(x, cuts[1:]) for x in (q, at, score)))] if len(q) else []
+
+    def _lists(self, place: np.ndarray, long: int) -> tuple[np.ndarray, np.ndarray]:
+        """Documents and parts of some terms' postings, term by term: the first ``long`` lists are copied, the others gathered."""
+        start, size = self.start[place], self.size[place]
+        whole = [slice(a, z) for a, z in zip(start[:long].tolist(), (start[:long] + size[:long]).tolist())]
+        hit = _ranges(start[long:], size[long:])
+        return np.concatenate([*(self.at[x] for x in whole), self.at[hit]]), np.concatenate([*(self.part[x] for x in whole), self.part[hit]])
+
+    def _reaching(self, block: int, end: int, live: np.ndarray, weights: np.ndarray, rest: np.ndarray, need: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, place, score) of the documents of some blocks whose scores reach ``need``, of the blocks chosen for each query.
+
+        Sums in four bytes tell which ones can, only these are scored in eight. Nothing is negative, so such a sum is
+        off by a share of itself that grows with its number of terms.
+        """
+        here = slice(block * BLOCK, end * BLOCK)
+        near = weights[:, live].T.astype(np.float32) @ self.columns[here].astype(np.float32).T
+        near += rest[live, here]
+        least = (need[live] - SLACK) * (1 - (len(weights) + 9) * 2.0**-23)
+        hit = np.flatnonzero((near >= np.maximum(least, SLACK / 8).astype(np.float32)[:, None]).ravel())
+        q, at = live[hit // near.shape[1]], hit % near.shape[1] + here.start
+        own = chosen[q, at // BLOCK]
+        at, q = at[own], q[own]
+        score = rest[q, at]
+        for j in range(0, len(q), PAIRS):
+            x = slice(j, j + PAIRS)
+            score[x] += np.einsum("ij,ji->i", self.columns[at[x]], weights[:, q[x]])
+        score = np.round(score, DIGITS)
+        good = (score >= need[q]) & (score > 0)
+        return q[good], at[good], score[good]
 
 
 def _postings(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
@@ -358,8 +401,8 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     best = None
     order = Window.partitionBy("query").orderBy(F.desc("score"), "doc_id")
     for first, last in _rounds(shards):
-        # A task takes one shard and some of the batches; the first round has one shard, so it is dealt finer.
-        parts = n_batches // (4 if first == 0 else 256) + 1
+        # A task takes one shard and some of the batches; the first rounds have few shards, so they are dealt finer.
+        parts = n_batches // (4 if first == 0 else 32 if first == 1 else 256) + 1
         part = F.pmod("batch", F.lit(parts))
         if best is None:
             needs = batches.withColumn("needs", F.expr("CAST(NULL AS array<struct<query: bigint, need: double>>)"))

@@ -161,3 +161,42 @@ def test_search_holds_sums_of_some_queries_only():
     assert tracemalloc.get_traced_memory()[1] < 4 * 256 * docs  # more than 8 bytes a query and document before
     tracemalloc.stop()
     assert [(q, int(doc[0])) for q, doc, _ in found] == [(q, q * 7) for q in range(256)]
+
+
+def test_documents_that_cannot_reach_the_need_are_not_scored(monkeypatch):
+    """Only the documents that four-byte sums find near the k-th score are scored in eight; all of a live block were before."""
+    rng = np.random.default_rng(9)
+    docs, each = 4_096, 60
+    term = np.sort(rng.random((docs, 400)).argsort(1)[:, :each] ** 2 // 400, 1)
+    term += np.arange(each) * 1_000
+    tf = rng.integers(1, 5, docs * each)
+    shard = Shard(np.arange(docs), np.full(docs, 80), np.full(docs, each), term.ravel(), tf, 80.0)
+    queries = [(term[q * 11], rng.random(each) + 0.5) for q in range(64)]
+    total = np.zeros((64, docs))
+    part = (tf * 2.2 / (tf + 1.2)).reshape(docs, each)
+    for q, (terms, weights) in enumerate(queries):
+        total[q] = np.round(((term == terms) * part * weights).sum(1), 6)
+    seen, exact = [], np.einsum
+    monkeypatch.setattr(search.np, "einsum", lambda how, x, *more: seen.append(len(x)) or exact(how, x, *more))
+    for need in (np.zeros(64), np.sort(total, 1)[:, -10]):
+        seen.clear()
+        for q, doc, score in shard.search(queries, 10, need):
+            order = np.lexsort((np.arange(docs), -total[q]))[:10]
+            assert doc.tolist() == order.tolist() and np.abs(score - total[q][order]).max() < 2e-6
+    assert 0 < sum(seen) <= 64 * 40
+
+
+def test_four_byte_sums_lose_no_document():
+    """Scores that differ by less than four bytes can tell rank as those in eight do, ties at the need stay."""
+    rng = np.random.default_rng(10)
+    docs, each = 2_048, 200
+    tf = rng.integers(40, 60, docs * each)
+    shard = Shard(np.arange(docs)[::-1] * 3, np.full(docs, 9_000), np.full(docs, each), np.tile(np.arange(each), docs), tf, 9_000.0)
+    queries = [(np.arange(each), rng.random(each) * 9 + 1) for _ in range(8)]
+    part = (tf * 2.2 / (tf + 1.2)).reshape(docs, each)
+    for need in (0.0, None):
+        for q, (_, weights) in enumerate(queries):
+            total = np.round(part @ weights, 6)
+            order = np.lexsort((np.arange(docs)[::-1], -total))[:10]
+            (_, doc, score), = shard.search([queries[q]], 10, np.array([total[order[-1]] - 1e-6 if need is None else need]))
+            assert doc.tolist() == (np.arange(docs)[::-1][order] * 3).tolist() and np.abs(score - total[order]).max() < 2e-6
